@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-FAMILIES = ["texts"]
+FAMILIES = ["texts", "words", "stats"]
 
 
 def _catalogs():

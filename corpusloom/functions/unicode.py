@@ -11,16 +11,17 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from corpusloom.functions.text import whitespace_tokens
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _nfd(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t.isascii() else unicodedata.normalize("NFD", t), "ignore")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _nfkd_without_marks(texts: pd.Series) -> pd.Series:
     def plain(text: str) -> str:
         if text.isascii():
@@ -31,7 +32,7 @@ def _nfkd_without_marks(texts: pd.Series) -> pd.Series:
     return texts.map(plain, "ignore")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _decode(raw: pd.Series) -> pd.Series:
     return raw.map(lambda b: bytes(b).decode("utf-8", "ignore"), "ignore")
 

@@ -165,6 +165,20 @@ def independent_merges(
     return run[:1] + [merge for merge in run[1:] if merge[2] > bound]
 
 
+def merge_symbols(symbols: Column, pairs: list[tuple[str, str]]) -> Column:
+    """Join the given neighbours, which share no symbol, from left to right."""
+    gaps = []
+    for left, right in pairs:
+        a, b = re.escape(left), re.escape(right)
+        if left == right:
+            # A run of one symbol is paired off from its start.
+            doubled = (left * 2).replace("\\", r"\\").replace("$", r"\$")
+            symbols = F.regexp_replace(symbols, f"(?<= ){a} {b}(?= )", doubled)
+        else:
+            gaps.append(f"(?<= {a}) (?={b} )")
+    return F.regexp_replace(symbols, "|".join(gaps), "") if gaps else symbols
+
+
 def learn_bpe(
     word_counts: DataFrame, merges: int, coverage: float = 1.0, rewrite_every: int = 8, look_ahead: int = 64
 ) -> DataFrame:
@@ -190,12 +204,8 @@ def learn_bpe(
         known = {piece for piece, _ in pieces}
         run = independent_merges([tuple(r) for r in top], len(top) < look_ahead, known)
         run = run[: merges - len(pieces)]
-        symbols = F.col("symbols")
-        for left, right, _ in run:
-            pattern = f"(?<= ){re.escape(left + ' ' + right)}(?= )"
-            merged = (left + right).replace("\\", "\\\\").replace("$", "\\$")
-            symbols = F.regexp_replace(symbols, pattern, merged)
-            pieces.append((left + right, len(pieces)))
+        symbols = merge_symbols(F.col("symbols"), [(left, right) for left, right, _ in run])
+        pieces += [(left + right, len(pieces) + i) for i, (left, right, _) in enumerate(run)]
         words = words.select(symbols.alias("symbols"), "freq")
         rounds += 1
         if rounds % rewrite_every == 0:
