@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-FAMILIES = ["texts", "words", "stats"]
+FAMILIES = ["texts", "words", "stats", "vectors"]
 
 
 def _catalogs():

@@ -41,8 +41,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf, f"{name}.parquet"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows out when the scan gives fewer splits than there are cores.
+
+    A table of many files is left as it is; one that is a single row group would otherwise be
+    cleaned and tokenized by a single task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"), "doc_id")
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:

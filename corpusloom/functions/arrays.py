@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def as_doubles(vec: Column) -> Column:
-    return vec.cast("array<double>")
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` computed once.
+
+    A column used inside a lambda is evaluated again for every element; bound to the element of
+    a one-element array it is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -20,13 +27,15 @@ def norm(vec: Column) -> Column:
 
 
 def scale(vec: Column, factor: Column) -> Column:
-    return F.transform(vec, lambda x: x * factor)
+    return let(factor, lambda f: F.transform(vec, lambda x: x * f))
 
 
 def unit(vec: Column) -> Column:
     """Vector of length one; a zero vector is returned unchanged."""
-    length = norm(vec)
-    return F.when(length > 0, scale(vec, 1.0 / length)).otherwise(vec)
+    def scaled(length: Column) -> Column:
+        return F.when(length > 0, F.transform(vec, lambda x: x / length)).otherwise(vec)
+
+    return let(norm(vec), scaled)
 
 
 def add(a: Column, b: Column) -> Column:
@@ -54,11 +63,9 @@ def pad_left(values: Column, length: Column | int, value: int | float) -> Column
 
 def softmax(logits: Column) -> Column:
     """Probabilities, shifted by the greatest logit for stability."""
-    shifted = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
-    total = F.aggregate(shifted, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(shifted, lambda x: x / total)
+    powers = let(F.array_max(logits), lambda top: F.transform(logits, lambda x: F.exp(x - top)))
 
+    def share(values: Column) -> Column:
+        return scale(values, 1.0 / F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x))
 
-def argmax(values: Column) -> Column:
-    """Zero-based place of the greatest element, the first one if tied."""
-    return F.array_position(values, F.array_max(values)) - 1
+    return let(powers, share)

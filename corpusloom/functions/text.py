@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import let
+
 # The characters Python calls whitespace, as one regular-expression class body.
 WHITESPACE = (
     r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -99,15 +101,15 @@ def split_record(col: Column) -> Column:
 
 def char_ngrams(word: Column, low: int, high: int) -> Column:
     """Substrings of ``<word>`` with ``low`` to ``high`` characters, repeats kept."""
-    chars = F.split(F.concat(F.lit("<"), word, F.lit(">")), "")
-    def of_size(n: Column) -> Column:
-        starts = F.when(F.size(chars) >= n, F.sequence(F.lit(1), F.size(chars) - n + 1))
-        return F.transform(
-            F.coalesce(starts, F.array().cast("array<int>")),
-            lambda s: F.array_join(F.slice(chars, s, n), ""),
-        )
+    def grams(chars: Column) -> Column:
+        def of_size(n: Column) -> Column:
+            last = F.size(chars) - n + 1
+            starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+            return F.transform(starts, lambda s: F.array_join(F.slice(chars, s, n), ""))
+
+        return F.flatten(F.transform(F.sequence(F.lit(low), F.lit(high)), of_size))
 
-    return F.flatten(F.transform(F.sequence(F.lit(low), F.lit(high)), of_size))
+    return let(F.split(F.concat(F.lit("<"), word, F.lit(">")), ""), grams)
 
 
 def cut_digit_comma(pieces: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions import text as tx
+from corpusloom.functions.arrays import let
 from corpusloom.functions.unicode import strip_accents
 from corpusloom.plans.lookup import lookup_array, lookup_rows, map_elements, small_table
 from corpusloom.plans.ranking import with_row_number
@@ -233,11 +234,13 @@ def pieces_to_wordpiece(pieces: DataFrame, piece: str = "piece", rank: str = "ra
 
 def prefix_counts(word_counts: DataFrame, max_length: int = 10) -> DataFrame:
     """``prefix, len, n``: how many tokens start with each left part, up to one character more."""
-    chars = F.split("token", "")
-    lengths = F.sequence(F.lit(1), F.least(F.size(chars), F.lit(max_length + 1)))
-    prefixes = F.transform(
-        lengths, lambda k: F.struct(F.array_join(F.slice(chars, 1, k), "").alias("prefix"), k.alias("len"))
-    )
+    def parts(chars: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.least(F.size(chars), F.lit(max_length + 1))),
+            lambda k: F.struct(F.array_join(F.slice(chars, 1, k), "").alias("prefix"), k.alias("len")),
+        )
+
+    prefixes = let(F.split("token", ""), parts)
     rows = word_counts.filter(F.length("token") > 0).select(F.explode(prefixes).alias("p"), "freq")
     return rows.groupBy("p.prefix", "p.len").agg(F.sum("freq").cast("bigint").alias("n"))
 
@@ -287,10 +290,12 @@ def best_left_parts(word_counts: DataFrame, scores: DataFrame) -> DataFrame:
 
     Without a scored part the whole word is the left part. Equal scores go to the longer part.
     """
-    chars = F.split("token", "")
-    prefixes = F.transform(
-        F.sequence(F.lit(1), F.size(chars)), lambda k: F.array_join(F.slice(chars, 1, k), "")
-    )
+    def parts(chars: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(chars)), lambda k: F.array_join(F.slice(chars, 1, k), "")
+        )
+
+    prefixes = let(F.split("token", ""), parts)
     long = word_counts.filter(F.length("token") > 0).select(
         "token", "freq", F.explode(prefixes).alias("_prefix")
     )
@@ -329,18 +334,18 @@ def spacing_units(col: Column) -> Column:
 
 def spacing_contexts(units: Column) -> Column:
     """For every character but the last: two characters to the left, two to the right."""
-    chars = F.transform(units, lambda u: F.substring(u, 1, 1))
-    n = F.size(chars)
-    before = F.concat(F.array(F.lit("")), chars)
-    after = F.concat(F.slice(chars, 3, F.greatest(n, F.lit(0))), F.array(F.lit("")))
-    zipped = F.arrays_zip(
-        F.slice(before, 1, n - 1).alias("a"), F.slice(chars, 1, n - 1).alias("b"),
-        F.slice(chars, 2, n).alias("c"), F.slice(after, 1, n - 1).alias("d"),
-    )
-    built = F.transform(
-        zipped, lambda z: F.concat(z["a"], z["b"], F.lit(" "), z["c"], z["d"])
-    )
-    return F.when(n > 1, built).otherwise(F.array().cast("array<string>"))
+    def contexts(chars: Column) -> Column:
+        n = F.size(chars)
+        before = F.concat(F.array(F.lit("")), chars)
+        after = F.concat(F.slice(chars, 3, n), F.array(F.lit("")))
+        zipped = F.arrays_zip(
+            F.slice(before, 1, n - 1).alias("a"), F.slice(chars, 1, n - 1).alias("b"),
+            F.slice(chars, 2, n).alias("c"), F.slice(after, 1, n - 1).alias("d"),
+        )
+        built = F.transform(zipped, lambda z: F.concat(z["a"], z["b"], F.lit(" "), z["c"], z["d"]))
+        return F.when(n > 1, built).otherwise(F.array().cast("array<string>"))
+
+    return let(F.transform(units, lambda u: F.substring(u, 1, 1)), contexts)
 
 
 def train_spacing(df: DataFrame, column: str = "text") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.session import materialize
 
@@ -39,49 +40,68 @@ def top_ranked(counts: DataFrame, k: int, count: str, key: str, out: str = "id")
     return first.withColumn(out, (F.row_number().over(order) - 1).cast("bigint"))
 
 
-def with_prefix_sums(df: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
-    """Add running totals (exclusive) of columns along a total order.
+def with_prefix(df: DataFrame, order: list[Column], running: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add running totals along a total order, each row seeing the rows before it only.
 
-    ``sums`` maps an output name to a numeric column. Rows are range-partitioned and sorted,
-    each partition adds up on its own as a stream, and the partition totals - one row per
-    partition - shift the local sums. The sorted rows are written once in between, since the
-    range bounds must be the same for both readers.
+    ``running`` maps an output name to ``("sum", column)`` or ``("max", column)``; before the
+    first row a sum is 0 and a maximum NULL. Rows are range-partitioned and sorted, each
+    partition runs up its own totals as a stream, and the partition totals - one row per
+    partition - complete them. The sorted rows are written once in between, since the range
+    bounds must be the same for both readers.
     """
+    def kind(column: str) -> T.DataType:
+        return T.DoubleType() if isinstance(df.schema[column].dataType, T.DoubleType) else T.LongType()
+
     schema = T.StructType(
         df.schema.fields
         + [T.StructField(PARTITION, T.LongType())]
-        + [T.StructField(name, T.LongType()) for name in sums]
+        + [T.StructField(name, kind(column)) for name, (_, column) in running.items()]
     )
-    columns = list(sums.values())
+    jobs = [(op, column, to_arrow_type(kind(column))) for op, column in running.values()]
 
     def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        carry = [0] * len(columns)
+        carry = [pa.scalar(0 if op == "sum" else None, dtype) for op, _, dtype in jobs]
         for batch in batches:
             out = list(batch.columns) + [pa.array([part] * batch.num_rows, pa.int64())]
-            for i, name in enumerate(columns):
-                values = batch.column(batch.schema.get_field_index(name)).cast(pa.int64())
-                running = pc.cumulative_sum(values)
-                out.append(pc.add(pc.subtract(running, values), carry[i]))
-                if batch.num_rows:
-                    carry[i] += running[-1].as_py()
-            names = batch.schema.names + [PARTITION] + list(sums)
-            yield pa.RecordBatch.from_arrays(out, names=names)
+            for i, (op, name, dtype) in enumerate(jobs):
+                values = batch.column(batch.schema.get_field_index(name)).cast(dtype)
+                start = pa.array([carry[i].as_py()], dtype)
+                chain = pa.concat_arrays([start, values])
+                if op == "sum":
+                    totals = pc.cumulative_sum(chain)
+                else:
+                    totals = pc.cumulative_max(chain, skip_nulls=True)
+                out.append(totals.slice(0, batch.num_rows))
+                carry[i] = totals[batch.num_rows]
+                if not carry[i].is_valid:
+                    carry[i] = pa.scalar(None, dtype)
+            yield pa.RecordBatch.from_arrays(out, names=batch.schema.names + [PARTITION] + list(running))
 
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     local = materialize(ranged.mapInArrow(accumulate, schema), "prefix")
+    whole = {"sum": F.sum, "max": F.max}
     totals = local.groupBy(PARTITION).agg(
-        *[F.sum(column).cast("bigint").alias(f"_t_{name}") for name, column in sums.items()]
+        *[whole[op](column).alias(f"_t_{name}") for name, (op, column) in running.items()]
     )
     before = Window.orderBy(PARTITION).rowsBetween(Window.unboundedPreceding, -1)
     shifts = totals.select(
         PARTITION,
-        *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_s_{n}") for n in sums],
+        *[whole[op](f"_t_{name}").over(before).alias(f"_s_{name}") for name, (op, _) in running.items()],
     )
+
+    def complete(name: str, op: str, column: str) -> Column:
+        if op == "max":
+            return F.greatest(name, f"_s_{name}").alias(name)
+        return (F.col(name) + F.coalesce(F.col(f"_s_{name}"), F.lit(0))).cast(kind(column)).alias(name)
+
     shifted = local.join(F.broadcast(shifts), PARTITION)
-    return shifted.select(
-        *df.columns, *[(F.col(n) + F.col(f"_s_{n}")).alias(n) for n in sums]
-    )
+    return shifted.select(*df.columns, *[complete(n, op, c) for n, (op, c) in running.items()])
+
+
+def with_prefix_sums(df: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """Running sums (exclusive) along a total order; ``sums`` maps output names to columns."""
+    return with_prefix(df, order, {name: ("sum", column) for name, column in sums.items()})
 
 
 def with_row_number(df: DataFrame, order: list[Column], out: str = "row_no") -> DataFrame:
@@ -90,25 +110,28 @@ def with_row_number(df: DataFrame, order: list[Column], out: str = "row_no") ->
     return with_prefix_sums(counted, order, {out: "_one"}).drop("_one")
 
 
-def with_hash_order(df: DataFrame, digest: Column, out: str = "row_no", width: int = 3) -> DataFrame:
-    """Number rows from 0 in the order of a unique hexadecimal digest.
+def with_hash_order(
+    df: DataFrame, digest: Column, out: str = "row_no", within: list[str] | None = None, width: int = 3
+) -> DataFrame:
+    """Number rows from 0 in the order of a unique hexadecimal digest, apart per ``within``.
 
     Digests are uniform, so their first ``width`` digits cut the order into 16^width even
     buckets. Buckets are numbered apart and shifted by the counts of the buckets before them.
     """
+    group = within or []
     marked = df.withColumn("_digest", digest).withColumn(
         "_bucket", F.substring("_digest", 1, width)
     )
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        marked.groupBy("_bucket")
+        marked.groupBy(*group, "_bucket")
         .agg(F.count("*").alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+        .select(*group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
     )
-    inside = Window.partitionBy("_bucket").orderBy("_digest")
+    inside = Window.partitionBy(*group, "_bucket").orderBy("_digest")
     return (
         marked.withColumn("_pos", F.row_number().over(inside) - 1)
-        .join(F.broadcast(shifts), "_bucket")
+        .join(shifts, [*group, "_bucket"])
         .withColumn(out, (F.col("_pos") + F.col("_shift")).cast("bigint"))
         .drop("_digest", "_bucket", "_pos", "_shift")
     )
