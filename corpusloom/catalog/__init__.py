@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-FAMILIES = ["texts", "words", "stats", "vectors", "training"]
+FAMILIES = ["texts", "words", "stats", "vectors", "training", "files"]
 
 
 def _catalogs():

@@ -8,9 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import whitespace_tokens
+from corpusloom.functions.text import WHITESPACE, whitespace_tokens
 from corpusloom.operators.corpus import explode_lines
 from corpusloom.operators.vocabulary import token_counts
+from corpusloom.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,8 +63,9 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def token_lines(spark: SparkSession, sf: str) -> DataFrame:
     """``doc_id, line_no, tokens`` of the lines that hold any."""
-    out = lines(spark, sf).select("doc_id", "line_no", whitespace_tokens(F.col("text")).alias("tokens"))
-    return out.filter(F.size("tokens") > 0)
+    # The test for any token at all is made on the text: on the tokens it would split them twice.
+    full = lines(spark, sf).filter(F.col("text").rlike(f"[^{WHITESPACE}]"))
+    return full.select("doc_id", "line_no", whitespace_tokens(F.col("text")).alias("tokens"))
 
 
 def token_docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,6 +76,11 @@ def counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(token_docs(spark, sf))
 
 
+def stored_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The counts as a written table, for queries that read them more than once."""
+    return materialize(counts(spark, sf), "counts")
+
+
 def joined(col: Column | str) -> Column:
     """An array as space-separated text, the same in every engine."""
     return F.array_join(F.col(col) if isinstance(col, str) else col, " ")

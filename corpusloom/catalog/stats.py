@@ -132,8 +132,9 @@ SELECT w.token AS word, c.token AS collocate, rank, pmi
 FROM best JOIN ranked w ON w.id = row_id JOIN ranked c ON c.id = col_id
 """)
 def top_collocates(spark, sf):
-    vocab = top_ranked(counts(spark, sf), VOCAB, "freq", "token").select("id", "token")
-    scores = st.pmi(cells_harmonic(spark, sf), float("-inf"))
+    vocab = top_ranked(counts(spark, sf), VOCAB, "freq", "token")
+    coded = vocabulary.in_vocab(token_lines(spark, sf), vocab, LINE_KEY).select("ids")
+    scores = st.pmi(st.cooccurrence_harmonic(coded), float("-inf"))
     best = st.top_collocates(scores.withColumn("pmi", F.round("pmi", 6)), 20)
     words = vocab.select(F.col("id").alias("row_id"), F.col("token").alias("word"))
     others = vocab.select(F.col("id").alias("col_id"), F.col("token").alias("collocate"))

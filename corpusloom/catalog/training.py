@@ -8,7 +8,7 @@ from corpusloom.catalog.base import (
     LINE_KEY, SQL_COUNTS, WS, Catalog, counts, documents, joined, sql_ranked, table, token_lines, with_,
 )
 from corpusloom.functions.hashing import digest, uniform
-from corpusloom.functions.text import split_sentences, whitespace_tokens
+from corpusloom.functions.text import WHITESPACE, split_sentences, whitespace_tokens
 from corpusloom.operators import examples as ex
 from corpusloom.operators import streams, vocabulary
 from corpusloom.operators.tokenize import SPECIALS, wordpiece
@@ -35,7 +35,8 @@ def coded_lines(spark, sf):
 
 def coded_docs(spark, sf, parts):
     """``doc_id, source, ids, sizes``: a document's ids and the number in each of its parts."""
-    arrays = F.filter(F.transform(parts, whitespace_tokens), lambda t: F.size(t) > 0)
+    full = F.filter(parts, lambda p: p.rlike(f"[^{WHITESPACE}]"))
+    arrays = F.transform(full, whitespace_tokens)
     docs = documents(spark, sf).select("doc_id", "source", arrays.alias("_a")).select(
         "doc_id", "source", F.flatten("_a").alias("tokens"), F.transform("_a", lambda t: F.size(t)).alias("sizes")
     )

@@ -169,7 +169,7 @@ def label_means(spark, sf):
     means = embeddings(spark, sf).select("label", F.posexplode("vec").alias("d", "x")).groupBy("label", "d").agg(
         F.avg("x").alias("x")
     )
-    ordered = F.array_sort(F.collect_list(F.struct("d", "x")))
+    ordered = F.sort_array(F.collect_list(F.struct("d", "x")))
     return means.groupBy("label").agg(F.transform(ordered, lambda e: e["x"]).alias("vec"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog.base import (
     LINE_KEY, SQL_COUNTS, SQL_LINES, SQL_TOKENS, SQL_TOKEN_LINES, WS, Catalog, counts, documents,
-    joined, lines, sql_ranked, table, token_docs, token_lines, with_,
+    joined, lines, sql_ranked, stored_counts, token_docs, token_lines, with_,
 )
 from corpusloom.operators import corpus, tokenize, vocabulary
 from corpusloom.plans.ranking import top_ranked
@@ -310,7 +310,7 @@ scores AS (SELECT *, cohesion * exp(entropy) AS score FROM scored WHERE cohesion
 SELECT word, n, round(cohesion, 6) AS cohesion, round(entropy, 5) AS entropy, round(score, 5) AS score FROM scores
 """)
 def word_scores(spark, sf):
-    scores = tokenize.word_scores(counts(spark, sf), min_frequency=10)
+    scores = tokenize.word_scores(stored_counts(spark, sf), min_frequency=10)
     return scores.select(
         "word", "n", F.round("cohesion", 6).alias("cohesion"), F.round("entropy", 5).alias("entropy"),
         F.round("score", 5).alias("score"),
@@ -324,13 +324,13 @@ best AS (SELECT token, freq, k, row_number() OVER (PARTITION BY token ORDER BY s
 SELECT token, freq, substr(token, 1, k) AS "left", substr(token, k + 1) AS "right" FROM best WHERE rn = 1
 """)
 def best_left_parts(spark, sf):
-    c = counts(spark, sf)
+    c = stored_counts(spark, sf)
     return tokenize.best_left_parts(c, tokenize.word_scores(c, min_frequency=10))
 
 
 @catalog.add(None)
 def l_tokenize(spark, sf):
-    c = counts(spark, sf)
+    c = stored_counts(spark, sf)
     parts = tokenize.l_tokenize(
         token_lines(spark, sf), c, tokenize.word_scores(c, min_frequency=10), LINE_KEY
     )

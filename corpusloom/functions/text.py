@@ -101,15 +101,15 @@ def split_record(col: Column) -> Column:
 
 def char_ngrams(word: Column, low: int, high: int) -> Column:
     """Substrings of ``<word>`` with ``low`` to ``high`` characters, repeats kept."""
-    def grams(chars: Column) -> Column:
+    def grams(framed: Column) -> Column:
         def of_size(n: Column) -> Column:
-            last = F.size(chars) - n + 1
+            last = F.length(framed) - n + 1
             starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-            return F.transform(starts, lambda s: F.array_join(F.slice(chars, s, n), ""))
+            return F.transform(starts, lambda s: F.substr(framed, s, n))
 
         return F.flatten(F.transform(F.sequence(F.lit(low), F.lit(high)), of_size))
 
-    return let(F.split(F.concat(F.lit("<"), word, F.lit(">")), ""), grams)
+    return let(F.concat(F.lit("<"), word, F.lit(">")), grams)
 
 
 def cut_digit_comma(pieces: Column) -> Column:

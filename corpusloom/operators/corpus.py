@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as tx
 from corpusloom.functions.arrays import norm
 from corpusloom.functions.hashing import digest
+from corpusloom.plans.unnest import unnest
 
 
 def drop_empty(df: DataFrame, column: str = "text") -> DataFrame:
@@ -30,23 +31,17 @@ def tag_document(tag: Column, prefix: str = "MOVIE_") -> Column:
 
 def explode_lines(df: DataFrame, column: str = "text", *keep: str) -> DataFrame:
     """``keep``, ``line_no``, ``text``: the lines of each document."""
-    return df.select(*keep, F.posexplode(F.split(column, "\n")).alias("line_no", "text")).withColumn(
-        "line_no", F.col("line_no").cast("bigint")
-    )
+    return unnest(df, F.split(column, "\n"), *keep, value="text", pos="line_no")
 
 
 def explode_sentences(df: DataFrame, column: str = "text", *keep: str) -> DataFrame:
     """``keep``, ``sent_no``, ``text``: the sentences of each document."""
-    return df.select(*keep, F.posexplode(tx.split_sentences(F.col(column))).alias("sent_no", "text")).withColumn(
-        "sent_no", F.col("sent_no").cast("bigint")
-    )
+    return unnest(df, tx.split_sentences(F.col(column)), *keep, value="text", pos="sent_no")
 
 
 def explode_tokens(df: DataFrame, column: str = "tokens", *keep: str) -> DataFrame:
     """``keep``, ``pos``, ``token``: the long form of token arrays."""
-    return df.select(*keep, F.posexplode(column).alias("pos", "token")).withColumn(
-        "pos", F.col("pos").cast("bigint")
-    )
+    return unnest(df, column, *keep, value="token", pos="pos")
 
 
 def sample_rows(df: DataFrame, n: int, seed: object, *keys: str) -> DataFrame:
@@ -59,7 +54,7 @@ def eval_word_set(lines: DataFrame, column: str = "text") -> DataFrame:
     """Distinct words of an evaluation file; comment lines do not count."""
     kept = lines.filter(~F.col(column).startswith("#"))
     words = F.array_remove(F.split(tx.strip(F.col(column)), " "), "")
-    return kept.select(F.explode(words).alias("word")).distinct()
+    return unnest(kept, words, value="word").distinct()
 
 
 def drop_zero_vectors(df: DataFrame, column: str = "vec") -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from corpusloom.functions.arrays import fill, let, pad_left, pad_right
 from corpusloom.functions.hashing import digest, draw, pick, uniform
 from corpusloom.plans.ranking import with_hash_order, with_row_number
+from corpusloom.plans.unnest import unnest
+from corpusloom.session import materialize
 
 # Ids of the special tokens in a word-piece vocabulary that opens with
 # [PAD] [UNK] [CLS] [SEP] [MASK], and in the left-padded layout.
@@ -172,9 +174,8 @@ def pack_segments(
         )
 
     walked = aimed.withColumn("_chunks", walk("sizes", "target", "copy", key))
-    return walked.select(*other, "sizes", "target", F.posexplode("_chunks").alias("chunk_no", "_c")).select(
-        *other, "sizes", "target", F.col("chunk_no").cast("bigint").alias("chunk_no"), "_c.*"
-    )
+    chunks = unnest(walked, "_chunks", *other, "sizes", "target", value="_c", pos="chunk_no")
+    return chunks.select(*other, "sizes", "target", "chunk_no", "_c.*")
 
 
 def _total(sizes: Column) -> Column:
@@ -229,9 +230,10 @@ def next_sentence_pairs(
     ``docs`` has ``ids`` (all tokens of a document) and ``sizes`` (tokens per sentence, none
     empty). A random second part comes from another document: up to ten draws of a document
     number avoid the chunk's own. Chunks meet that document by its number, which is drawn
-    evenly, and take their slice of it as the rows are joined.
+    evenly, and take their slice of it as the rows are joined. The encoded documents are written
+    once, being read from both sides of that join.
     """
-    filled = docs.filter(F.size("sizes") > 0).select(key, "ids", "sizes")
+    filled = materialize(docs.filter(F.size("sizes") > 0).select(key, "ids", "sizes"), "coded")
     numbers = with_row_number(filled.select(key), [F.col(key)], "doc_no")
     numbered = filled.join(numbers, key)
     n_docs = numbers.agg(F.count("*")).scalar()
@@ -242,21 +244,22 @@ def next_sentence_pairs(
         inside = _total(F.slice("sizes", (first + 1).cast("int"), (last - first).cast("int")))
         return F.slice("ids", (before + 1).cast("int"), inside.cast("int"))
 
-    cut = chunks.select(
-        key, "copy", "chunk_no", "doc_no", "target", "is_random",
-        part(F.col("start"), F.col("cut")).alias("tokens_a"),
-        F.when(F.col("is_random") == 0, part(F.col("cut"), F.col("end"))).alias("tokens_b"),
-    )
     keys = [F.col("copy"), F.col(key), F.col("chunk_no")]
     tries = [pick(n_docs, f"{seed}/document/{i}", *keys) for i in range(10)]
     other = F.coalesce(*[F.when(t != F.col("doc_no"), t) for t in tries], tries[-1])
+    random = F.col("is_random") == 1
+    # A chunk that keeps its own second part meets its own document, which spreads those evenly.
+    cut = chunks.select(
+        key, "copy", "chunk_no", "target", "is_random", F.when(random, other).otherwise(F.col("doc_no")).alias("_other"),
+        part(F.col("start"), F.col("cut")).alias("tokens_a"),
+        F.when(~random, part(F.col("cut"), F.col("end"))).alias("_next"),
+    )
     foreign = numbered.select(
         F.col("doc_no").alias("_other"), F.col("ids").alias("_ids"), F.col("sizes").alias("_sizes")
     )
-    asked = cut.filter(F.col("is_random") == 1).withColumn("_other", other)
-    begin = pick(F.size("_sizes"), f"{seed}/start", *keys)
-    met = asked.join(foreign, "_other").withColumn("_begin", begin)
-    wanted = F.col("target") - F.size("tokens_a")
+    met = cut.join(foreign, "_other").withColumn(
+        "_begin", F.when(random, pick(F.size("_sizes"), f"{seed}/start", *keys))
+    ).withColumn("_wanted", F.col("target") - F.size("tokens_a"))
     # At least one sentence, then more until the wanted length is reached.
     taken = F.aggregate(
         F.slice("_sizes", (F.col("_begin") + 1).cast("int"), F.size("_sizes")),
@@ -264,11 +267,10 @@ def next_sentence_pairs(
         lambda acc, x: F.when((acc > 0) & (acc >= F.col("_wanted")), acc).otherwise(acc + x),
     )
     offset = _total(F.slice("_sizes", F.lit(1), F.col("_begin").cast("int")))
-    drawn = met.withColumn("_wanted", wanted).withColumn(
-        "tokens_b", F.slice("_ids", (offset + 1).cast("int"), taken.cast("int"))
+    drawn = F.slice("_ids", (offset + 1).cast("int"), taken.cast("int"))
+    return met.select(
+        key, "copy", "chunk_no", "is_random", "tokens_a", F.when(random, drawn).otherwise(F.col("_next")).alias("tokens_b")
     )
-    out = [key, "copy", "chunk_no", "is_random", "tokens_a", "tokens_b"]
-    return cut.filter(F.col("is_random") == 0).select(*out).unionByName(drawn.select(*out))
 
 
 def assemble_pair(a: Column, b: Column, cls: int = CLS, sep: int = SEP) -> Column:
@@ -293,10 +295,10 @@ def mask_tokens(
     places = F.filter(
         F.transform(column, lambda x, i: F.when(~x.isin(*specials), i)), lambda i: i.isNotNull()
     )
-    shuffled = F.array_sort(
+    shuffled = F.sort_array(
         F.transform(places, lambda i: F.struct(digest(f"{seed}/place", *key, i).alias("h"), i.alias("i")))
     )
-    chosen = F.array_sort(F.transform(F.slice(shuffled, F.lit(1), F.col("_wanted")), lambda s: s["i"]))
+    chosen = F.sort_array(F.transform(F.slice(shuffled, F.lit(1), F.col("_wanted")), lambda s: s["i"]))
     picked = df.withColumn("_wanted", wanted).withColumn("positions", chosen).drop("_wanted")
 
     def replaced(x: Column, i: Column) -> Column:

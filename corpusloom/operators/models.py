@@ -19,11 +19,12 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.arrays import let
+from corpusloom.functions.arrays import let, scale
 from corpusloom.functions.text import char_ngrams
 from corpusloom.operators.statistics import distinct_bow, pmi
 from corpusloom.operators.vectors import sum_word_vectors
 from corpusloom.plans.lookup import lookup_array
+from corpusloom.plans.unnest import unnest
 from corpusloom.session import materialize
 
 
@@ -53,7 +54,7 @@ def _sparse_rows(cells: DataFrame, width: int) -> DataFrame:
         return Vectors.sparse(width, cols, values)
 
     entry = F.struct(F.col("col_id").cast("int").alias("c"), F.col("value").cast("double").alias("v"))
-    rows = cells.groupBy("row_id").agg(F.array_sort(F.collect_list(entry)).alias("_e"))
+    rows = cells.groupBy("row_id").agg(F.sort_array(F.collect_list(entry)).alias("_e"))
     split = rows.select(
         "row_id", F.transform("_e", lambda e: e["c"]).alias("cols"), F.transform("_e", lambda e: e["v"]).alias("values")
     )
@@ -167,9 +168,9 @@ def tag_vectors(df: DataFrame, vectors: DataFrame, row_key: list[str], tag: str
     """
     summed = sum_word_vectors(df.select(*row_key, tag, column), vectors, row_key, column)
     known = summed.filter(F.col("known") > 0)
-    per_dim = known.select(F.col(tag).alias("tag"), "known", F.posexplode("vec").alias("d", "x"))
+    per_dim = unnest(known, "vec", F.col(tag).alias("tag"), "known", value="x", pos="d")
     means = per_dim.groupBy("tag", "d").agg((F.sum("x") / F.sum("known")).alias("x"))
-    ordered = F.array_sort(F.collect_list(F.struct("d", "x")))
+    ordered = F.sort_array(F.collect_list(F.struct("d", "x")))
     return means.groupBy("tag").agg(F.transform(ordered, lambda e: e["x"]).alias("vec"))
 
 
@@ -198,20 +199,18 @@ def oov_vectors(words: DataFrame, vectors: DataFrame, low: int = 3, high: int =
     unknown = words.select(F.col(word).alias("token")).distinct().join(
         vectors.select(F.col("key").alias("token")), "token", "left_anti"
     )
-    grams = F.array_distinct(char_ngrams(F.col("token"), low, high))
-    long = unknown.select("token", F.explode(grams).alias("gram"))
-    found = long.join(ngram_vectors(vectors, low, high), "gram")
-    return found.groupBy("token").agg(
-        vector_to_array(Summarizer.mean(array_to_vector("vec"))).alias("vec")
-    )
+    asked = unknown.withColumn("grams", F.array_distinct(char_ngrams(F.col("token"), low, high)))
+    known = ngram_vectors(vectors, low, high).withColumnRenamed("gram", "key")
+    summed = sum_word_vectors(asked, known, ["token"], "grams").filter(F.col("known") > 0)
+    return summed.select("token", scale(F.col("vec"), 1.0 / F.col("known")).alias("vec"))
 
 
 def average_snapshots(df: DataFrame, last: int, name: str = "name", step: str = "step", column: str = "vec") -> DataFrame:
     """``name, idx, value``: element-wise mean of each tensor over its last snapshots."""
     newest = Window.partitionBy(name).orderBy(F.col(step).desc())
     kept = df.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= last)
-    long = kept.select(F.col(name).alias("name"), F.posexplode(column).alias("idx", "_x"))
-    return long.groupBy("name", F.col("idx").cast("bigint").alias("idx")).agg(F.avg("_x").alias("value"))
+    long = unnest(kept, column, F.col(name).alias("name"), value="_x", pos="idx")
+    return long.groupBy("name", "idx").agg(F.avg("_x").alias("value"))
 
 
 def softmax_weights(raw: list[float]) -> list[float]:
@@ -233,11 +232,10 @@ def weighted_layer_sum(
     if not layer_norm:
         summed = _combine(F.col(layers), [F.lit(w) for w in weights], [F.lit(0.0)] * len(weights))
         return df.withColumn("vec", F.transform(summed, lambda x: x * gamma))
-    entries = df.filter(F.col(mask)).select(
-        batch, F.posexplode(layers).alias("_l", "_v")
-    ).select(batch, "_l", F.explode("_v").alias("_x"))
+    vectors = unnest(df.filter(F.col(mask)), layers, batch, value="_v", pos="_l")
+    entries = unnest(vectors, "_v", batch, "_l", value="_x")
     stats = entries.groupBy(batch, "_l").agg(F.avg("_x").alias("_m"), F.var_pop("_x").alias("_s"))
-    ordered = F.array_sort(F.collect_list(F.struct("_l", "_m", "_s")))
+    ordered = F.sort_array(F.collect_list(F.struct("_l", "_m", "_s")))
     per_batch = stats.groupBy(batch).agg(ordered.alias("_stats"))
     joined = df.join(per_batch, batch)
     factors, shifts = [], []

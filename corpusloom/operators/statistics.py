@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.arrays import scale
 from corpusloom.functions.hashing import digest
 from corpusloom.plans.lookup import lookup_rows
+from corpusloom.plans.unnest import unnest
 
 # Weights are summed as integers where a common denominator of this size does it: the sums are
 # then exact and independent of the order in which partitions are added.
@@ -23,9 +24,9 @@ def _weighted_cells(rows: DataFrame, window: int, numerator: Column, denominator
     sums, and a frequent pair reaches the shuffle once per task. A negative id is a gap: it takes
     up a place and forms no pair.
     """
-    positions = rows.select("ids", F.posexplode("ids").alias("_p", "_left"))
+    positions = unnest(rows, "ids", "ids", value="_left", pos="_p")
     pairs = positions.select(
-        "_left", F.posexplode(F.slice("ids", F.col("_p") + 2, F.lit(window))).alias("_d", "_right")
+        "_left", F.posexplode(F.slice("ids", (F.col("_p") + 2).cast("int"), F.lit(window))).alias("_d", "_right")
     )
     cells = pairs.filter((F.col("_left") >= 0) & (F.col("_right") >= 0)).groupBy(
         F.greatest("_left", "_right").alias("hi"), F.least("_left", "_right").alias("lo")
@@ -58,7 +59,7 @@ def cooccurrence_harmonic(rows: DataFrame, window: int = 10) -> DataFrame:
     """
     numerator, denominator = _harmonic(window)
     pairs = _weighted_cells(rows, window, numerator, denominator)
-    own = rows.select(F.explode("ids").alias("hi")).groupBy("hi").agg(
+    own = unnest(rows, "ids", value="hi").groupBy("hi").agg(
         (F.count("*") * F.lit(0.5)).alias("w")
     )
     cells = pairs.unionByName(own.select("hi", F.col("hi").alias("lo"), "w"))
@@ -144,7 +145,7 @@ def tfidf(df: DataFrame, doc: str = "doc_id", column: str = "tokens") -> DataFra
     """
     terms = F.transform(column, lambda t: F.lower(t))
     long = (
-        df.select(F.col(doc), F.explode(terms).alias("term"))
+        unnest(df, terms, doc, value="term")
         .groupBy(doc, "term")
         .agg(F.count("*").alias("tf"))
     )
@@ -168,4 +169,4 @@ def sif_weights(counts: DataFrame, vectors: DataFrame, a: float = 1e-4) -> DataF
 
 def distinct_bow(tokens: Column) -> Column:
     """The distinct tokens of a document in order."""
-    return F.array_sort(F.array_distinct(tokens))
+    return F.sort_array(F.array_distinct(tokens))

@@ -234,13 +234,8 @@ def pieces_to_wordpiece(pieces: DataFrame, piece: str = "piece", rank: str = "ra
 
 def prefix_counts(word_counts: DataFrame, max_length: int = 10) -> DataFrame:
     """``prefix, len, n``: how many tokens start with each left part, up to one character more."""
-    def parts(chars: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.least(F.size(chars), F.lit(max_length + 1))),
-            lambda k: F.struct(F.array_join(F.slice(chars, 1, k), "").alias("prefix"), k.alias("len")),
-        )
-
-    prefixes = let(F.split("token", ""), parts)
+    lengths = F.sequence(F.lit(1), F.least(F.length("token"), F.lit(max_length + 1)))
+    prefixes = F.transform(lengths, lambda k: F.struct(F.left("token", k).alias("prefix"), k.alias("len")))
     rows = word_counts.filter(F.length("token") > 0).select(F.explode(prefixes).alias("p"), "freq")
     return rows.groupBy("p.prefix", "p.len").agg(F.sum("freq").cast("bigint").alias("n"))
 
@@ -258,26 +253,28 @@ def word_scores(
     and the score their product with the entropy as exponent.
     """
     counts = prefix_counts(word_counts, max_length)
-    first = counts.filter(F.col("len") == 1).select(
-        F.col("prefix").alias("_first"), F.col("n").alias("_first_n")
+    own = F.struct(F.col("prefix").alias("word"), F.col("n"), F.lit(0).cast("bigint").alias("s"), F.lit(0.0).alias("nlogn"))
+    parent = F.struct(
+        F.left("prefix", F.col("len") - 1).alias("word"), F.lit(0).cast("bigint").alias("n"),
+        F.col("n").alias("s"), (F.col("n") * F.log("n")).alias("nlogn"),
     )
-    nexts = (
-        counts.filter(F.col("len") > 1)
-        .withColumn("_parent", F.expr("left(prefix, len - 1)"))
-        .groupBy("_parent")
-        .agg(F.sum("n").alias("_s"), F.sum(F.col("n") * F.log("n")).alias("_nlogn"))
+    # Each prefix reports to itself and to the prefix it extends: one grouping gives both the
+    # count and the spread of the next characters, without joining the table to itself.
+    merged = counts.select(F.inline(F.array(own, parent))).groupBy("word").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("_s"), F.sum("nlogn").alias("_nlogn")
     )
-    entropy = F.coalesce(F.log("_s") - F.col("_nlogn") / F.col("_s"), F.lit(0.0))
     # A row per distinct first character of Unicode at most: small enough to ship.
+    first = word_counts.filter(F.length("token") > 0).groupBy(F.left("token", F.lit(1)).alias("_first")).agg(
+        F.sum("freq").alias("_first_n")
+    )
+    entropy = F.when(F.col("_s") > 0, F.log("_s") - F.col("_nlogn") / F.col("_s")).otherwise(0.0)
+    length = F.length("word")
     scored = (
-        counts.filter(F.col("len").between(2, max_length) & (F.col("n") >= min_frequency))
-        .withColumn("_first", F.expr("left(prefix, 1)"))
+        merged.filter(length.between(2, max_length) & (F.col("n") >= min_frequency))
+        .withColumn("_first", F.left("word", F.lit(1)))
         .join(F.broadcast(first), "_first")
-        .join(nexts, F.col("prefix") == F.col("_parent"), "left")
         .select(
-            F.col("prefix").alias("word"),
-            "n",
-            F.pow(F.col("n") / F.col("_first_n"), 1.0 / (F.col("len") - 1)).alias("cohesion"),
+            "word", "n", F.pow(F.col("n") / F.col("_first_n"), 1.0 / (length - 1)).alias("cohesion"),
             F.greatest(entropy, F.lit(0.0)).alias("entropy"),
         )
     )
@@ -290,12 +287,8 @@ def best_left_parts(word_counts: DataFrame, scores: DataFrame) -> DataFrame:
 
     Without a scored part the whole word is the left part. Equal scores go to the longer part.
     """
-    def parts(chars: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.size(chars)), lambda k: F.array_join(F.slice(chars, 1, k), "")
-        )
-
-    prefixes = let(F.split("token", ""), parts)
+    lengths = F.sequence(F.lit(1), F.length("token"))
+    prefixes = F.transform(lengths, lambda k: F.left("token", k))
     long = word_counts.filter(F.length("token") > 0).select(
         "token", "freq", F.explode(prefixes).alias("_prefix")
     )
@@ -315,7 +308,7 @@ def l_tokenize(
     column: str = "tokens", out: str = "parts",
 ) -> DataFrame:
     """Replace every word of an array column by its left part and the rest."""
-    cut = best_left_parts(word_counts, scores)
+    cut = best_left_parts(word_counts, materialize(scores, "scores"))
     parts = F.array_remove(F.array("left", "right"), "")
     table = cut.select("token", "freq", parts.alias("parts"))
     return lookup_array(

@@ -17,6 +17,7 @@ from corpusloom.operators.corpus import sample_rows
 from corpusloom.plans.blocks import best_matches
 from corpusloom.plans.lookup import lookup_rows, small_table
 from corpusloom.plans.ranking import average_ranks
+from corpusloom.plans.unnest import unnest
 
 MAX_VECTOR_WORDS = 200_000
 MAX_PAIRWISE = 1000
@@ -39,7 +40,7 @@ def sum_word_vectors(
     rows = small_table(vectors.select("key", "vec"), max_words)
     if rows is not None and rows.num_rows:
         return _sum_in_place(df, rows, column)
-    long = df.select(*row_key, F.explode(column).alias("_token"))
+    long = unnest(df, column, *row_key, value="_token")
     found = lookup_rows(long, "_token", vectors, "key", "vec", weight).filter(F.col("vec").isNotNull())
     sums = found.groupBy(*row_key).agg(
         vector_to_array(Summarizer.sum(array_to_vector("vec"))).alias("_sum"), F.count("*").alias("known")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.arrays import pad_right
 from corpusloom.plans.lookup import lookup_array, lookup_rows
 from corpusloom.plans.ranking import top_ranked
+from corpusloom.plans.unnest import unnest
 from corpusloom.sources.writers import vocab_with_specials
 
 # Marks that open a language-model vocabulary, and its character codes.
@@ -17,9 +18,7 @@ BOS_CHAR, EOS_CHAR, BOW_CHAR, EOW_CHAR, PAD_CHAR = 256, 257, 258, 259, 260
 
 def token_counts(df: DataFrame, column: str = "tokens") -> DataFrame:
     """``token, freq``; counts are added up before the shuffle, so a frequent token is cheap."""
-    return df.select(F.explode(column).alias("token")).groupBy("token").agg(
-        F.count("*").alias("freq")
-    )
+    return unnest(df, column, value="token").groupBy("token").agg(F.count("*").alias("freq"))
 
 
 def token_total(counts: DataFrame) -> DataFrame:

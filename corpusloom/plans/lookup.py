@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from corpusloom.plans.unnest import unnest
+
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 256 << 20
 HOT_KEYS = 10_000
@@ -120,7 +122,7 @@ def lookup_array(
         inner = element.elementType if nested else element
         return map_elements(df, column, out, inner, make, nested)
 
-    long = df.select(*row_key, F.posexplode(column).alias("_pos", "_key"))
+    long = unnest(df, column, *row_key, value="_key", pos="_pos")
     found = lookup_rows(long, "_key", table, key, value, weight)
     if default is None:
         found = found.filter(F.col(value).isNotNull())
@@ -128,7 +130,7 @@ def lookup_array(
     else:
         missing = F.array(*[F.lit(d) for d in default]) if nested else F.lit(default)
         filled = F.coalesce(F.col(value), missing)
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", filled.alias("_v"))))
+    ordered = F.sort_array(F.collect_list(F.struct("_pos", filled.alias("_v"))))
     arrays = found.groupBy(*row_key).agg(F.transform(ordered, lambda e: e["_v"]).alias(out))
     joined = df.join(arrays, row_key, "left")
     empty = F.array().cast(T.ArrayType(element))

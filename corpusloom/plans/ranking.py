@@ -22,8 +22,9 @@ def top_ranked(counts: DataFrame, k: int, count: str, key: str, out: str = "id")
 
     A histogram of the counts gives the lowest count that can still be among the first ``k``.
     Only rows reaching it are sorted, so the final sort sees about ``k`` rows however many keys
-    there are.
+    there are. The counts are written once, or both passes would count the corpus.
     """
+    counts = materialize(counts, "counts")
     histogram = counts.groupBy(F.col(count).alias("_c")).agg(F.count("*").alias("_n"))
     running = Window.orderBy(F.col("_c").desc()).rowsBetween(Window.unboundedPreceding, -1)
     floor = (

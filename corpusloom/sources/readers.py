@@ -24,20 +24,20 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(strip(F.col("value")).alias("text"))
 
 
+# Columns that order the rows of ``read_ordered_lines``.
+LINE_ORDER = ["file", "block", "place"]
+
+
 def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file and zero-based line number.
+    """Lines with ``file, block, place``, which put them in the order of the files.
 
-    A text scan keeps no order between tasks, so each line takes its number from the place of
-    its newline: whole files are read as rows and cut in place. Files must fit in a row.
+    A file is read in splits. The split's start orders the splits, and inside one split the row
+    counter of its task grows with the lines, so files of any size keep their order unread as a
+    whole.
     """
-    files = spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("file"), F.split("value", "\r?\n").alias("lines")
-    )
-    whole = F.when(
-        F.element_at("lines", -1) == "", F.slice("lines", 1, F.size("lines") - 1)
-    ).otherwise(F.col("lines"))
-    return files.select("file", F.posexplode(whole).alias("line_no", "text")).withColumn(
-        "line_no", F.col("line_no").cast("bigint")
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"), F.col("value").alias("text"),
     )
 
 
@@ -56,7 +56,11 @@ def read_labelled_tsv(spark: SparkSession, path: str, with_label: bool = True) -
 
 def read_review_json(spark: SparkSession, path: str) -> DataFrame:
     """Every file is an array of reviews; empty ones are dropped."""
-    rows = spark.read.schema(REVIEW_SCHEMA).json(path, multiLine=True)
+    return clean_reviews(spark.read.schema(REVIEW_SCHEMA).json(path, multiLine=True))
+
+
+def clean_reviews(rows: DataFrame) -> DataFrame:
+    """``text, tag`` of reviews that are not empty."""
     return rows.select(strip(F.col("review")).alias("text"), F.col("movie_id").alias("tag")).filter(
         F.length("text") > 0
     )
@@ -123,7 +127,7 @@ def blankline_documents(lines: DataFrame, order: list[str]) -> DataFrame:
 
 def read_blankline_docs(spark: SparkSession, path: str) -> DataFrame:
     """One sentence per line, blank lines between documents."""
-    return blankline_documents(read_ordered_lines(spark, path), ["file", "line_no"])
+    return blankline_documents(read_ordered_lines(spark, path), LINE_ORDER)
 
 
 def parse_records(lines: DataFrame, names: list[str], column: str = "text") -> DataFrame:
@@ -154,18 +158,20 @@ def read_vectors(spark: SparkSession, path: str, layout: str = "space") -> DataF
     return parse_vectors(lines, "\t" if layout == "tab" else " ")
 
 
+def _numbered_tokens(lines: DataFrame) -> DataFrame:
+    tokens = lines.withColumn("token", strip(F.col("text"))).drop("text")
+    return with_row_number(tokens, [F.col(c) for c in LINE_ORDER], "id").select("token", "id")
+
+
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
-    """``token, id`` where the id is the line number."""
-    return read_ordered_lines(spark, path).select(
-        strip(F.col("text")).alias("token"), F.col("line_no").alias("id")
-    )
+    """``token, id`` where the id is the line number, running on over part files."""
+    return _numbered_tokens(read_ordered_lines(spark, path))
 
 
 def read_lm_vocab(spark: SparkSession, path: str, require_specials: bool = False) -> DataFrame:
     """As ``read_vocab`` without the reserved line; can insist on the sentence marks."""
-    tokens = read_vocab(spark, path)
-    kept = tokens.filter(F.col("token") != LM_IGNORED).withColumnRenamed("id", "_line")
-    vocab = with_row_number(kept, [F.col("_line")], "id").select("token", "id")
+    lines = read_ordered_lines(spark, path)
+    vocab = _numbered_tokens(lines.filter(strip(F.col("text")) != LM_IGNORED))
     if require_specials:
         names = list(LM_SPECIALS.values())
         found = vocab.filter(F.col("token").isin(names)).select("token").distinct().count()

@@ -92,7 +92,7 @@ def write_cooc_shards(cells: DataFrame, path: str, shards: int, mode: str = "err
 def shard_manifest(batches: DataFrame) -> DataFrame:
     """Per task and pass: its file names in order, and its number of batches."""
     return batches.groupBy("task", "pass_id").agg(
-        F.array_sort(F.collect_set("filename")).alias("filenames"),
+        F.sort_array(F.collect_set("filename")).alias("filenames"),
         F.sum("num_batch").cast("bigint").alias("num_batch"),
     )
 
