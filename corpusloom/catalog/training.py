@@ -179,7 +179,7 @@ def recursive(ctes: str) -> str:
 @catalog.add(recursive(SENTENCES) + 'SELECT doc_id, copy, target, start, cut, "end", is_random FROM walk')
 def pack_segments(spark, sf):
     docs = ex.duplicate_corpus(sentence_docs(spark, sf).select("doc_id", "sizes"), 2)
-    return ex.pack_segments(docs, 125).drop("sizes", "chunk_no")
+    return ex.pack_segments(docs, 125).drop("chunk_no")
 
 
 TRIES = "[" + ", ".join(

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -151,6 +152,25 @@ def walk_segments(sizes: list[int], target: int, seed: object, *keys: object) ->
         start = cut if is_random else end
 
 
+CHUNK_FIELDS = ("start", "cut", "end", "is_random", "a_from", "a_to", "b_to")
+
+
+def _with_chunks(docs: DataFrame, max_tokens: int, short_prob: float, seed: object, key: str) -> DataFrame:
+    """Add ``target`` and ``_chunks``, the chunks of each document in sentences and in tokens."""
+    aimed = docs.withColumn("target", short_target(max_tokens, short_prob, seed, F.col("copy"), F.col(key)))
+
+    @F.pandas_udf("array<struct<" + ",".join(f"{name}:bigint" for name in CHUNK_FIELDS) + ">>")
+    def walk(sizes: pd.Series, target: pd.Series, copy: pd.Series, doc: pd.Series) -> pd.Series:
+        rows = []
+        for s, t, c, d in zip(sizes, target, copy, doc):
+            edge = [0, *np.cumsum(s).tolist()]
+            chunks = walk_segments(list(s), t, seed, c, d)
+            rows.append([dict(zip(CHUNK_FIELDS, (*k, edge[k[0]], edge[k[1]], edge[k[2]]))) for k in chunks])
+        return pd.Series(rows)
+
+    return aimed.withColumn("_chunks", walk("sizes", "target", "copy", key))
+
+
 def pack_segments(
     docs: DataFrame, max_tokens: int, short_prob: float = 0.1, seed: object = 7, key: str = "doc_id"
 ) -> DataFrame:
@@ -160,22 +180,9 @@ def pack_segments(
     starts depends on the one before, so a document is walked in order, but within its own row:
     only the sentence sizes go to Python and nothing is grouped.
     """
-    other = [c for c in docs.columns if c != "sizes"]
-    aimed = docs.withColumn("target", short_target(max_tokens, short_prob, seed, F.col("copy"), F.col(key)))
-
-    @F.pandas_udf("array<struct<start:bigint,cut:bigint,end:bigint,is_random:bigint>>")
-    def walk(sizes: pd.Series, target: pd.Series, copy: pd.Series, doc: pd.Series) -> pd.Series:
-        names = ("start", "cut", "end", "is_random")
-        return pd.Series(
-            [
-                [dict(zip(names, chunk)) for chunk in walk_segments(list(s), t, seed, c, d)]
-                for s, t, c, d in zip(sizes, target, copy, doc)
-            ]
-        )
-
-    walked = aimed.withColumn("_chunks", walk("sizes", "target", "copy", key))
-    chunks = unnest(walked, "_chunks", *other, "sizes", "target", value="_c", pos="chunk_no")
-    return chunks.select(*other, "sizes", "target", "chunk_no", "_c.*")
+    walked = _with_chunks(docs, max_tokens, short_prob, seed, key)
+    chunks = unnest(walked, "_chunks", key, "copy", "target", value="_c", pos="chunk_no")
+    return chunks.select(key, "copy", "target", "chunk_no", *[f"_c.{name}" for name in CHUNK_FIELDS[:4]])
 
 
 def _total(sizes: Column) -> Column:
@@ -237,22 +244,30 @@ def next_sentence_pairs(
     numbers = with_row_number(filled.select(key), [F.col(key)], "doc_no")
     numbered = filled.join(numbers, key)
     n_docs = numbers.agg(F.count("*")).scalar()
-    chunks = pack_segments(duplicate_corpus(numbered, copies), max_tokens, short_prob, seed, key)
+    walked = _with_chunks(duplicate_corpus(numbered, copies), max_tokens, short_prob, seed, key)
 
     def part(first: Column, last: Column) -> Column:
-        before = _total(F.slice("sizes", F.lit(1), first.cast("int")))
-        inside = _total(F.slice("sizes", (first + 1).cast("int"), (last - first).cast("int")))
-        return F.slice("ids", (before + 1).cast("int"), inside.cast("int"))
-
+        return F.slice("ids", (first + 1).cast("int"), (last - first).cast("int"))
+
+    # The tokens are cut inside the document's row, so a chunk's row carries its own only.
+    pieces = F.transform(
+        "_chunks",
+        lambda c: F.struct(
+            c["is_random"].alias("is_random"), part(c["a_from"], c["a_to"]).alias("tokens_a"),
+            F.when(c["is_random"] == 0, part(c["a_to"], c["b_to"])).alias("_next"),
+        ),
+    )
+    chunks = unnest(walked, pieces, key, "copy", "target", "doc_no", value="_c", pos="chunk_no").select(
+        key, "copy", "target", "doc_no", "chunk_no", "_c.*"
+    )
     keys = [F.col("copy"), F.col(key), F.col("chunk_no")]
     tries = [pick(n_docs, f"{seed}/document/{i}", *keys) for i in range(10)]
     other = F.coalesce(*[F.when(t != F.col("doc_no"), t) for t in tries], tries[-1])
     random = F.col("is_random") == 1
     # A chunk that keeps its own second part meets its own document, which spreads those evenly.
     cut = chunks.select(
-        key, "copy", "chunk_no", "target", "is_random", F.when(random, other).otherwise(F.col("doc_no")).alias("_other"),
-        part(F.col("start"), F.col("cut")).alias("tokens_a"),
-        F.when(~random, part(F.col("cut"), F.col("end"))).alias("_next"),
+        key, "copy", "chunk_no", "target", "is_random", "tokens_a", "_next",
+        F.when(random, other).otherwise(F.col("doc_no")).alias("_other"),
     )
     foreign = numbered.select(
         F.col("doc_no").alias("_other"), F.col("ids").alias("_ids"), F.col("sizes").alias("_sizes")
