@@ -60,8 +60,7 @@ def cooccurrence_harmonic(spark, sf):
     + f"SELECT x AS row_id, y AS col_id, round(sum(w), 6) AS value FROM ({BOTH}) WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY ALL"
 )
 def cooccurrence_linear(spark, sf):
-    frequent = vocabulary.vocab_min_count(counts(spark, sf), 10)
-    vocab = top_ranked(frequent, 1_000_000, "freq", "token")
+    vocab = vocabulary.vocab_ranked(vocabulary.vocab_min_count(counts(spark, sf), 10))
     coded = vocabulary.encode_with_unknown(token_lines(spark, sf), vocab, LINE_KEY, -1)
     return st.cooccurrence_linear(coded.select("ids")).withColumn("value", F.round("value", 6))
 
@@ -74,7 +73,7 @@ def cooccurrence_linear(spark, sf):
     + f"SELECT x AS row_id, y AS col_id, round(sum(w), 6) AS value FROM ({BOTH}) GROUP BY ALL"
 )
 def cooccurrence_glove(spark, sf):
-    vocab = top_ranked(vocabulary.vocab_min_count(counts(spark, sf), 5), 1_000_000, "freq", "token")
+    vocab = vocabulary.vocab_ranked(vocabulary.vocab_min_count(counts(spark, sf), 5))
     coded = vocabulary.in_vocab(token_lines(spark, sf), vocab, LINE_KEY).select("ids")
     return st.cooccurrence_glove(coded).withColumn("value", F.round("value", 6))
 

@@ -154,7 +154,7 @@ def encode_sentences(spark, sf):
     + PER_LINE.format(id="id")
 )
 def encode_strict(spark, sf):
-    every = top_ranked(counts(spark, sf), 100_000_000, "freq", "token")
+    every = vocabulary.vocab_ranked(counts(spark, sf))
     coded = vocabulary.encode_strict(token_lines(spark, sf), every, LINE_KEY)
     return coded.select(*LINE_KEY, joined("ids").alias("ids"))
 

@@ -35,15 +35,16 @@ def train_word2vec(
     """``key, vec``: skip-gram word vectors (hierarchical softmax).
 
     The solver keeps one vector per word on the driver, so the corpus is cut to ``vocab`` (a
-    bounded vocabulary with ``token``) first.
+    bounded vocabulary with ``token``) first, and written, as every pass reads it.
     """
     table = vocab.withColumn("_same", F.col("token"))
     kept = lookup_array(df, column, "_kept", table, "token", "_same", row_key, None, weight)
+    kept = materialize(kept.select("_kept"), "words")
     parts = max(1, min(kept.sparkSession.sparkContext.defaultParallelism, kept.rdd.getNumPartitions()))
     model = Word2Vec(
         vectorSize=size, windowSize=window, minCount=min_count, maxIter=iterations, seed=seed,
         numPartitions=parts, inputCol="_kept", outputCol="_out",
-    ).fit(kept.select("_kept"))
+    ).fit(kept)
     return model.getVectors().select(F.col("word").alias("key"), vector_to_array("vector").alias("vec"))
 
 
@@ -108,10 +109,15 @@ def doc_lsa(weights: DataFrame, terms: DataFrame, width: int, k: int = 100) -> D
 def fit_topics(
     df: DataFrame, k: int = 30, vocab_size: int = 100_000, iterations: int = 20, seed: int = 1, column: str = "tokens"
 ) -> tuple[LDAModel, CountVectorizerModel]:
-    """A topic model over documents as sets of words."""
-    bags = df.select(distinct_bow(F.col(column)).alias("bag"))
+    """A topic model over documents as sets of words.
+
+    The counted documents are written once, as every iteration reads them.
+    """
+    bags = materialize(df.select(distinct_bow(F.col(column)).alias("bag")), "bags")
     words = CountVectorizer(inputCol="bag", outputCol="features", vocabSize=vocab_size, binary=True).fit(bags)
-    model = LDA(k=k, maxIter=iterations, seed=seed, optimizer="online").fit(words.transform(bags))
+    model = LDA(k=k, maxIter=iterations, seed=seed, optimizer="online").fit(
+        materialize(words.transform(bags).select("features"), "bags")
+    )
     return model, words
 
 

@@ -11,6 +11,7 @@ from corpusloom.functions.arrays import scale
 from corpusloom.functions.hashing import digest
 from corpusloom.plans.lookup import lookup_rows
 from corpusloom.plans.unnest import unnest
+from corpusloom.session import materialize
 
 # Weights are summed as integers where a common denominator of this size does it: the sums are
 # then exact and independent of the order in which partitions are added.
@@ -93,7 +94,11 @@ def shuffle_pairs(cells: DataFrame, seed: object) -> DataFrame:
 
 
 def _with_margins(cells: DataFrame) -> tuple[DataFrame, Column]:
-    """Cells with both margins, and the grand total. Margins hold one row per vocabulary id."""
+    """Cells with both margins, and the grand total. Margins hold one row per vocabulary id.
+
+    The matrix is written once, or each margin would count the corpus again.
+    """
+    cells = materialize(cells, "cells")
     rows = marginals(cells)
     columns = cells.groupBy("col_id").agg(F.sum("value").alias("col_sum"))
     total = rows.agg(F.sum("row_sum")).scalar()
@@ -140,7 +145,7 @@ def term_filter(tokens: Column, stop: list[str] | None = None, pattern: str | No
 def tfidf(df: DataFrame, doc: str = "doc_id", column: str = "tokens") -> DataFrame:
     """``doc, term, tf, tfidf`` with idf ln((1 + n) / (1 + df)) + 1 and rows of length one.
 
-    Terms are counted once per document. The frequencies of terms over documents are joined
+    Terms are counted once per document and written. The frequencies of terms over documents are joined
     back on the term, common terms by broadcast, and row lengths need the document's rows only.
     """
     terms = F.transform(column, lambda t: F.lower(t))
@@ -149,6 +154,7 @@ def tfidf(df: DataFrame, doc: str = "doc_id", column: str = "tokens") -> DataFra
         .groupBy(doc, "term")
         .agg(F.count("*").alias("tf"))
     )
+    long = materialize(long, "terms")
     frequency = long.groupBy("term").agg(F.count("*").alias("_df"))
     total = df.agg(F.count("*")).scalar()
     idf = F.log((F.lit(1) + total) / (F.col("_df") + 1)) + 1

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import pad_right
 from corpusloom.plans.lookup import lookup_array, lookup_rows
-from corpusloom.plans.ranking import top_ranked
+from corpusloom.plans.ranking import top_ranked, with_row_number
 from corpusloom.plans.unnest import unnest
 from corpusloom.sources.writers import vocab_with_specials
 
@@ -31,6 +31,14 @@ def vocab_top_k(counts: DataFrame, k: int = 100_000, specials: list[str] | None
     return vocab_with_specials(ranked, LM_MARKS if specials is None else specials)
 
 
+def vocab_ranked(counts: DataFrame) -> DataFrame:
+    """``id, token, freq``: every token by descending count, ties by token.
+
+    For vocabularies without a size limit; the order is made by range partitions.
+    """
+    return with_row_number(counts, [F.col("freq").desc(), F.col("token")], "id").select("id", "token", "freq")
+
+
 def vocab_sharded(
     counts: DataFrame, max_size: int = 102_400, min_count: int = 5, shard: int = 4096
 ) -> DataFrame:
