@@ -194,7 +194,7 @@ def read_analogies(spark, sf):
     return readers.read_analogies(spark, path)
 
 
-@catalog.add("SELECT vec_id, 65 AS n, label + 64 * 65 // 2 AS total FROM (SELECT vec_id, label FROM embeddings)")
+@catalog.add("SELECT vec_id, 65::BIGINT AS n, (label + 64 * 65 // 2)::BIGINT AS total FROM (SELECT vec_id, label FROM embeddings)")
 def read_id_lines(spark, sf):
     path = fresh(spark, "ids")
     rows = table(spark, sf, "embeddings")

@@ -226,11 +226,11 @@ def parse_id_lines(spark, sf):
 
 @catalog.add("""
 WITH a AS (SELECT conv_id, turn, text FROM conversations)
-SELECT c.conv_id, c.turn, 0 AS line, c.text FROM a c
+SELECT c.conv_id, c.turn, 0::BIGINT AS line, c.text FROM a c
 UNION ALL
-SELECT c.conv_id, c.turn, 1 AS line, c.text || ' ' || c.text FROM a c
+SELECT c.conv_id, c.turn, 1::BIGINT AS line, c.text || ' ' || c.text FROM a c
 UNION ALL
-SELECT c.conv_id, c.turn, 2 AS line, c.text || ' ' || CAST(c.turn AS VARCHAR) FROM a c
+SELECT c.conv_id, c.turn, 2::BIGINT AS line, c.text || ' ' || CAST(c.turn AS VARCHAR) FROM a c
 """)
 def flatten_qa(spark, sf):
     # Each turn is the context of one paragraph whose question has two answers.

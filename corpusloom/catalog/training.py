@@ -195,7 +195,7 @@ bounds AS (SELECT c.*, s.upto - s.size AS a0, m.upto AS a1, e.upto AS b1 FROM ch
 tried AS (SELECT *, {TRIES} AS t FROM bounds),
 other AS (SELECT x.*, o.doc_id AS o_id, o.n AS o_n,
   {sql_draw('7/start', 'copy', 'x.doc_id', 'chunk_no')} % o.n AS b_start
-  FROM (SELECT *, coalesce(list_filter(t, lambda d: d <> doc_no)[1], t[10]) AS o_no FROM tried) x JOIN sizes o ON o.doc_no = x.o_no),
+  FROM (SELECT *, coalesce(list_filter(t, lambda d: d <> doc_no)[1], t[10]) AS o_no FROM tried WHERE is_random = 1) x JOIN sizes o ON o.doc_no = x.o_no),
 foreign_ AS (SELECT x.doc_id, x.copy, x.chunk_no, x.o_id, f.upto - f.size AS f0,
     coalesce(min(g.upto), max(z.upto)) AS f1
   FROM other x JOIN sents f ON f.doc_id = x.o_id AND f.i = x.b_start
@@ -205,7 +205,7 @@ foreign_ AS (SELECT x.doc_id, x.copy, x.chunk_no, x.o_id, f.upto - f.size AS f0,
 SELECT b.doc_id, b.copy, b.chunk_no, b.is_random, {text_of('own.l[a0 + 1:a1]')} AS tokens_a,
        CASE WHEN b.is_random = 1 THEN {text_of('oth.l[f0 + 1:f1]')} ELSE {text_of('own.l[a1 + 1:b1]')} END AS tokens_b
 FROM bounds b JOIN doc_ids own ON own.doc_id = b.doc_id
-JOIN foreign_ f ON f.doc_id = b.doc_id AND f.copy = b.copy AND f.chunk_no = b.chunk_no JOIN doc_ids oth ON oth.doc_id = f.o_id
+LEFT JOIN foreign_ f ON f.doc_id = b.doc_id AND f.copy = b.copy AND f.chunk_no = b.chunk_no LEFT JOIN doc_ids oth ON oth.doc_id = f.o_id
 """)
 def next_sentence_pairs(spark, sf):
     pairs = ex.next_sentence_pairs(sentence_docs(spark, sf), 125, copies=2)
@@ -290,7 +290,7 @@ def mask_tokens(spark, sf):
 @catalog.add(with_(MASKED) + f"""
 SELECT doc_id, line_no, {text_of(f"list_concat(masked, {fill('0', '128 - len(masked)')})")} AS input_ids,
   len(masked) AS ones, {text_of(f"list_concat(positions, {fill('0', '20 - len(positions)')})")} AS masked_lm_positions,
-  {text_of(f"list_concat(labels, {fill('0', '20 - len(labels)')})")} AS masked_lm_ids, len(positions)::DOUBLE AS weight, 0 AS next_sentence_label
+  {text_of(f"list_concat(labels, {fill('0', '20 - len(labels)')})")} AS masked_lm_ids, len(positions)::DOUBLE AS weight, 0::BIGINT AS next_sentence_label
 FROM example
 """)
 def pad_masked_example(spark, sf):

@@ -379,7 +379,7 @@ def pool_tokens(spark, sf):
 
 
 @catalog.add(with_(EMB) + """
-SELECT vec_id, n, d, round(vec[4 * p + d + 1], 6) AS x FROM emb,
+SELECT vec_id, n::BIGINT AS n, d, round(vec[4 * p + d + 1], 6) AS x FROM emb,
   (VALUES (0, 0), (1, 5), (2, 15)) s(n, q), range(4) r(d), LATERAL (SELECT (q + vec_id) % 16 AS p)
 """)
 def gather_positions(spark, sf):
@@ -606,7 +606,7 @@ def best_checkpoints(spark, sf):
     return metrics.best_checkpoints(scores)
 
 
-@catalog.add(with_(EMB) + "SELECT vec_id, list_position(vec[1:10], list_max(vec[1:10])) - 1 AS predicted FROM emb")
+@catalog.add(with_(EMB) + "SELECT vec_id, (list_position(vec[1:10], list_max(vec[1:10])) - 1)::BIGINT AS predicted FROM emb")
 def argmax_prediction(spark, sf):
     logits = F.slice("vec", 1, 10)
     return embeddings(spark, sf).select("vec_id", metrics.argmax_prediction(logits).alias("predicted"))
