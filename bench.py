@@ -17,12 +17,10 @@ from corpusloom.catalog import all_queries
 from corpusloom.session import build_session
 
 HEADLINE = """
-token_counts vocab_top_k wiki_clean split_sentences basic_tokens_lower basic_tokens_cased tokenize_corpus_whitespace
-in_vocab wordpiece full_tokenize merge_pair_counts word_scores l_tokenize train_spacing apply_spacing char_ngrams
-cooccurrence_harmonic cooccurrence_glove pmi pmi_targets top_collocates tfidf cooc_shards
-sentence_mean sentence_bow_vector tag_vectors oov_vectors most_similar analogy_accuracy nearest_label
-train_word2vec word_lsa features_right_pad mask_tokens masked_pair_examples sentence_stream batchify
-segment_pair_windows lm_windows running_perplexity
+token_counts vocab_top_k wiki_clean basic_tokens_lower in_vocab wordpiece merge_pair_counts word_scores
+train_spacing char_ngrams cooccurrence_harmonic pmi top_collocates tfidf sentence_mean tag_vectors
+most_similar analogy_accuracy nearest_label features_right_pad mask_tokens masked_pair_examples
+sentence_stream batchify lm_windows running_perplexity
 """.split()
 
 

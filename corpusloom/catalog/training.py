@@ -151,18 +151,18 @@ SENTENCES = SQL_COUNTS + "," + sql_ranked(WORDS) + f""",
 cut_text AS (SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) AS k FROM (
   SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '^{WS}+|{WS}+$', '', 'g'), '([.!?]){WS}+', '\\1' || chr(1), 'g'), chr(1)) AS l FROM documents)),
 sent_words AS (SELECT doc_id, k, list_filter(string_split_regex(s, '{WS}+'), lambda t: t <> '') AS w FROM cut_text),
-sents AS (
+sents AS MATERIALIZED (
   SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS i, len(w) AS size,
          sum(len(w)) OVER (PARTITION BY doc_id ORDER BY k) AS upto
   FROM sent_words WHERE len(w) > 0),
-doc_ids AS (SELECT doc_id, list(coalesce(id + 5, 1) ORDER BY line_no, pos) AS l FROM tokens LEFT JOIN ranked USING (token) GROUP BY doc_id),
-sizes AS (SELECT doc_id, count(*) AS n, row_number() OVER (ORDER BY doc_id) - 1 AS doc_no FROM sents GROUP BY doc_id),
+doc_ids AS MATERIALIZED (SELECT doc_id, list(coalesce(id + 5, 1) ORDER BY line_no, pos) AS l FROM tokens LEFT JOIN ranked USING (token) GROUP BY doc_id),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n, row_number() OVER (ORDER BY doc_id) - 1 AS doc_no FROM sents GROUP BY doc_id),
 aimed AS (SELECT doc_id, n, copy, {sql_target()} AS target FROM sizes, range(2) r(copy)),
 ends AS (SELECT a.doc_id, a.copy, a.target, a.n, s.i AS start, coalesce(min(e.i) + 1, a.n) AS "end"
   FROM aimed a JOIN sents s ON s.doc_id = a.doc_id
   LEFT JOIN sents e ON e.doc_id = s.doc_id AND e.i >= s.i AND e.upto >= s.upto - s.size + a.target
   GROUP BY a.doc_id, a.copy, a.target, a.n, s.i),
-steps AS (SELECT *, start + 1 + CASE WHEN "end" - start < 2 THEN 0 ELSE {sql_draw('7/cut', 'copy', 'doc_id', 'start')} % ("end" - start - 1) END AS cut,
+steps AS MATERIALIZED (SELECT *, start + 1 + CASE WHEN "end" - start < 2 THEN 0 ELSE {sql_draw('7/cut', 'copy', 'doc_id', 'start')} % ("end" - start - 1) END AS cut,
   ("end" - start = 1 OR {sql_draw('7/next', 'copy', 'doc_id', 'start')} < 2147483648)::BIGINT AS is_random FROM ends),
 walk AS (
   SELECT * FROM steps WHERE start = 0
@@ -188,15 +188,15 @@ TRIES = "[" + ", ".join(
 
 
 @catalog.add(recursive(SENTENCES) + f""",
-chunks AS (SELECT w.*, row_number() OVER (PARTITION BY w.doc_id, w.copy ORDER BY start) - 1 AS chunk_no, z.doc_no FROM walk w JOIN sizes z USING (doc_id)),
-bounds AS (SELECT c.*, s.upto - s.size AS a0, m.upto AS a1, e.upto AS b1 FROM chunks c
+chunks AS MATERIALIZED (SELECT w.*, row_number() OVER (PARTITION BY w.doc_id, w.copy ORDER BY start) - 1 AS chunk_no, z.doc_no FROM walk w JOIN sizes z USING (doc_id)),
+bounds AS MATERIALIZED (SELECT c.*, s.upto - s.size AS a0, m.upto AS a1, e.upto AS b1 FROM chunks c
   JOIN sents s ON s.doc_id = c.doc_id AND s.i = c.start JOIN sents m ON m.doc_id = c.doc_id AND m.i = c.cut - 1
   JOIN sents e ON e.doc_id = c.doc_id AND e.i = c."end" - 1),
 tried AS (SELECT *, {TRIES} AS t FROM bounds),
 other AS (SELECT x.*, o.doc_id AS o_id, o.n AS o_n,
   {sql_draw('7/start', 'copy', 'x.doc_id', 'chunk_no')} % o.n AS b_start
   FROM (SELECT *, coalesce(list_filter(t, lambda d: d <> doc_no)[1], t[10]) AS o_no FROM tried WHERE is_random = 1) x JOIN sizes o ON o.doc_no = x.o_no),
-foreign_ AS (SELECT x.doc_id, x.copy, x.chunk_no, x.o_id, f.upto - f.size AS f0,
+foreign_ AS MATERIALIZED (SELECT x.doc_id, x.copy, x.chunk_no, x.o_id, f.upto - f.size AS f0,
     coalesce(min(g.upto), max(z.upto)) AS f1
   FROM other x JOIN sents f ON f.doc_id = x.o_id AND f.i = x.b_start
   JOIN (SELECT doc_id, max(upto) AS upto FROM sents GROUP BY doc_id) z ON z.doc_id = x.o_id
