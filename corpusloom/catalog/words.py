@@ -201,7 +201,6 @@ def encode_chars(spark, sf):
 )
 def shift_mask_ids(spark, sf):
     # A document is the batch: its lines are padded to the longest.
-    lists = documents(spark, sf).select("doc_id", F.split("text", "\n").alias("ls"))
     coded = vocabulary.in_vocab(token_lines(spark, sf), vocab_5000(spark, sf), LINE_KEY)
     coded = coded.filter(F.size("ids") > 0)
     longest = coded.groupBy("doc_id").agg(F.max(F.size("ids")).alias("longest"))
