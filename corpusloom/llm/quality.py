@@ -22,7 +22,7 @@ SYMBOLS = "#*$%&|<>"
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals"]
 FEATURES = {
     "words": lambda s: s["n_words"],
-    "mean_word": lambda s: s["word_chars"] / s["n_words"],
+    "mean_word": lambda s: (s["word_chars"] - s["n_symbols"]) / s["n_words"],
     "symbol_share": lambda s: s["n_symbols"] / s["word_chars"],
     "repeat_share": lambda s: s["n_repeat_words"] / s["n_words"],
     "dup_line_share": lambda s: s["n_dup_lines"] / s["n_lines"],
@@ -139,15 +139,20 @@ def _covered(rule: Rule, table: dict[str, np.ndarray], size: int) -> np.ndarray:
     return out
 
 
-def _candidates(table: dict[str, np.ndarray], most: int = 128) -> list[Condition]:
-    """Midpoints between neighbouring values, at evenly spaced ranks if there are many."""
+def _candidates(table: dict[str, np.ndarray], most: int = 128) -> list[tuple[Condition, float]]:
+    """Midpoints between neighbouring values, each with the gap around it in standard deviations.
+
+    If there are many, those at evenly spaced ranks and those of the widest gaps are taken.
+    """
     out = []
     for name, values in table.items():
         distinct = np.unique(values)
-        middles = (distinct[1:] + distinct[:-1]) / 2
+        middles, gaps = (distinct[1:] + distinct[:-1]) / 2, np.diff(distinct) / (values.std() or 1.0)
         if len(middles) > most:
-            middles = middles[np.linspace(0, len(middles) - 1, most).astype(int)]
-        out += [Condition(name, above, float(m)) for m in middles for above in (True, False)]
+            even = np.linspace(0, len(middles) - 1, most // 2).astype(int)
+            some = np.union1d(even, np.argsort(-gaps, kind="stable")[: most // 2])
+            middles, gaps = middles[some], gaps[some]
+        out += [(Condition(name, above, float(m)), float(g)) for m, g in zip(middles, gaps) for above in (True, False)]
     return out
 
 
@@ -159,15 +164,15 @@ def _grow(table: dict[str, np.ndarray], bad: np.ndarray, longest: int) -> Rule:
         p0, n0 = int((bad & inside).sum()), int((~bad & inside).sum())
         if not n0 or not p0:
             break
-        best, gain = None, 1e-9
+        best, gain = None, (1e-9, 0.0)
         wrong = bad[inside]
-        for condition in _candidates(here):
+        for condition, gap in _candidates(here):
             hit = condition.covers(here)
             p, n = int((hit & wrong).sum()), int((hit & ~wrong).sum())
             if p:
                 g = p * (np.log2(p / (p + n)) - np.log2(p0 / (p0 + n0)))
-                if g > gain:
-                    best, gain = condition, g
+                if (g, gap) > gain:  # of equal gains the one with more room around its threshold
+                    best, gain = condition, (g, gap)
         if best is None:
             break
         rule += (best,)
@@ -188,12 +193,14 @@ def _prune(rule: Rule, table: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
 def learn_list(
     table: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.95, longest: int = 4, most: int = 16
 ) -> list[Rule]:
-    """Rules that reject ``bad`` rows, in order. Every third row is held back for pruning.
+    """Rules that reject ``bad`` rows, in order. Every third row of each class is held back for pruning.
 
     A rule must reach ``precision`` on the held-back rows it covers, or the list ends: good
     documents are kept in case of doubt. No rule is found where one class is missing.
     """
-    held = np.arange(len(bad)) % 3 == 2
+    held = np.zeros(len(bad), bool)
+    for kind in (np.flatnonzero(bad), np.flatnonzero(~bad)):
+        held[kind[2::3]] = True
     parts = []
     for mask in (~held, held):
         parts.append(({k: v[mask] for k, v in table.items()}, bad[mask]))
@@ -231,8 +238,9 @@ def learn_rules(
 ) -> list[Rule]:
     """A decision list for ``df`` from the labels 0 (bad) and 1 of its documents.
 
-    At most ``sample`` labelled documents are learned from: those whose ids have the least hashes.
-    Conflicting labels of an id count as bad; NULL ids and NULL labels are left out.
+    At most ``sample`` labelled documents are learned from: those whose ids have the least hashes, without
+    those that the base test rejects anyway. Conflicting labels of an id count as bad; NULL ids and
+    NULL labels are left out.
     """
     known = (
         labels.select(F.col(id_column).alias("_key"), F.col(label_column).alias("_label"))
@@ -242,7 +250,7 @@ def learn_rules(
     )
     chosen = df.select(F.col(id_column).alias("_key"), F.col(text_column).alias("text")).join(F.broadcast(known), "_key")
     rows = (
-        document_statistics(chosen, "_key", "text", keep=["_label"])
+        document_statistics(chosen, "_key", "text", keep=["_label"]).filter(~base_failed())
         .orderBy(F.xxhash64("_key"), "_key", *STATISTICS).limit(sample).toPandas()
     )
     numbers = {s: rows[s].to_numpy(np.float64) for s in STATISTICS}

@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.catalog.base import Catalog, documents, table
-from corpusloom.llm import bpe, mixing, pseudonyms, quality, simhash
+from corpusloom.catalog.base import Catalog, documents, spread, table
+from corpusloom.llm import bpe, languages, mixing, neighbours, pages, pseudonyms, quality, secrets, simhash, warc
 
 catalog = Catalog()
 add = catalog.add
 PSEUDONYM_KEY = "corpusloom"
 
 
+@add()
+def op1_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    found = pages.extract(spread(table(spark, sf, "pages"), "page_id"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @add()
 def op2_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf).select("doc_id", "text"))
@@ -25,6 +31,85 @@ def op3_pii_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("doc_id", "done.text", "done.n_private")
 
 
+@add()
+def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.report(secrets.scan(documents(spark, sf).select("doc_id", "text")))
+
+
+@add()
+def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).withColumn("held_out", languages.held_out(F.col("doc_id")))
+    dictionaries = languages.learn_dictionaries(docs.filter("NOT held_out").select("text", "lang"))
+    found = languages.predict(docs.select("doc_id", "text"), dictionaries)
+    return found.select("doc_id", languages.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def captures(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page as a full response and one later revisit of it under another form of its URL.
+
+    One revisit in seven names another entity tag. All follows from the rows of ``pages``.
+    """
+    rows = spread(table(spark, sf, "pages"), "page_id").select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    tag = F.concat(F.lit('"'), F.md5("html"), F.lit('"'))
+    length = F.length("html").cast("string")
+    full = rows.select(
+        (F.col("page_id") * 2).alias("record_id"), "url", (F.col("page_id") * 100).alias("time"), F.lit(200).alias("status"),
+        F.create_map(
+            F.lit("ETag"), tag, F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), length,
+            F.lit("Cache-Control"), F.lit("max-age=60"),
+        ).alias("headers"),
+        F.col("html").alias("payload"),
+    )
+    time = F.col("page_id") * 100 + 1 + F.col("page_id") * 7919 % 100_000
+    again = rows.select(
+        (F.col("page_id") * 2 + 1).alias("record_id"), F.regexp_replace("url", "^https?:", "HTTP:").alias("url"), time.alias("time"),
+        F.lit(304).alias("status"),
+        F.create_map(
+            F.lit("etag"), F.when(F.col("page_id") % 7 == 0, '"other"').otherwise(tag), F.lit("Cache-Control"), F.lit("max-age=120"),
+            F.lit("Content-Length"), F.lit("0"), F.lit("Date"), time.cast("string"),
+        ).alias("headers"),
+        F.lit(None).cast("string").alias("payload"),
+    )
+    return full.unionByName(again)
+
+
+SQL_WARC = r"""
+WITH addressed AS (
+  SELECT page_id, coalesce(html, '') AS html,
+         regexp_replace(regexp_replace(lower(regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)', 1)), ':(80|443)$', ''), '^www\.', '') AS host,
+         regexp_replace(regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*([^?#]*)', 1), '/(index\.html?)?$', '') AS path,
+         list_sort(list_filter(string_split(regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*[^?#]*\?([^#]*)', 1), '&'),
+           lambda p: p <> '' AND NOT regexp_full_match(p, '(utm_[a-z]*|ref|fbclid|gclid|sessionid)(=.*)?'))) AS params
+  FROM pages),
+pages_by_key AS (
+  SELECT *, host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS key,
+         '"' || md5(html) || '"' AS tag, page_id * 100 + 1 + page_id * 7919 % 100000 AS again
+  FROM addressed),
+paired AS (
+  SELECT v.page_id * 2 + 1 AS record_id, v.key AS canonical_url, v.again AS time, r.page_id * 2 AS response_id, r.html, r.tag AS stored,
+         CASE WHEN v.page_id % 7 = 0 THEN '"other"' ELSE v.tag END AS renewed
+  FROM pages_by_key v ASOF LEFT JOIN (SELECT *, page_id * 100 AS time FROM pages_by_key) r ON v.key = r.key AND v.again > r.time),
+judged AS (
+  SELECT *, CASE WHEN response_id IS NULL THEN 'no earlier response' WHEN stored = renewed THEN 'resolved' ELSE 'changed' END AS outcome FROM paired)
+SELECT record_id, canonical_url, time, response_id, outcome,
+       CASE WHEN outcome = 'resolved' THEN 'cache-control=max-age=120;content-length=' || length(html) ||
+         ';content-type=text/html;date=' || time || ';etag=' || renewed END AS headers,
+       CASE WHEN outcome = 'resolved' THEN length(html)::BIGINT END AS n_chars,
+       CASE WHEN outcome = 'resolved' THEN md5(html) END AS payload_md5
+FROM judged
+"""
+
+
+@add(SQL_WARC)
+def op6_warc_revisits(spark: SparkSession, sf: str) -> DataFrame:
+    found = warc.resolve_revisits(captures(spark, sf))
+    lines = F.sort_array(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return found.select(
+        "record_id", "canonical_url", "time", "response_id", "outcome", F.array_join(lines, ";").alias("headers"),
+        F.length("payload").cast("bigint").alias("n_chars"), F.md5("payload").alias("payload_md5"),
+    )
+
+
 # Shares are found in the order of size over weight, as in mixing.targets; the place of a document
 # in its queue, the finish times and the cut follow by running sums.
 SQL_MIX = r"""
@@ -75,6 +160,11 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.plan_mix(documents(spark, sf).select("doc_id", "text", "source"))
 
 
+@add()
+def op8_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.search(table(spark, sf, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 @add()
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     texts = documents(spark, sf).select("doc_id", "text")
