@@ -17,7 +17,7 @@ from corpusloom.sources import writers
 
 catalog = Catalog()
 
-WORDS = 5000
+WORDS = 31_995
 VOCAB = WORDS + 5
 
 
@@ -59,11 +59,11 @@ ids AS (SELECT doc_id, line_no, list(id ORDER BY pos) AS l FROM coded GROUP BY A
 
 def sql_draw(seed: str, *keys: str) -> str:
     parts = ", ".join([f"'{seed}'", *[f"CAST({k} AS VARCHAR)" for k in keys]])
-    return f"('0x' || substr(md5(concat_ws('|', {parts})), 1, 8))::BIGINT"
+    return f"('0x' || substr(md5(concat_ws('|', {parts})), 1, 15))::BIGINT"
 
 
 def sql_uniform(seed: str, *keys: str) -> str:
-    return f"({sql_draw(seed, *keys)} / 4294967296.0::DOUBLE)"
+    return f"({sql_draw(seed, *keys)} / 1152921504606846976.0::DOUBLE)"
 
 
 def fill(value: str, n: str) -> str:
@@ -163,7 +163,7 @@ ends AS (SELECT a.doc_id, a.copy, a.target, a.n, s.i AS start, coalesce(min(e.i)
   LEFT JOIN sents e ON e.doc_id = s.doc_id AND e.i >= s.i AND e.upto >= s.upto - s.size + a.target
   GROUP BY a.doc_id, a.copy, a.target, a.n, s.i),
 steps AS MATERIALIZED (SELECT *, start + 1 + CASE WHEN "end" - start < 2 THEN 0 ELSE {sql_draw('7/cut', 'copy', 'doc_id', 'start')} % ("end" - start - 1) END AS cut,
-  ("end" - start = 1 OR {sql_draw('7/next', 'copy', 'doc_id', 'start')} < 2147483648)::BIGINT AS is_random FROM ends),
+  ("end" - start = 1 OR {sql_draw('7/next', 'copy', 'doc_id', 'start')} < 576460752303423488)::BIGINT AS is_random FROM ends),
 walk AS (
   SELECT * FROM steps WHERE start = 0
   UNION ALL

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import examples as ex
 from corpusloom.operators import metrics, models, streams, tokenize, vectors, vocabulary
+from corpusloom.operators import vectors as vectors_module
 from corpusloom.plans import blocks
 from corpusloom.plans.lookup import lookup_array
 from corpusloom.plans.ranking import average_ranks, top_ranked, with_prefix, with_row_number
@@ -43,14 +44,23 @@ def test_average_ranks(spark):
 @pytest.mark.parametrize("default", [None, -1])
 def test_lookup_forms_agree(spark, default):
     rnd = random.Random(2)
-    rows = [(i, [rnd.choice("aaaaabcdxyz") for _ in range(rnd.randint(0, 9))]) for i in range(200)]
-    df = spark.createDataFrame(rows, "k bigint, ts array<string>").repartition(5)
-    table = spark.createDataFrame([(c, i, 10 - i) for i, c in enumerate("abcd")], "token string, id bigint, freq bigint")
+    rows = [(i, [rnd.choice("aaaaaaaaabcdxyz-") for _ in range(rnd.randint(0, 9))]) for i in range(200)]
+    rows = [(i, [None if t == "-" else t for t in ts]) for i, ts in rows] + [(200, None), (201, []), (202, [None])]
+    df = spark.createDataFrame([(ts, i) for i, ts in rows], "ts array<string>, k bigint").repartition(5)
+    # The least value of a key counts; NULL keys and values are no entries.
+    entries = [(c, i, 10 - i) for i, c in enumerate("abcd")] + [("a", 7, 1), (None, 3, 1), ("y", None, 1)]
+    table = spark.createDataFrame(entries, "token string, id bigint, freq bigint")
     ids = dict(zip("abcd", range(4)))
-    want = {k: [ids.get(t, default) for t in ts if default is not None or t in ids] for k, ts in rows}
+    want = {k: [ids.get(t, default) for t in ts or [] if default is not None or t in ids] for k, ts in rows}
     for max_rows in (100, 2):
-        got = lookup_array(df, "ts", "ids", table, "token", "id", ["k"], default, "freq", max_rows=max_rows)
-        assert {r["k"]: r["ids"] for r in got.collect()} == want
+        for weight in ("freq", None):
+            got = lookup_array(df, "ts", "ids", table, "token", "id", ["k"], default, weight, max_rows=max_rows)
+            assert got.columns == ["ts", "k", "ids"]
+            assert {r["k"]: r["ids"] for r in got.collect()} == want
+    empty = table.filter("false")
+    assert {r["k"]: r["ids"] for r in lookup_array(df, "ts", "ids", empty, "token", "id", ["k"], default).collect()} == {
+        k: [default] * len(ts or []) if default is not None else [] for k, ts in rows
+    }
 
 
 def test_block_matches_agree(spark, monkeypatch):
@@ -62,9 +72,43 @@ def test_block_matches_agree(spark, monkeypatch):
     scores = np.round(q @ c.T, 9)
     want = {(i, r + 1): int(j) for i in range(40) for r, j in enumerate(np.lexsort((np.arange(70), -scores[i]))[:3])}
     monkeypatch.setattr(blocks, "BLOCK_ROWS", 16)
-    for max_queries in (100, 5):
-        best = blocks.best_matches(queries, candidates, 3, max_queries).collect()
+    for max_shipped in (100, 50, 5):
+        best = blocks.best_matches(queries.repartition(3), candidates.repartition(4), 3, max_shipped).collect()
         assert {(r["query_id"], r["rank"]): r["candidate_id"] for r in best} == want
+        assert blocks.best_matches(queries, candidates.filter("false"), 3, max_shipped).count() == 0
+
+
+def test_repeated_and_odd_analogy_lines(spark):
+    words = {"a": [1.0, 0.0], "b": [0.0, 1.0], "c": [1.0, 1.0], "d": [-1.0, 1.0], "e": [0.5, 1.0]}
+    vectors = spark.createDataFrame([(w, v) for w, v in words.items()], "key string, vec array<double>")
+    lines = [("a", "b", "c", "e"), ("a", "b", "zz", "d"), (None, None, None, "c")]
+    schema = "a string, b string, c string, d string"
+    unit = {w: np.array(v) / np.linalg.norm(v) for w, v in words.items()}
+
+    def right(a, b, c, d):
+        asked = [unit.get(w, np.zeros(2)) for w in (a, b, c)]
+        query = asked[1] + asked[2] - asked[0]
+        query = query / (np.linalg.norm(query) or 1.0)
+        ranked = sorted(unit, key=lambda w: (-round(float(unit[w] @ query), 9), w))
+        return d in ranked[1:3]
+
+    want = sum(right(*line) for line in lines)
+    for times in (1, 2):
+        got = vectors_module.analogy_accuracy(spark.createDataFrame(lines * times, schema), vectors, 2, n=2).first()
+        assert (got["correct"], got["total"]) == (want * times, 3 * times)
+    vocab = vectors.withColumn("id", F.ascii("key") - 97)
+    once = vectors_module.analogy_accuracy_3cosadd(spark.createDataFrame(lines[:2], schema), vocab).first()
+    twice = vectors_module.analogy_accuracy_3cosadd(spark.createDataFrame(lines[:2] * 2, schema), vocab).first()
+    assert (twice["correct"], twice["total"]) == (2 * once["correct"], 4)
+
+
+def test_unknown_words_stay_in_the_sample(spark):
+    vectors = spark.createDataFrame([("a", [3.0, 0.0], 0), ("b", [1.0, 1.0], 1)], "key string, vec array<double>, id int")
+    pairs = spark.createDataFrame([("a", "b", 1.0), ("a", "zz", 2.0), ("b", "b", 3.0)], "word_1 string, word_2 string, score double")
+    zero = [r["predicted"] for r in vectors_module.predicted_similarity(pairs, vectors).orderBy("score").collect()]
+    first = [r["predicted"] for r in vectors_module.predicted_similarity(pairs, vectors, "first").orderBy("score").collect()]
+    assert zero == pytest.approx([0.5**0.5, 0.0, 1.0], abs=1e-8) and first == pytest.approx([0.5**0.5, 1.0, 1.0], abs=1e-8)
+    assert vectors_module.word_similarity_corr(pairs, vectors).first()["n_unknown"] == 1
 
 
 def naive_merges(words, merges):
@@ -100,40 +144,6 @@ def test_learned_merges(spark):
     assert got == naive_merges(words, 25)
 
 
-def naive_windows(ids, starts, ends, seq_len, reuse, seed, row):
-    """Walk a whole row with plain indexing, as a reader of the definition would."""
-    n, room, out, at = len(ids), seq_len - reuse - 3, [], 0
-    while at + seq_len <= n and at + reuse + room < n:
-        window, begin = at // reuse, at + reuse
-        cuts, end = [], begin + 1
-        while end < n:
-            if starts[end] == end:
-                if end - begin >= room:
-                    break
-                cuts.append(end)
-            end += 1
-        apart = not cuts or ex._draw(f"{seed}/apart", row, window) < 2147483648
-        a_end = cuts[ex._draw(f"{seed}/cut", row, window) % len(cuts)] if cuts else end
-        if apart:
-            b_len = max(1, room - (a_end - begin))
-            b_begin = ex._draw(f"{seed}/from", row, window) % (n - b_len)
-            b_end = b_begin + b_len
-            while b_begin > 0 and starts[b_begin] != b_begin:
-                b_begin -= 1
-            while b_end < n - 1 and starts[b_end] != b_end:
-                b_end += 1
-        else:
-            b_begin, b_end = a_end, end
-        while a_end - begin + b_end - b_begin > room:
-            if a_end - begin > b_end - b_begin:
-                a_end -= 1
-            else:
-                b_end -= 1
-        out.append((window, 0 if apart else 1, ids[at:begin], ids[begin:a_end], ids[b_begin:b_end], ids[b_begin : b_end + 1]))
-        at += reuse
-    return out
-
-
 def test_stream_windows(spark):
     rnd = random.Random(5)
     docs = []
@@ -149,15 +159,24 @@ def test_stream_windows(spark):
     block_table, steps = streams.batchify(stream, 3, 64)
     assert steps == len(flat) // 3
     windows = streams.segment_pair_windows(block_table, steps, 24, 8, 64, 9).collect()
-    want = {}
-    for row in range(3):
-        part = slice(row * steps, (row + 1) * steps)
-        s = np.maximum(starts[part] - row * steps, 0)
-        e = np.minimum(ends[part] - row * steps, steps)
-        for w in naive_windows(flat[part], s, e, 24, 8, 9, row):
-            want[row, w[0]] = w[1:]
-    got = {(r["row"], r["window"]): (r["label"], r["inp"], r["a"], r["b"], r["b_target"]) for r in windows}
-    assert got == want
+    room, seen = 24 - 8 - 3, {}
+    for r in windows:
+        ids = flat[r["row"] * steps : (r["row"] + 1) * steps]
+        edges_of = {int(s) - r["row"] * steps for s in starts[r["row"] * steps : (r["row"] + 1) * steps]} | {0}
+        begin, a, b = r["window"] * 8 + 8, r["a"], r["b"]
+        seen.setdefault(r["row"], set()).add(r["window"])
+        assert r["inp"] == ids[begin - 8 : begin] and r["target"] == ids[begin - 7 : begin + 1]
+        assert a == ids[begin : begin + len(a)] and r["a_target"] == ids[begin + 1 : begin + 1 + len(a)]
+        assert a and b and len(a) + len(b) == room and r["b_target"][:-1] == b
+        # B begins with a sentence; with label 1 the one that A's last sentence is followed by.
+        places = [s for s in edges_of if ids[s : s + len(b) + 1] == r["b_target"]]
+        assert places
+        if r["label"] == 1:
+            assert any(begin + len(a) <= s < begin + room for s in places)
+    for row, numbers in seen.items():
+        fits = [w for w in range(steps) if w * 8 + 24 <= steps and w * 8 + 8 + room < steps]
+        assert numbers == set(fits)
+    assert {r["label"] for r in windows} == {0, 1} and len(seen) == 3
     joint = streams.seq_features_joint(streams.segment_pair_windows(block_table, steps, 24, 8, 64, 9))
     assert all(len(r["input"]) == len(r["target"]) == len(r["seg_id"]) == 24 for r in joint.collect())
 
