@@ -16,6 +16,7 @@ from corpusloom.catalog.base import (
 )
 from corpusloom.catalog.stats import CELLS, cells_harmonic
 from corpusloom.catalog.texts import ANALOGY_LINES, STRIP, WIKI_CLEAN
+from corpusloom.functions import text as tx
 from corpusloom.functions.hashing import digest
 from corpusloom.functions.text import whitespace_tokens
 from corpusloom.operators import vocabulary
@@ -58,28 +59,55 @@ def read_labelled_tsv(spark, sf):
 
 @catalog.add(f"SELECT {STRIP} AS text, source AS tag, count(*) AS n FROM documents WHERE {STRIP} <> '' GROUP BY ALL")
 def read_review_json(spark, sf):
-    # A line of its own per file record; each is an array of one review.
+    # Every file is one array of reviews, written over several lines.
     path = fresh(spark, "json")
-    review = F.array(F.struct(F.col("text").alias("review"), F.col("source").alias("movie_id")))
-    documents(spark, sf).select(F.to_json(review).alias("value")).write.text(path)
-    raw = spark.read.text(path).select(F.from_json("value", f"array<struct<{JSON_FIELDS}>>").alias("r"))
-    rows = raw.select(F.inline("r"))
-    return readers.clean_reviews(rows).groupBy("text", "tag").agg(F.count("*").alias("n"))
+    review = F.struct(F.col("text").alias("review"), F.col("source").alias("movie_id"))
+    files = documents(spark, sf).groupBy(F.pmod("doc_id", F.lit(16)).alias("file")).agg(F.collect_list(review).alias("r"))
+    files.repartition(16, "file").select("file", F.to_json("r", {"pretty": "true"}).alias("value")).write.option(
+        "lineSep", "\n"
+    ).partitionBy("file").text(path)
+    rows = readers.read_review_json(spark, f"{path}/*")
+    return rows.groupBy("text", "tag").agg(F.count("*").alias("n"))
+
+
+# What stands before every article; nested brackets are at most three deep, as the SQL repeats three passes.
+WIKI_MARKUP = (
+    "{{Infobox|a={{n|x {{m}}}}|b=c}}<!-- no -->Start<ref name=r/> one<ref>note [[x]]</ref> [[Target page|label]] [[plain]] "
+    "[[File:p.png|thumb|a [[q|caption]] here]] [[File:bare.png]] {| class=t\n| cell {| in |} |} [[Category:C|key]] "
+    "[http://e.org/x named link] a&nbsp;b &lt;end&gt;\n"
+)
+
 
+def wiki_sql(text: str) -> str:
+    def replace(inner: str, pattern: str, kept: str = "") -> str:
+        return f"regexp_replace({inner}, '{pattern}', '{kept}', 'g')"
 
-JSON_FIELDS = "review: string, movie_id: string"
+    out = replace(text, "(?s)<!--.*?-->")
+    for name in tx.WIKI_ELEMENTS:
+        out = replace(replace(out, rf"<{name}\b[^<>]*/>"), rf"(?s)<{name}\b[^<>]*>.*?</{name} *>")
+    for pattern, kept in ((tx.WIKI_TEMPLATE, ""), (tx.WIKI_TABLE, "")):
+        for _ in range(3):
+            out = replace(out, pattern, kept)
+    out = replace(replace(out, tx.WIKI_CATEGORY), tx.WIKI_BARE_FILE)
+    for _ in range(3):
+        out = replace(out, tx.WIKI_LINK, r"\1")
+    out = replace(replace(out, tx.WIKI_ADDRESS, r"\1"), "<[^<>]*>")
+    for sign, letter in tx.WIKI_SIGNS.items():
+        out = f"replace({out}, '{sign}', '{letter}')"
+    return out
 
 
 @catalog.add(f"""
-SELECT page_id AS doc_id, url AS title, array_to_string(list_filter(list_transform(list_filter(string_split({WIKI_CLEAN}, ' '),
-   lambda t: NOT starts_with(t, '_')), lambda t: regexp_replace(t, '\\*$|:$|^파일:.+|^;', '', 'g')), lambda t: t <> ''), ' ') AS tokens
-FROM pages
+WITH plain AS (SELECT page_id, url, {wiki_sql("'" + WIKI_MARKUP + "' || html")} AS html FROM pages),
+pieces AS (SELECT page_id AS doc_id, url AS title, list_filter(list_transform(list_filter(string_split({WIKI_CLEAN}, ' '),
+   lambda t: NOT starts_with(t, '_')), lambda t: regexp_replace(t, '\\*$|:$|^파일:.+|^;', '', 'g')), lambda t: t <> '') AS tokens FROM plain)
+SELECT doc_id, title, array_to_string(tokens, ' ') AS tokens FROM pieces WHERE len(tokens) >= 50
 """)
 def read_wiki_xml(spark, sf):
     path = fresh(spark, "wiki")
     table(spark, sf, "pages").select(
         F.col("page_id").alias("id"), F.lit(0).alias("ns"), F.col("url").alias("title"),
-        F.struct(F.col("html").alias("text")).alias("revision"),
+        F.struct(F.concat(F.lit(WIKI_MARKUP), "html").alias("text")).alias("revision"),
     ).write.format("xml").option("rowTag", "page").option("rootTag", "mediawiki").option("compression", "bzip2").save(path)
     back = readers.read_wiki_xml(spark, path)
     return back.select("doc_id", "title", F.array_join("tokens", " ").alias("tokens"))
@@ -104,8 +132,7 @@ def read_records(spark, sf):
     path = fresh(spark, "records")
     rows = documents(spark, sf).select(one_line().alias("text"), "source", "lang")
     writers.write_records(rows, path)
-    back = spark.read.text(path).withColumnRenamed("value", "line")
-    return readers.parse_records(back, ["text", "source", "lang"], "line")
+    return readers.read_records(spark, path, ["text", "source", "lang"])
 
 
 VECTOR_SQL = "SELECT 'v' || vec_id AS key, len(embedding) AS dim, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 4) AS total FROM embeddings"
@@ -181,8 +208,8 @@ def read_similarity_pairs(spark, sf):
 
 @catalog.add(f"""
 WITH {ANALOGY_LINES}
-SELECT w[1] AS a, w[2] AS b, w[3] AS c, w[4] AS d FROM (SELECT string_split(text, ' ') AS w, text FROM analogy_lines)
-WHERE len(w) = 4 AND NOT starts_with(text, '#')
+SELECT CASE WHEN len(w) = 4 THEN w[1] END AS a, CASE WHEN len(w) = 4 THEN w[2] END AS b, CASE WHEN len(w) = 4 THEN w[3] END AS c, w[len(w)] AS d
+FROM (SELECT string_split(text, ' ') AS w, text FROM analogy_lines) WHERE NOT starts_with(text, '#')
 """)
 def read_analogies(spark, sf):
     path = fresh(spark, "analogies")

@@ -180,8 +180,8 @@ analogy_lines AS (SELECT 'v' || a || ' v' || (a + 1) || ' v' || (a + 2) || CASE
 
 @catalog.add(f"""
 WITH {ANALOGY_LINES}
-SELECT w[1] AS a, w[2] AS b, w[3] AS c, w[4] AS d FROM (SELECT string_split(text, ' ') AS w, text FROM analogy_lines)
-WHERE len(w) = 4 AND NOT starts_with(text, '#')
+SELECT CASE WHEN len(w) = 4 THEN w[1] END AS a, CASE WHEN len(w) = 4 THEN w[2] END AS b, CASE WHEN len(w) = 4 THEN w[3] END AS c, w[len(w)] AS d
+FROM (SELECT string_split(text, ' ') AS w, text FROM analogy_lines) WHERE NOT starts_with(text, '#')
 """)
 def parse_analogies(spark, sf):
     v, name = F.col("vec_id"), lambda c: F.concat(F.lit("v"), c.cast("string"))

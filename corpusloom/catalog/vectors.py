@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.catalog.base import (
-    LINE_KEY, SQL_TOKENS, Catalog, counts, documents, lines, sql_ranked, table, token_docs,
+    LINE_KEY, SQL_TOKENS, WORDS, Catalog, counts, documents, table, token_docs,
     token_lines, with_,
 )
-from corpusloom.catalog.stats import CODED, VOCAB, WORD_VECTORS, cells_harmonic, word_vectors
+from corpusloom.catalog.stats import WORD_VECTORS, cells_harmonic, word_vectors
 from corpusloom.functions.arrays import softmax
-from corpusloom.functions.hashing import pick, uniform
+from corpusloom.functions.hashing import pick
 from corpusloom.functions.text import whitespace_tokens
-from corpusloom.operators import corpus, metrics, models, statistics
+from corpusloom.operators import corpus, metrics, models, statistics, vocabulary
 from corpusloom.operators import vectors as vs
 from corpusloom.plans.ranking import top_ranked
+from corpusloom.session import materialize
 
 catalog = Catalog()
 
@@ -185,13 +186,14 @@ def most_similar_tags(spark, sf):
 
 
 def analogies(spark, sf):
-    """Every run of four consecutive vectors; the last three lack an answer."""
+    """Every run of four consecutive vectors; the last three lack an answer, and every fifth is there twice."""
     name = lambda i: F.concat(F.lit("v"), (F.col("vec_id") + i).cast("string"))
-    return table(spark, sf, "embeddings").select(*[name(i).alias(c) for i, c in enumerate("abcd")])
+    runs = table(spark, sf, "embeddings").select("vec_id", *[name(i).alias(c) for i, c in enumerate("abcd")])
+    return runs.unionByName(runs.filter(F.col("vec_id") % 5 == 0)).drop("vec_id")
 
 
 ANALOGY = EMB + f""",
-asked AS (SELECT vec_id, key AS a, 'v' || (vec_id + 1) AS b, 'v' || (vec_id + 2) AS c, 'v' || (vec_id + 3) AS d FROM emb),
+asked AS (SELECT vec_id, key AS a, 'v' || (vec_id + 1) AS b, 'v' || (vec_id + 2) AS c, 'v' || (vec_id + 3) AS d, unnest(range(1 + (vec_id % 5 = 0)::INT)) AS copy FROM emb),
 zero AS (SELECT list_transform(range({DIM}), lambda i: 0::DOUBLE) AS z),
 query AS (SELECT q.*, list_transform(range(1, {DIM + 1}), lambda i:
     coalesce(vb.vec, z)[i] + coalesce(vc.vec, z)[i] - coalesce(va.vec, z)[i]) AS vec
@@ -204,8 +206,8 @@ def analogy_queries(spark, sf):
 
 
 @catalog.add(with_(ANALOGY) + """,
-query_units AS (SELECT a, d, CASE WHEN list_dot_product(vec, vec) > 0 THEN list_transform(vec, lambda x: x / sqrt(list_dot_product(vec, vec))) ELSE vec END AS vec FROM query),
-scored AS (SELECT a, d, u.key, row_number() OVER (PARTITION BY a ORDER BY round(list_dot_product(q.vec, u.vec), 9) DESC, u.key) AS rn
+query_units AS (SELECT a, d, copy, CASE WHEN list_dot_product(vec, vec) > 0 THEN list_transform(vec, lambda x: x / sqrt(list_dot_product(vec, vec))) ELSE vec END AS vec FROM query),
+scored AS (SELECT a, d, u.key, row_number() OVER (PARTITION BY a, copy ORDER BY round(list_dot_product(q.vec, u.vec), 9) DESC, u.key) AS rn
   FROM query_units q, units u)
 SELECT count(*) FILTER (WHERE key = d AND rn BETWEEN 2 AND 31) AS correct, (SELECT count(*) FROM query) AS total FROM scored
 """)
@@ -214,7 +216,8 @@ def analogy_accuracy(spark, sf):
 
 
 @catalog.add(with_(EMB) + f""",
-asked AS (SELECT vec_id AS q, vec_id AS ia, vec_id + 1 AS ib, vec_id + 2 AS ic, vec_id + 3 AS i_d FROM emb),
+asked AS (SELECT vec_id * 2 + copy AS q, vec_id AS ia, vec_id + 1 AS ib, vec_id + 2 AS ic, vec_id + 3 AS i_d
+  FROM (SELECT vec_id, unnest(range(1 + (vec_id % 5 = 0)::INT)) AS copy FROM emb)),
 fixed AS (SELECT q, ia, CASE WHEN ib IN (SELECT vec_id FROM emb) THEN ib ELSE 0 END AS ib,
   CASE WHEN ic IN (SELECT vec_id FROM emb) THEN ic ELSE 0 END AS ic, CASE WHEN i_d IN (SELECT vec_id FROM emb) THEN i_d ELSE 0 END AS answer FROM asked),
 query AS (SELECT f.*, list_transform(range(1, {DIM + 1}), lambda i: vb.vec[i] - va.vec[i] + vc.vec[i]) AS vec
@@ -240,32 +243,33 @@ def similarity_pairs(spark, sf):
     )
 
 
-def sql_corr(source: str) -> str:
+def sql_corr(predicted: str) -> str:
     return f""",
-pairs AS (SELECT a.vec_id, (a.label = b.label)::INT::DOUBLE AS score, round(list_dot_product(a.vec, b.vec), 9) AS predicted
-  FROM {source} a JOIN {source} b ON b.vec_id = a.vec_id + 1),
-ranks AS (SELECT score, predicted,
+pairs AS (SELECT a.vec_id, coalesce((a.label = b.label)::INT::DOUBLE, 0) AS score, b.vec IS NULL AS lost,
+  round({predicted}, 9) AS predicted FROM units a LEFT JOIN units b ON b.vec_id = a.vec_id + 1),
+ranks AS (SELECT score, predicted, lost,
   rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0::DOUBLE AS rs,
   rank() OVER (ORDER BY predicted) + (count(*) OVER (PARTITION BY predicted) - 1) / 2.0::DOUBLE AS rp FROM pairs)
 SELECT round(corr(rs, rp), 6) AS spearman, round(corr(score, predicted), 6) AS pearson,
-       (SELECT count(*) FROM emb) - count(*) AS missed FROM ranks"""
+       count(*) FILTER (WHERE lost) AS n_unknown FROM ranks"""
 
 
 def rounded_corr(df):
     return df.select(
-        F.round("spearman", 6).alias("spearman"), F.round("pearson", 6).alias("pearson"), "missed"
+        F.round("spearman", 6).alias("spearman"), F.round("pearson", 6).alias("pearson"), "n_unknown"
     )
 
 
-@catalog.add(with_(EMB) + sql_corr("emb"))
+@catalog.add(with_(EMB) + sql_corr("coalesce(list_dot_product(a.vec, b.vec), 0)"))
 def word_similarity_corr(spark, sf):
     return rounded_corr(vs.word_similarity_corr(similarity_pairs(spark, sf), embeddings(spark, sf)))
 
 
-@catalog.add(with_(EMB) + sql_corr("units"))
+@catalog.add(with_(EMB) + sql_corr("list_dot_product(a.vec, coalesce(b.vec, (SELECT vec FROM units WHERE vec_id = 0)))"))
 def word_similarity_corr_cosine(spark, sf):
     pairs = similarity_pairs(spark, sf)
-    return rounded_corr(vs.word_similarity_corr(pairs, embeddings(spark, sf), cosine=True))
+    vocab = embeddings(spark, sf).withColumn("id", F.col("vec_id"))
+    return rounded_corr(vs.word_similarity_corr(pairs, vocab, unknown="first"))
 
 
 @catalog.add(with_(EMB) + """,
@@ -462,26 +466,27 @@ def weighted_layer_sum_normed(spark, sf):
 @catalog.add(None)
 def train_word2vec(spark, sf):
     vocab = top_ranked(counts(spark, sf), 100_000, "freq", "token")
-    vectors = models.train_word2vec(token_docs(spark, sf), vocab, ["doc_id"], size=32)
+    vectors = models.train_word2vec(token_docs(spark, sf), vocab, ["doc_id"])
     return vectors.select("key", F.size("vec").alias("dim"), F.round(F.get("vec", F.lit(0)), 4).alias("x0"))
 
 
-def linear_cells(spark, sf, k):
-    from corpusloom.catalog.stats import coded_lines
-
-    return statistics.cooccurrence_linear(coded_lines(spark, sf, k))
+def lsa_words(spark, sf):
+    """Words counted ten times or more, and their linear co-occurrence."""
+    vocab = materialize(top_ranked(counts(spark, sf).filter("freq >= 10"), WORDS, "freq", "token"), "lsa-words")
+    coded = vocabulary.in_vocab(token_lines(spark, sf), vocab, LINE_KEY, weight="freq").select("ids")
+    return vocab, statistics.cooccurrence_linear(coded)
 
 
 @catalog.add(None)
 def word_lsa(spark, sf):
-    vocab = top_ranked(counts(spark, sf), 500, "freq", "token")
-    return dims(models.word_lsa(linear_cells(spark, sf, 500), vocab, 500, 20), "key")
+    vocab, cells = lsa_words(spark, sf)
+    return dims(models.word_lsa(cells, vocab, vocab.count()), "key")
 
 
 @catalog.add(None)
 def word_lsa_pmi(spark, sf):
-    vocab = top_ranked(counts(spark, sf), 500, "freq", "token")
-    return dims(models.word_lsa(linear_cells(spark, sf, 500), vocab, 500, 20, use_pmi=True), "key")
+    vocab, cells = lsa_words(spark, sf)
+    return dims(models.word_lsa(cells, vocab, vocab.count(), use_pmi=True), "key")
 
 
 @catalog.add(None)
@@ -489,8 +494,8 @@ def doc_lsa(spark, sf):
     lowered = token_docs(spark, sf).select(F.explode("tokens").alias("t")).groupBy(F.lower("t").alias("token")).agg(
         F.count("*").alias("freq")
     )
-    terms = top_ranked(lowered, 2000, "freq", "token")
-    return dims(models.doc_lsa(statistics.tfidf(token_docs(spark, sf)), terms, 2000, 20), "doc_id")
+    terms = materialize(top_ranked(lowered, WORDS, "freq", "token"), "lsa-terms")
+    return dims(models.doc_lsa(statistics.tfidf(token_docs(spark, sf)), terms, terms.count()), "doc_id")
 
 
 @catalog.add(None)
@@ -502,14 +507,14 @@ def factorize_pairs(spark, sf):
 
 def topics(spark, sf):
     docs = token_docs(spark, sf)
-    model, words = models.fit_topics(docs, 10, 5000, 5)
+    model, words = models.fit_topics(docs, 30, 100_000, 5)
     return docs, model, words
 
 
 @catalog.add(None)
 def topic_results(spark, sf):
     docs, model, words = topics(spark, sf)
-    return models.topic_results(docs, model, words, 0.2).select("doc_id", "topic", F.round("prob", 3).alias("prob"))
+    return models.topic_results(docs, model, words).select("doc_id", "topic", F.round("prob", 3).alias("prob"))
 
 
 @catalog.add(None)
@@ -541,7 +546,7 @@ def predictions(spark, sf):
 
 PREDICTIONS = """
 predictions AS (SELECT event_id AS step, user_id % 4 AS label,
-  ('0x' || substr(md5(concat_ws('|', '1', CAST(event_id AS VARCHAR))), 1, 8))::BIGINT % 4 AS predicted,
+  ('0x' || substr(md5(concat_ws('|', '1', CAST(event_id AS VARCHAR))), 1, 15))::BIGINT % 4 AS predicted,
   CASE WHEN event_type = 'purchase' THEN 0.5::DOUBLE ELSE 1 END AS weight, value / 100 AS loss FROM events)"""
 
 

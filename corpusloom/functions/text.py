@@ -41,6 +41,52 @@ def whitespace_tokens(col: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(col, F.lit("")), f"[{WHITESPACE}]+"), "")
 
 
+# Markup of wiki articles. Elements go with what they hold; the innermost of templates,
+# tables and links hold no brackets of their own.
+WIKI_ELEMENTS = ("ref", "math", "nowiki", "gallery", "timeline", "source", "code")
+WIKI_TEMPLATE = r"\{\{[^{}]*\}\}"
+WIKI_TABLE = r"\{\|[^{}]*\|\}"
+WIKI_CATEGORY = r"\[\[(?:[Cc]ategory|분류):[^\[\]]*\]\]"
+WIKI_BARE_FILE = r"\[\[(?:[Ff]ile|[Ii]mage|파일|그림):[^\[\]|]*\]\]"
+WIKI_LINK = r"\[\[(?:[^\[\]]*\|)?([^\[\]|]*)\]\]"
+WIKI_ADDRESS = r"\[(?:https?|ftp)://[^ \t\n\[\]]+ ?([^\[\]]*)\]"
+WIKI_SIGNS = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&amp;": "&"}
+
+
+def _innermost(col: Column, opening: str, pattern: str, kept: str = "") -> Column:
+    """``col`` with ``pattern`` replaced again and again until nothing changes, innermost first.
+
+    A pass replaces at least one match, so there are never more passes than openings.
+    """
+    def step(state: Column, _: Column) -> Column:
+        done = F.regexp_replace(state["text"], pattern, kept)
+        return F.when(
+            state["going"], let(done, lambda new: F.struct(new.alias("text"), (new != state["text"]).alias("going")))
+        ).otherwise(state)
+
+    passes = F.sequence(F.lit(1), F.regexp_count(col, F.lit(opening)))
+    start = F.struct(col.alias("text"), F.lit(True).alias("going"))
+    return F.when(col.rlike(opening), F.aggregate(passes, start, step)["text"]).otherwise(col)
+
+
+def wiki_text(col: Column) -> Column:
+    """The prose of a wiki article: comments, elements, templates, tables, categories and tags go, links and
+    files keep their label or caption. NULL counts as empty."""
+    out = F.regexp_replace(F.coalesce(col, F.lit("")), "(?s)<!--.*?-->", "")
+    for name in WIKI_ELEMENTS:
+        out = F.regexp_replace(out, rf"<{name}\b[^<>]*/>", "")
+        out = F.regexp_replace(out, rf"(?s)<{name}\b[^<>]*>.*?</{name} *>", "")
+    out = let(out, lambda t: _innermost(t, r"\{\{", WIKI_TEMPLATE))
+    out = let(out, lambda t: _innermost(t, r"\{\|", WIKI_TABLE))
+    for pattern in (WIKI_CATEGORY, WIKI_BARE_FILE):
+        out = F.regexp_replace(out, pattern, "")
+    out = let(out, lambda t: _innermost(t, r"\[\[", WIKI_LINK, "$1"))
+    out = F.regexp_replace(F.regexp_replace(out, WIKI_ADDRESS, "$1"), "<[^<>]*>", "")
+    for sign, letter in WIKI_SIGNS.items():
+        out = F.replace(out, F.lit(sign), F.lit(letter))
+    return out
+
+
 def wiki_clean(col: Column) -> Column:
     """Blank out addresses, links, headings and wiki markup, then squeeze spaces."""
     out = F.regexp_replace(F.coalesce(col, F.lit("")), EMAIL, " ")

@@ -45,7 +45,7 @@ def sum_word_vectors(
     sums = found.groupBy(*row_key).agg(
         vector_to_array(Summarizer.sum(array_to_vector("vec"))).alias("_sum"), F.count("*").alias("known")
     )
-    dim = vectors.select(F.size("vec")).limit(1).scalar()
+    dim = F.coalesce(vectors.agg(F.max(F.size("vec"))).scalar(), F.lit(0))  # no vector has no width
     return df.join(sums, row_key, "left").select(
         *df.columns,
         F.coalesce("_sum", F.array_repeat(F.lit(0.0), dim)).alias("vec"),
@@ -68,7 +68,8 @@ def _sum_in_place(df: DataFrame, rows: pa.Table, column: str) -> DataFrame:
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         places = {key: i for i, key in enumerate(table.column(0).to_pylist())}
-        matrix = np.array(table.column(1).to_pylist(), dtype=np.float64)
+        # The values of the list column as they lie in the buffer, one row per word.
+        matrix = table.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index(column))
             sizes = np.diff(np.asarray(lists.offsets))
@@ -168,7 +169,7 @@ def most_similar_tags(vectors: DataFrame, tag: str, n: int = 10, key: str = "tag
 
 
 def analogy_queries(analogies: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
-    """``a, b, c, d, vec`` with vec = b + c - a of unit vectors; an unknown word is zero."""
+    """The analogies with ``vec`` = b + c - a of unit vectors; an unknown or missing word is zero."""
     units = l2_normalize(vectors).select("key", "vec")
     zero = F.array_repeat(F.lit(0.0), dim)
     out = analogies
@@ -178,24 +179,29 @@ def analogy_queries(analogies: DataFrame, vectors: DataFrame, dim: int) -> DataF
             f"_v{name}", F.coalesce(f"_v{name}", zero)
         )
     combined = subtract(add(F.col("_vb"), F.col("_vc")), F.col("_va"))
-    return out.select("a", "b", "c", "d", combined.alias("vec"))
+    return out.select(*analogies.columns, combined.alias("vec"))
 
 
-def _as_queries(analogies: DataFrame) -> DataFrame:
-    name = F.concat_ws(" ", "a", "b", "c", "d")
-    return analogies.select(name.alias("query_id"), unit(F.col("vec")).alias("vec"), "a", "b", "c", "d")
+def _distinct_lines(analogies: DataFrame) -> DataFrame:
+    """``a, b, c, d, query_id, times``: a line that is there several times is asked once and counted so."""
+    words = [F.coalesce(F.col(c), F.lit("")) for c in "abcd"]
+    return analogies.groupBy(*"abcd").agg(F.count("*").alias("times")).withColumn("query_id", F.concat_ws("\t", *words))
 
 
 def analogy_accuracy(analogies: DataFrame, vectors: DataFrame, dim: int, n: int = 30) -> DataFrame:
-    """``correct, total``: the answer must be among the ranks 2 to n + 1 of the table."""
-    queries = _as_queries(analogy_queries(analogies, vectors, dim))
+    """``correct, total``: the answer must be among the ranks 2 to n + 1 of the table.
+
+    Every line counts, those without three words too: they ask with a zero vector.
+    """
+    lines = _distinct_lines(analogies)
+    queries = analogy_queries(lines, vectors, dim).withColumn("vec", unit(F.col("vec")))
     units = l2_normalize(vectors).select(F.col("key").alias("candidate_id"), "vec")
     best = best_matches(queries.select("query_id", "vec"), units, n + 1).filter(F.col("rank") > 1)
-    hits = queries.select("query_id", "d").join(
-        best, (queries["query_id"] == best["query_id"]) & (F.col("candidate_id") == F.col("d")), "left_semi"
+    hits = lines.join(
+        best, (lines["query_id"] == best["query_id"]) & (F.col("candidate_id") == F.col("d")), "left_semi"
     )
-    return queries.agg(F.count("*").alias("total")).select(
-        hits.agg(F.count("*")).scalar().alias("correct"), "total"
+    return analogies.agg(F.count("*").alias("total")).select(
+        hits.agg(F.coalesce(F.sum("times"), F.lit(0))).scalar().alias("correct"), "total"
     )
 
 
@@ -208,7 +214,7 @@ def analogy_accuracy_3cosadd(
     candidates the first that is no query word must be the answer.
     """
     units = vocab.select("id", "key", unit(F.col("vec")).alias("vec"))
-    out = analogies
+    out = _distinct_lines(analogies)
     for name in "abcd":
         side = units.select(F.col("key").alias(f"_k{name}"), F.col("id").alias(f"_i{name}"))
         out = out.join(side, F.col(name) == F.col(f"_k{name}"), "left").withColumn(
@@ -217,46 +223,54 @@ def analogy_accuracy_3cosadd(
     for name in "abc":
         side = units.select(F.col("id").alias(f"_j{name}"), F.col("vec").alias(f"_v{name}"))
         out = out.join(side, F.col(f"_i{name}") == F.col(f"_j{name}")).drop(f"_j{name}")
-    name = F.concat_ws(" ", "a", "b", "c", "d")
     queries = out.select(
-        name.alias("query_id"), add(subtract(F.col("_vb"), F.col("_va")), F.col("_vc")).alias("vec"),
+        "query_id", "times", add(subtract(F.col("_vb"), F.col("_va")), F.col("_vc")).alias("vec"),
         F.array("_ia", "_ib", "_ic").alias("asked"), F.col("_id").alias("answer"),
     )
     candidates = units.filter(F.col("id") < max_vocab).select(F.col("id").alias("candidate_id"), "vec")
     best = best_matches(queries.select("query_id", "vec"), candidates, 4)
-    judged = best.join(queries.select("query_id", "asked", "answer"), "query_id").filter(
+    judged = best.join(queries.select("query_id", "times", "asked", "answer"), "query_id").filter(
         ~F.array_contains("asked", F.col("candidate_id"))
     )
     chosen = judged.groupBy("query_id").agg(
-        F.min_by("candidate_id", "rank").alias("chosen"), F.first("answer").alias("answer")
+        F.min_by("candidate_id", "rank").alias("chosen"), F.first("answer").alias("answer"), F.first("times").alias("times")
     )
-    right = F.sum((F.col("chosen") == F.col("answer")).cast("bigint"))
+    right = F.sum(F.when(F.col("chosen") == F.col("answer"), F.col("times")).otherwise(0))
     return chosen.agg(right.alias("correct")).select(
         F.coalesce("correct", F.lit(0)).cast("bigint").alias("correct"),
-        queries.agg(F.count("*")).scalar().alias("total"),
+        analogies.agg(F.count("*")).scalar().alias("total"),
     )
 
 
-def predicted_similarity(pairs: DataFrame, vectors: DataFrame, cosine: bool = False) -> DataFrame:
-    """``word_1, word_2, score, predicted``; pairs with an unknown word have no prediction."""
-    table = l2_normalize(vectors) if cosine else vectors
+def predicted_similarity(pairs: DataFrame, vectors: DataFrame, unknown: str = "zero") -> DataFrame:
+    """``word_1, word_2, score, predicted, known``: the cosine of each pair, which stays in any case.
+
+    A word without a vector counts as the zero vector, or with ``unknown="first"`` as the word whose
+    ``id`` in ``vectors`` is 0.
+    """
+    units = l2_normalize(vectors)
     out = pairs
     for side in "12":
-        half = table.select(F.col("key").alias(f"_k{side}"), F.col("vec").alias(f"_v{side}"))
+        half = units.select(F.col("key").alias(f"_k{side}"), F.col("vec").alias(f"_v{side}"))
         out = out.join(half, F.col(f"word_{side}") == F.col(f"_k{side}"), "left")
-    return out.select("word_1", "word_2", "score", F.round(dot(F.col("_v1"), F.col("_v2")), 9).alias("predicted"))
-
-
-def word_similarity_corr(pairs: DataFrame, vectors: DataFrame, cosine: bool = False) -> DataFrame:
-    """``spearman, pearson, missed`` of predicted against given scores."""
-    scored = predicted_similarity(pairs, vectors, cosine)
-    known = scored.filter(F.col("predicted").isNotNull())
-    ranked = average_ranks(known, ["score", "predicted"])
-    missed = scored.filter(F.col("predicted").isNull()).agg(F.count("*")).scalar()
+    sides = [F.col("_v1"), F.col("_v2")]
+    known = sides[0].isNotNull() & sides[1].isNotNull()
+    if unknown == "first":
+        out = out.withColumn("_first", units.filter(F.col("id") == 0).agg(F.first("vec")).scalar())
+        sides = [F.coalesce(v, F.col("_first")) for v in sides]
+    predicted = F.coalesce(F.round(dot(*sides), 9), F.lit(0.0))
+    return out.select("word_1", "word_2", "score", predicted.alias("predicted"), known.alias("known"))
+
+
+def word_similarity_corr(pairs: DataFrame, vectors: DataFrame, unknown: str = "zero") -> DataFrame:
+    """``spearman, pearson, n_unknown`` of predicted against given scores over all pairs."""
+    scored = predicted_similarity(pairs, vectors, unknown)
+    ranked = average_ranks(scored, ["score", "predicted"])
     return ranked.agg(
         F.corr("rank_score", "rank_predicted").alias("spearman"),
         F.corr("score", "predicted").alias("pearson"),
-    ).select("spearman", "pearson", missed.alias("missed"))
+        F.count_if(~F.col("known")).alias("n_unknown"),
+    )
 
 
 def sampled_pairwise_cosine(vectors: DataFrame, n: int = 30, seed: object = 0, key: str = "key") -> DataFrame:

@@ -1,7 +1,8 @@
 """Best matches by dot product between two vector tables, block by block.
 
-The scores of a block of queries against a block of candidates are one matrix product; only the
-best ``k`` per query leave the block, so the full score matrix is never written out.
+The scores of a block of queries against a block of candidates are one matrix product. A task keeps one
+running list of the best ``k`` per query, so it gives tasks x queries x k rows at most and the full
+score matrix is never written out.
 """
 
 from __future__ import annotations
@@ -10,28 +11,50 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusloom.plans.lookup import small_table
 
-MAX_QUERIES = 20_000
+MAX_SHIPPED = 20_000
 BLOCK_ROWS = 50_000
 SCORE_DIGITS = 9
 
 
-def _best(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
-) -> pd.DataFrame:
-    """The ``k`` best candidates of every query; ties go to the smaller candidate id."""
+Matches = tuple[np.ndarray, np.ndarray, np.ndarray]  # number of the query, candidate id, score
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The vectors of a list column as they lie in its buffer."""
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = whole.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+
+
+def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return whole.to_numpy(zero_copy_only=False)
+
+
+def _first_k(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> Matches:
+    """The ``k`` best rows of every query; ties go to the smaller candidate id."""
+    order = np.lexsort((np.argsort(np.argsort(ids, kind="stable"), kind="stable"), -scores, query))
+    query, ids, scores = query[order], ids[order], scores[order]
+    new = np.concatenate(([True], query[1:] != query[:-1])) if len(query) else np.empty(0, bool)
+    place = np.arange(len(query)) - np.maximum.accumulate(np.where(new, np.arange(len(query)), 0))
+    return query[place < k], ids[place < k], scores[place < k]
+
+
+def _best(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> Matches:
+    """The ``k`` best of one block of candidates for every query, by the query's number."""
+    if not len(ids) or not len(queries):
+        return np.empty(0, np.int64), ids[:0], np.empty(0)
     parts = []
-    step = max(1, 20_000_000 // max(1, len(ids)))
-    order = np.argsort(ids, kind="stable")
-    ids, vectors = ids[order], vectors[order]
-    for at in range(0, len(query_ids), step):
+    step = max(1, 20_000_000 // len(ids))
+    for at in range(0, len(queries), step):
         scores = np.round(queries[at : at + step] @ vectors.T, SCORE_DIGITS)
         if len(ids) > 4 * k:
             # Everything at least as good as the k-th best score, so ties are not lost.
@@ -39,36 +62,17 @@ def _best(
             rows, cols = np.nonzero(scores >= kth)
         else:
             rows, cols = np.nonzero(np.ones_like(scores, dtype=bool))
-        values = scores[rows, cols]
-        by_rank = np.lexsort((cols, -values, rows))
-        rows, cols, values = rows[by_rank], cols[by_rank], values[by_rank]
-        starts = np.searchsorted(rows, np.arange(len(scores)))
-        place = np.arange(len(rows)) - starts[rows]
-        keep = place < k
-        parts.append(
-            pd.DataFrame(
-                {
-                    "query_id": query_ids[at : at + step][rows[keep]],
-                    "candidate_id": ids[cols[keep]],
-                    "score": values[keep],
-                }
-            )
-        )
-    return pd.concat(parts, ignore_index=True)
-
-
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.float64)
-
-
-def best_matches(
-    queries: DataFrame, candidates: DataFrame, k: int, max_queries: int = MAX_QUERIES
-) -> DataFrame:
+        parts.append(_first_k(rows + at, ids[cols], scores[rows, cols], k))
+    return tuple(np.concatenate(p) for p in zip(*parts))
+
+
+def best_matches(queries: DataFrame, candidates: DataFrame, k: int, max_shipped: int = MAX_SHIPPED) -> DataFrame:
     """``(query_id, candidate_id, score, rank)`` with ranks 1 to ``k`` by descending dot product.
 
-    ``queries`` has ``query_id, vec`` and ``candidates`` has ``candidate_id, vec``. Up to
-    ``max_queries`` queries are shipped to the candidates, which then do not move. More queries
-    are cut into blocks, and each block meets each candidate block in a task of its own.
+    ``queries`` has ``query_id, vec`` and ``candidates`` has ``candidate_id, vec``. A side of up to
+    ``max_shipped`` rows is shipped to the other, which then does not move; candidates first, as each
+    query is then settled where it lies. Beyond that both are cut into blocks, and each block meets
+    each candidate block in a task of its own. All forms give the same rows.
     """
     schema = T.StructType(
         [
@@ -77,38 +81,50 @@ def best_matches(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    shipped = small_table(queries.select("query_id", "vec"), max_queries)
-    if shipped is not None:
-        partial = _against_shipped(queries, candidates, shipped, k, schema)
+    queries, candidates = queries.select("query_id", "vec"), candidates.select("candidate_id", "vec")
+    if (table := small_table(candidates, max_shipped)) is not None:
+        partial = _candidates_shipped(queries, table, k, schema)
+    elif (table := small_table(queries, max_shipped)) is not None:
+        partial = _queries_shipped(candidates, table, k, schema)
     else:
         partial = _against_blocks(queries, candidates, k, schema)
     best_first = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "candidate_id")
     return partial.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
 
 
-def _against_shipped(
-    queries: DataFrame, candidates: DataFrame, shipped: pa.Table, k: int, schema: T.StructType
-) -> DataFrame:
-    shared = queries.sparkSession.sparkContext.broadcast(shipped)
+def _batch(schema: T.StructType, queries: np.ndarray, found: Matches) -> pa.RecordBatch:
+    arrow = to_arrow_schema(schema)
+    values = (queries[found[0]], found[1], found[2])
+    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, arrow)], schema=arrow)
+
+
+def _candidates_shipped(queries: DataFrame, table: pa.Table, k: int, schema: T.StructType) -> DataFrame:
+    shared = queries.sparkSession.sparkContext.broadcast(table)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, vectors = _ids(shared.value.column(0)), _matrix(shared.value.column(1))
+        for batch in batches:
+            yield _batch(schema, _ids(batch.column(0)), _best(_matrix(batch.column(1)), ids, vectors, k))
+
+    return queries.mapInArrow(score, schema)
+
+
+def _queries_shipped(candidates: DataFrame, table: pa.Table, k: int, schema: T.StructType) -> DataFrame:
+    shared = candidates.sparkSession.sparkContext.broadcast(table)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = shared.value
-        if table.num_rows == 0:
-            return
-        query_ids = np.array(table.column("query_id").to_pylist())
-        vectors = np.array(table.column("vec").to_pylist(), dtype=np.float64)
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, vectors = _ids(shared.value.column(0)), _matrix(shared.value.column(1))
+        best = None
         for batch in batches:
-            if len(batch):
-                yield _best(
-                    query_ids, vectors, batch["candidate_id"].to_numpy(), _matrix(batch["vec"]), k
-                )
+            found = _best(vectors, _ids(batch.column(0)), _matrix(batch.column(1)), k)
+            best = found if best is None else _first_k(*[np.concatenate(p) for p in zip(best, found)], k)
+        if best is not None:
+            yield _batch(schema, asked, best)
 
-    return candidates.select("candidate_id", "vec").mapInPandas(score, schema)
+    return candidates.mapInArrow(score, schema)
 
 
-def _against_blocks(
-    queries: DataFrame, candidates: DataFrame, k: int, schema: T.StructType
-) -> DataFrame:
+def _against_blocks(queries: DataFrame, candidates: DataFrame, k: int, schema: T.StructType) -> DataFrame:
     query_blocks = math.ceil(queries.count() / BLOCK_ROWS)
     candidate_blocks = math.ceil(candidates.count() / BLOCK_ROWS) or 1
 
@@ -119,20 +135,16 @@ def _against_blocks(
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
     left = queries.select(
-        "query_id", "vec", block("query_id", query_blocks).alias("qb"),
-        every(candidate_blocks).alias("cb"),
+        "query_id", "vec", block("query_id", query_blocks).alias("qb"), every(candidate_blocks).alias("cb")
     )
     right = candidates.select(
-        "candidate_id", "vec", block("candidate_id", candidate_blocks).alias("cb"),
-        every(query_blocks).alias("qb"),
+        "candidate_id", "vec", block("candidate_id", candidate_blocks).alias("cb"), every(query_blocks).alias("qb")
     )
 
-    def score(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(c):
-            return pd.DataFrame({f.name: [] for f in schema.fields})
-        return _best(
-            q["query_id"].to_numpy(), _matrix(q["vec"]),
-            c["candidate_id"].to_numpy(), _matrix(c["vec"]), k,
-        )
+    def score(q: pa.Table, c: pa.Table) -> pa.Table:
+        if not q.num_rows or not c.num_rows:
+            return to_arrow_schema(schema).empty_table()
+        found = _best(_matrix(q.column("vec")), _ids(c.column("candidate_id")), _matrix(c.column("vec")), k)
+        return pa.Table.from_batches([_batch(schema, _ids(q.column("query_id")), found)])
 
-    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(score, schema)
+    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(score, schema)

@@ -29,7 +29,12 @@ HOT_KEYS = 10_000
 
 
 def small_table(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> pa.Table | None:
-    """The rows of ``df`` if there are at most ``max_rows`` of modest size, else None."""
+    """The rows of ``df`` if there are at most ``max_rows`` of modest size, else None.
+
+    Rows are counted before any is fetched; ``df`` should be cheap to read twice.
+    """
+    if df.limit(max_rows + 1).count() > max_rows:
+        return None
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows or rows.nbytes > MAX_BROADCAST_BYTES:
         return None
@@ -39,12 +44,13 @@ def small_table(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> pa.Table |
 def rewrite_lists(
     lists: pa.ListArray, fn: Callable[[Any], Any], value_type: pa.DataType, nested: bool
 ) -> pa.ListArray:
-    """Apply ``fn`` to each element, once per distinct one.
+    """Apply ``fn`` to each element, once per distinct one, NULL being one of them.
 
-    None drops the element. With ``nested``, ``fn`` gives a list that takes the element's place.
+    None drops the element. With ``nested``, ``fn`` gives a list that takes the element's place. A NULL
+    list counts as empty.
     """
     offsets = np.asarray(lists.offsets)
-    flat = lists.flatten().dictionary_encode()
+    flat = lists.flatten().dictionary_encode(null_encoding="encode")
     indices = np.asarray(flat.indices)
     offsets = offsets - offsets[0]
     mapped = [fn(word) for word in flat.dictionary.to_pylist()]
@@ -90,7 +96,11 @@ def _shipped(spark: SparkSession, rows: pa.Table, key: str, value: str, default:
 
     def make() -> Callable[[Any], Any]:
         table = shared.value
-        mapping = dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist()))
+        mapping: dict = {}
+        for word, found in zip(table.column(0).to_pylist(), table.column(1).to_pylist()):
+            if found is not None and (word not in mapping or found < mapping[word]):
+                mapping[word] = found
+        mapping.pop(None, None)
         return lambda word: mapping.get(word, default)
 
     return make
@@ -111,9 +121,11 @@ def lookup_array(
 ) -> DataFrame:
     """Add ``out``: the elements of ``column`` looked up in ``table``.
 
-    Elements without an entry become ``default``; with None they drop out and positions close
-    up. ``row_key`` names columns that are unique per row of ``df``. ``weight`` is the table's
-    column telling how often a key occurs.
+    Elements without an entry, NULL elements and entries of value NULL become ``default``; with None they
+    drop out and positions close up. Of several entries for a key the least value counts. A NULL
+    array gives an empty one. ``row_key`` names columns that are unique per row of ``df``. ``weight`` is
+    the table's column telling how often a key occurs; without one the hot keys are found by
+    counting a column of ``df``. Both forms give the same columns in the same order.
     """
     rows = small_table(table.select(key, value), max_rows)
     element = table.schema[value].dataType
@@ -123,7 +135,10 @@ def lookup_array(
         return map_elements(df, column, out, inner, make, nested)
 
     long = unnest(df, column, *row_key, value="_key", pos="_pos")
-    found = lookup_rows(long, "_key", table, key, value, weight)
+    single = table.filter(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(key).agg(
+        F.min(value).alias(value), *([F.max(weight).alias(weight)] if weight and weight not in (key, value) else [])
+    )
+    found = lookup_rows(long, "_key", single, key, value, weight)
     if default is None:
         found = found.filter(F.col(value).isNotNull())
         filled = F.col(value)
@@ -135,7 +150,7 @@ def lookup_array(
     joined = df.join(arrays, row_key, "left")
     empty = F.array().cast(T.ArrayType(element))
     whole = joined.withColumn(out, F.coalesce(out, empty))
-    return whole.withColumn(out, F.flatten(out)) if nested else whole
+    return (whole.withColumn(out, F.flatten(out)) if nested else whole).select(*df.columns, out)
 
 
 def lookup_rows(
@@ -146,11 +161,17 @@ def lookup_rows(
     value: str,
     weight: str | None = None,
 ) -> DataFrame:
-    """Left join of a long table with unbounded keys, safe against hot keys."""
+    """Left join of a long table with unbounded keys, safe against hot keys.
+
+    The ``HOT_KEYS`` keys of greatest weight meet their rows by broadcast, the rest by shuffle. Without
+    a ``weight`` in the table the keys of ``long`` are counted for it.
+    """
     pairs = table.select(F.col(key).alias("_k"), F.col(value).alias(value))
     if weight is None:
-        return long.join(pairs, F.col(column) == F.col("_k"), "left").drop("_k")
-    weighted = table.select(F.col(key).alias("_k"), F.col(value).alias(value), F.col(weight).alias("_w"))
+        seen = long.groupBy(F.col(column).alias("_k")).agg(F.count("*").alias("_w"))
+        weighted = pairs.join(seen, "_k").select("_k", value, "_w")
+    else:
+        weighted = table.select(F.col(key).alias("_k"), F.col(value).alias(value), F.col(weight).alias("_w"))
     hot = weighted.orderBy(F.col("_w").desc(), "_k").limit(HOT_KEYS).drop("_w")
     hot = hot.withColumnRenamed(value, "_hot").withColumn("_is_hot", F.lit(True))
     first = long.join(F.broadcast(hot), F.col(column) == F.col("_k"), "left").drop("_k")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import split_record, strip, whitespace_tokens, wiki_tokens
+from corpusloom.functions.text import split_record, strip, whitespace_tokens, wiki_text, wiki_tokens
 from corpusloom.plans.ranking import with_prefix_sums, with_row_number
 
 REVIEW_SCHEMA = "review string, movie_id string"
@@ -92,13 +92,16 @@ def flatten_qa(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return paragraphs.select(*key, "article", "paragraph", F.posexplode(texts).alias("line", "text"))
 
 
-def read_wiki_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Articles of a MediaWiki dump (plain or compressed) as cleaned tokens."""
+def read_wiki_xml(spark: SparkSession, path: str, min_tokens: int = 50) -> DataFrame:
+    """Articles of a MediaWiki dump (plain or compressed) as cleaned tokens, without markup.
+
+    Articles of fewer than ``min_tokens`` tokens are left out, as are redirects and other namespaces.
+    """
     pages = spark.read.format("xml").option("rowTag", "page").schema(WIKI_SCHEMA).load(path)
     articles = pages.filter((F.col("ns") == 0) & F.col("redirect").isNull())
     return articles.select(
-        F.col("id").alias("doc_id"), "title", wiki_tokens(F.col("revision.text")).alias("tokens")
-    ).filter(F.size("tokens") > 0)
+        F.col("id").alias("doc_id"), "title", wiki_tokens(wiki_text(F.col("revision.text"))).alias("tokens")
+    ).filter(F.size("tokens") >= min_tokens)
 
 
 def blankline_documents(lines: DataFrame, order: list[str]) -> DataFrame:
@@ -185,12 +188,20 @@ def read_similarity_pairs(spark: SparkSession, path: str, sep: str = ",") -> Dat
 
 
 def parse_analogies(lines: DataFrame, sep: str = " ", column: str = "text") -> DataFrame:
-    """Four words per line; comments and blank lines are skipped, as are tab lines of other width."""
+    """``a, b, c, d``: three words and the answer of each line.
+
+    Tab lines of other width are skipped, and a ``#`` there is a word like any other. With spaces,
+    comments and blank lines are skipped; a line of other width is still asked, with NULL for the three
+    words and its last word as the answer.
+    """
     text = strip(F.col(column))
     words = F.split(text, sep)
-    kept = lines.filter((F.length(text) > 0) & ~text.startswith("#"))
-    kept = kept.filter(F.size(words) == 4)
-    return kept.select(*[words[i].alias(name) for i, name in enumerate("abcd")])
+    whole = F.size(words) == 4
+    if sep == "\t":
+        return lines.filter(whole).select(*[F.get(words, i).alias(name) for i, name in enumerate("abcd")])
+    kept = lines.filter((F.length(text) > 0) & ~F.col(column).startswith("#"))
+    asked = [F.when(whole, F.get(words, i)).alias(name) for i, name in enumerate("abc")]
+    return kept.select(*asked, F.element_at(words, -1).alias("d"))
 
 
 def read_analogies(spark: SparkSession, path: str, sep: str = " ") -> DataFrame:

@@ -5,6 +5,8 @@ import json
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from corpusloom.sources import readers, writers
 
 
@@ -38,8 +40,22 @@ def test_wiki_xml_bz2(spark, tmp_path):
     )
     path = tmp_path / "dump.xml.bz2"
     path.write_bytes(bz2.compress(f"<mediawiki>{pages}</mediawiki>".encode()))
-    rows = readers.read_wiki_xml(spark, str(path)).collect()
+    rows = readers.read_wiki_xml(spark, str(path), min_tokens=2).collect()
     assert [(r["doc_id"], r["title"], r["tokens"]) for r in rows] == [(1, "A", ["x", "b"])]
+    assert readers.read_wiki_xml(spark, str(path)).count() == 0
+
+
+def test_wiki_markup(spark):
+    from corpusloom.functions.text import wiki_text
+
+    cases = {
+        "a {{x|{{y|{{z}}}}}} b": "a  b", "{{open a": "{{open a", "{| t\n| c {| d |} |}e": "e", "[[a|b]] [[c]] [[d|e|f]]": "b c f",
+        "[[File:x.png|thumb|see [[a|this]] now]]": "see this now", "[[File:x.png]]|[[Category:y|z]]": "|", "<ref name='q'>n</ref>x<ref n/>y": "xy",
+        "<!-- a\nb -->c": "c", "[http://e.org/a b c] [http://e.org/]": "b c ", "<b>x</b>&amp;&nbsp;y": "x& y", None: "", "": "",
+        "{{" * 50 + "x" + "}}" * 50 + "y": "y",
+    }
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    assert {r[0]: r[1] for r in df.select("t", wiki_text(F.col("t"))).collect()} == cases
 
 
 def test_blankline_docs(spark, tmp_path):
@@ -83,10 +99,12 @@ def test_vectors_and_vocab_round_trip(spark, tmp_path):
 def test_pairs_and_analogies(spark, tmp_path):
     (tmp_path / "p.csv").write_text("a,b,1.5\n")
     assert [tuple(r) for r in readers.read_similarity_pairs(spark, str(tmp_path / "p.csv")).collect()] == [("a", "b", 1.5)]
-    (tmp_path / "q.txt").write_text("# head\n\na b c d\nx y\n")
-    assert [tuple(r) for r in readers.read_analogies(spark, str(tmp_path / "q.txt")).collect()] == [("a", "b", "c", "d")]
-    (tmp_path / "t.tab").write_text("a\tb\tc\td\na\tb\n")
-    assert readers.read_analogies(spark, str(tmp_path / "t.tab"), "\t").count() == 1
+    (tmp_path / "q.txt").write_text("# head\n\na b c d\nx y\nv w x y z\n")
+    got = [tuple(r) for r in readers.read_analogies(spark, str(tmp_path / "q.txt")).collect()]
+    assert got == [("a", "b", "c", "d"), (None, None, None, "y"), (None, None, None, "z")]
+    (tmp_path / "t.tab").write_text("a\tb\tc\td\na\tb\n#\tb\tc\td\n")
+    got = [tuple(r) for r in readers.read_analogies(spark, str(tmp_path / "t.tab"), "\t").collect()]
+    assert got == [("a", "b", "c", "d"), ("#", "b", "c", "d")]
 
 
 def test_line_shards(spark, tmp_path):
