@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import WHITESPACE, whitespace_tokens
 from corpusloom.operators.corpus import explode_lines
 from corpusloom.operators.vocabulary import token_counts
+from corpusloom.plans.ranking import top_ranked
 from corpusloom.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,10 +121,19 @@ counts AS (SELECT token, count(*) AS freq FROM tokens GROUP BY token)"""
 )
 
 
-def sql_ranked(k: int, name: str = "ranked") -> str:
+# The vocabulary of the co-occurrence and encoding queries: words counted at least LEAST times, at most WORDS.
+WORDS, LEAST = 102_400, 5
+
+
+def common_words(spark: SparkSession, sf: str) -> DataFrame:
+    """``id, token, freq`` of that vocabulary."""
+    return top_ranked(counts(spark, sf).filter(F.col("freq") >= LEAST), WORDS, "freq", "token")
+
+
+def sql_ranked(k: int, name: str = "ranked", least: int = 0) -> str:
     return f"""
 {name} AS (
-  SELECT token, freq, row_number() OVER (ORDER BY freq DESC, token) - 1 AS id FROM counts
+  SELECT token, freq, row_number() OVER (ORDER BY freq DESC, token) - 1 AS id FROM counts WHERE freq >= {least}
   QUALIFY id < {k})"""
 
 

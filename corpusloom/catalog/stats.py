@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.catalog.base import (
-    LINE_KEY, SQL_COUNTS, SQL_TOKENS, Catalog, counts, joined, sql_ranked, table, token_docs,
-    token_lines, with_,
+    LEAST, LINE_KEY, SQL_COUNTS, SQL_TOKENS, WORDS, Catalog, common_words, counts, joined, sql_ranked, table,
+    token_docs, token_lines, with_,
 )
 from corpusloom.operators import statistics as st
 from corpusloom.operators import vocabulary
@@ -15,13 +15,9 @@ from corpusloom.sources import writers
 
 catalog = Catalog()
 
-VOCAB = 2000
-
-
-def coded_lines(spark, sf, k: int = VOCAB):
-    """Lines as ids of the ``k`` commonest words, other words left out."""
-    vocab = top_ranked(counts(spark, sf), k, "freq", "token")
-    return vocabulary.in_vocab(token_lines(spark, sf), vocab, LINE_KEY).select("ids")
+def coded_lines(spark, sf):
+    """Lines as ids of the vocabulary's words, other words left out."""
+    return vocabulary.in_vocab(token_lines(spark, sf), common_words(spark, sf), LINE_KEY).select("ids")
 
 
 def cells_harmonic(spark, sf):
@@ -29,7 +25,7 @@ def cells_harmonic(spark, sf):
 
 
 CODED = (
-    SQL_COUNTS + "," + sql_ranked(VOCAB) + """,
+    SQL_COUNTS + "," + sql_ranked(WORDS, least=LEAST) + """,
 coded AS (SELECT doc_id, line_no, id, row_number() OVER (PARTITION BY doc_id, line_no ORDER BY pos) AS p
   FROM tokens JOIN ranked USING (token))"""
 )
@@ -131,7 +127,7 @@ SELECT w.token AS word, c.token AS collocate, rank, pmi
 FROM best JOIN ranked w ON w.id = row_id JOIN ranked c ON c.id = col_id
 """)
 def top_collocates(spark, sf):
-    vocab = top_ranked(counts(spark, sf), VOCAB, "freq", "token")
+    vocab = common_words(spark, sf)
     coded = vocabulary.in_vocab(token_lines(spark, sf), vocab, LINE_KEY).select("ids")
     scores = st.pmi(st.cooccurrence_harmonic(coded), float("-inf"))
     best = st.top_collocates(scores.withColumn("pmi", F.round("pmi", 6)), 20)
@@ -153,13 +149,13 @@ def tfidf(spark, sf):
     return st.tfidf(token_docs(spark, sf)).withColumn("tfidf", F.round("tfidf", 6))
 
 
-WORD_VECTORS = SQL_COUNTS + "," + sql_ranked(1000) + """,
+WORD_VECTORS = SQL_COUNTS + "," + sql_ranked(WORDS) + """,
 vectors AS (SELECT token AS key, embedding::DOUBLE[] AS vec FROM ranked JOIN embeddings ON vec_id = id)"""
 
 
 def word_vectors(spark, sf):
     """The vector table keyed by the words of the same rank."""
-    vocab = top_ranked(counts(spark, sf), 1000, "freq", "token")
+    vocab = top_ranked(counts(spark, sf), WORDS, "freq", "token")
     vectors = table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec")
     )

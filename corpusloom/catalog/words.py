@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.catalog.base import (
-    LINE_KEY, SQL_COUNTS, SQL_LINES, SQL_TOKENS, SQL_TOKEN_LINES, WS, Catalog, counts, documents,
+    LEAST, WORDS, common_words, LINE_KEY, SQL_COUNTS, SQL_LINES, SQL_TOKENS, SQL_TOKEN_LINES, WS, Catalog, counts, documents,
     joined, lines, sql_ranked, stored_counts, token_docs, token_lines, with_,
 )
 from corpusloom.operators import corpus, tokenize, vocabulary
@@ -86,27 +86,23 @@ def oov_tokens(spark, sf):
 
 # ------------------------------------------------------------------ encoding
 
-RANKED5 = sql_ranked(5000)
+RANKED = sql_ranked(WORDS, least=LEAST)
 PER_LINE = """
 SELECT l.doc_id, l.line_no, coalesce(string_agg(CAST({id} AS VARCHAR), ' ' ORDER BY pos), '') AS ids
 FROM token_lines l LEFT JOIN coded c ON c.doc_id = l.doc_id AND c.line_no = l.line_no GROUP BY ALL"""
 
 
-def vocab_5000(spark, sf):
-    return top_ranked(counts(spark, sf), 5000, "freq", "token")
-
-
 @catalog.add(
-    with_(SQL_COUNTS, RANKED5, " coded AS (SELECT doc_id, line_no, pos, id FROM tokens JOIN ranked USING (token))")
+    with_(SQL_COUNTS, RANKED, " coded AS (SELECT doc_id, line_no, pos, id FROM tokens JOIN ranked USING (token))")
     + PER_LINE.format(id="id")
 )
 def in_vocab(spark, sf):
-    coded = vocabulary.in_vocab(token_lines(spark, sf), vocab_5000(spark, sf), LINE_KEY)
+    coded = vocabulary.in_vocab(token_lines(spark, sf), common_words(spark, sf), LINE_KEY)
     return coded.select(*LINE_KEY, joined("ids").alias("ids"))
 
 
 @catalog.add(
-    with_(SQL_COUNTS, RANKED5, " coded AS (SELECT doc_id, line_no, pos, id FROM tokens JOIN ranked USING (token))")
+    with_(SQL_COUNTS, RANKED, " coded AS (SELECT doc_id, line_no, pos, id FROM tokens JOIN ranked USING (token))")
     + PER_LINE.format(id="id")
 )
 def in_vocab_shuffled(spark, sf):
@@ -114,7 +110,7 @@ def in_vocab_shuffled(spark, sf):
     from corpusloom.plans.lookup import lookup_array
 
     coded = lookup_array(
-        token_lines(spark, sf), "tokens", "ids", vocab_5000(spark, sf), "token", "id", LINE_KEY,
+        token_lines(spark, sf), "tokens", "ids", common_words(spark, sf), "token", "id", LINE_KEY,
         weight="freq", max_rows=100,
     )
     return coded.select(*LINE_KEY, joined("ids").alias("ids"))
@@ -122,24 +118,24 @@ def in_vocab_shuffled(spark, sf):
 
 @catalog.add(
     with_(
-        SQL_COUNTS, RANKED5,
-        " coded AS (SELECT doc_id, line_no, pos, coalesce(id, 5000) AS id FROM tokens LEFT JOIN ranked USING (token))",
+        SQL_COUNTS, RANKED,
+        f" coded AS (SELECT doc_id, line_no, pos, coalesce(id, {WORDS}) AS id FROM tokens LEFT JOIN ranked USING (token))",
     )
     + PER_LINE.format(id="id")
 )
 def encode_with_unknown(spark, sf):
-    coded = vocabulary.encode_with_unknown(token_lines(spark, sf), vocab_5000(spark, sf), LINE_KEY, 5000)
+    coded = vocabulary.encode_with_unknown(token_lines(spark, sf), common_words(spark, sf), LINE_KEY, WORDS)
     return coded.select(*LINE_KEY, joined("ids").alias("ids"))
 
 
 @catalog.add(
-    with_(SQL_COUNTS, RANKED5, " coded AS (SELECT doc_id, line_no, pos, coalesce(id + 3, 2) AS id FROM tokens LEFT JOIN ranked USING (token))")
+    with_(SQL_COUNTS, RANKED, " coded AS (SELECT doc_id, line_no, pos, coalesce(id + 3, 2) AS id FROM tokens LEFT JOIN ranked USING (token))")
     + """ SELECT doc_id, line_no, '1 ' || string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) || ' 0' AS ids,
        '0 ' || string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos DESC) || ' 1' AS reversed
     FROM coded GROUP BY ALL"""
 )
 def encode_sentences(spark, sf):
-    ranked = vocab_5000(spark, sf).select("id", "token")
+    ranked = common_words(spark, sf).select("id", "token")
     vocab = writers.vocab_with_specials(ranked, vocabulary.LM_MARKS)
     coded = vocabulary.encode_with_unknown(token_lines(spark, sf), vocab, LINE_KEY, 2)
     ids = F.col("ids")
@@ -160,13 +156,13 @@ def encode_strict(spark, sf):
 
 
 @catalog.add(
-    with_(SQL_COUNTS, RANKED5)
+    with_(SQL_COUNTS, RANKED)
     + """ SELECT l.doc_id, l.line_no, coalesce(string_agg(c.token, ' ' ORDER BY pos), '') AS text
     FROM token_lines l LEFT JOIN (SELECT t.* FROM tokens t JOIN ranked USING (token)) c
       ON c.doc_id = l.doc_id AND c.line_no = l.line_no GROUP BY ALL"""
 )
 def decode_ids(spark, sf):
-    vocab = vocab_5000(spark, sf)
+    vocab = common_words(spark, sf)
     coded = vocabulary.in_vocab(token_lines(spark, sf), vocab, LINE_KEY)
     return vocabulary.decode_ids(coded, vocab, LINE_KEY).select(*LINE_KEY, "text")
 
@@ -194,14 +190,14 @@ def encode_chars(spark, sf):
 
 
 @catalog.add(
-    with_(SQL_COUNTS, RANKED5, " coded AS (SELECT doc_id, line_no, pos, id FROM tokens JOIN ranked USING (token))",
+    with_(SQL_COUNTS, RANKED, " coded AS (SELECT doc_id, line_no, pos, id FROM tokens JOIN ranked USING (token))",
           " ids AS (SELECT doc_id, line_no, list(id + 1 ORDER BY pos) AS l FROM coded GROUP BY ALL)")
     + """ SELECT doc_id, line_no, array_to_string(list_concat(l,
        list_transform(range(max(len(l)) OVER (PARTITION BY doc_id) - len(l)), lambda i: 0)), ' ') AS ids FROM ids"""
 )
 def shift_mask_ids(spark, sf):
     # A document is the batch: its lines are padded to the longest.
-    coded = vocabulary.in_vocab(token_lines(spark, sf), vocab_5000(spark, sf), LINE_KEY)
+    coded = vocabulary.in_vocab(token_lines(spark, sf), common_words(spark, sf), LINE_KEY)
     coded = coded.filter(F.size("ids") > 0)
     longest = coded.groupBy("doc_id").agg(F.max(F.size("ids")).alias("longest"))
     return coded.join(longest, "doc_id").select(
@@ -211,9 +207,12 @@ def shift_mask_ids(spark, sf):
 
 # ------------------------------------------------------------------ pieces, merges, scores, spacing
 
+PIECE_WORDS = 10_000  # with endings and letters a vocabulary of about 32,000 pieces at most
+
+
 def piece_vocab(spark, sf):
     """Frequent words as starting pieces, their endings and all letters as continuations."""
-    top = top_ranked(counts(spark, sf), 2000, "freq", "token").select("token")
+    top = top_ranked(counts(spark, sf), PIECE_WORDS, "freq", "token").select("token")
     chars = F.split("token", "")
     tails = top.filter(F.length("token") > 2).select(
         F.concat(F.lit("##"), F.expr("right(token, 2)")).alias("token")
@@ -229,7 +228,7 @@ def wordpiece(spark, sf):
     return pieces.select(*LINE_KEY, joined("pieces").alias("pieces"))
 
 
-@catalog.add(with_(SQL_COUNTS, sql_ranked(2000)).replace("WITH ", "WITH RECURSIVE ", 1) + """,
+@catalog.add(with_(SQL_COUNTS, sql_ranked(PIECE_WORDS)).replace("WITH ", "WITH RECURSIVE ", 1) + """,
 vocab AS (
   SELECT token AS piece FROM ranked UNION SELECT '##' || right(token, 2) FROM ranked WHERE length(token) > 2
   UNION SELECT ch FROM (SELECT unnest(string_split(token, '')) AS ch FROM ranked)

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.arrays import scale
+from corpusloom.functions.arrays import let, scale
 from corpusloom.functions.hashing import digest
-from corpusloom.plans.lookup import lookup_rows
+from corpusloom.plans.lookup import lookup_array
 from corpusloom.plans.unnest import unnest
 from corpusloom.session import materialize
 
@@ -142,26 +145,49 @@ def term_filter(tokens: Column, stop: list[str] | None = None, pattern: str | No
     return F.filter(kept, lambda t: t.rlike(pattern)) if pattern else kept
 
 
+def _term_counts(lists: pa.ListArray) -> tuple[pa.ListArray, pa.ListArray]:
+    """The distinct elements of every list and how often each is there."""
+    sizes = np.diff(np.asarray(lists.offsets))
+    flat = lists.flatten().dictionary_encode(null_encoding="encode")
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    width = max(len(flat.dictionary), 1)
+    cells, times = np.unique(owner * width + np.asarray(flat.indices).astype(np.int64), return_counts=True)
+    ends = pa.array(np.searchsorted(cells, np.arange(len(sizes) + 1) * width).astype(np.int32))
+    words = flat.dictionary.take(pa.array(cells % width))
+    return pa.ListArray.from_arrays(ends, words), pa.ListArray.from_arrays(ends, pa.array(times))
+
+
+def count_terms(df: DataFrame, keep: list[str], column: str) -> DataFrame:
+    """``keep, terms, tf``: the distinct terms of each row's array and their counts, row by row."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms, times = _term_counts(batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], terms, times], names=[*keep, "terms", "tf"])
+
+    kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keep)
+    return df.select(*keep, column).mapInArrow(count, f"{kinds}, terms array<string>, tf array<bigint>")
+
+
 def tfidf(df: DataFrame, doc: str = "doc_id", column: str = "tokens") -> DataFrame:
     """``doc, term, tf, tfidf`` with idf ln((1 + n) / (1 + df)) + 1 and rows of length one.
 
-    Terms are counted once per document and written. The frequencies of terms over documents are joined
-    back on the term, common terms by broadcast, and row lengths need the document's rows only.
+    A document stays one row: its terms are counted in place and written, and its weights scaled in
+    place. Only the document frequencies are added up over the corpus, and come back by a look-up.
     """
-    terms = F.transform(column, lambda t: F.lower(t))
-    long = (
-        unnest(df, terms, doc, value="term")
-        .groupBy(doc, "term")
-        .agg(F.count("*").alias("tf"))
+    lowered = df.select(doc, F.transform(column, lambda t: F.lower(t)).alias("_terms"))
+    counted = materialize(count_terms(lowered, [doc], "_terms"), "terms")
+    frequency = materialize(
+        unnest(counted, "terms", value="term").groupBy("term").agg(F.count("*").alias("df")), "frequencies"
+    )
+    total = counted.count()
+    found = lookup_array(counted, "terms", "_df", frequency, "term", "df", [doc], weight="df")
+    raw = F.zip_with("tf", "_df", lambda t, n: t * (F.log((F.lit(1) + total) / (n + 1)) + 1))
+    weighed = found.withColumn("_raw", raw)
+    length = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda acc, x: acc + x * x))
+    entries = let(length, lambda n: F.transform(F.arrays_zip("terms", "tf", "_raw"), lambda e: e.withField("_raw", e["_raw"] / n)))
+    return unnest(weighed, entries, doc, value="_e").select(
+        doc, F.col("_e.terms").alias("term"), F.col("_e.tf").alias("tf"), F.col("_e._raw").alias("tfidf")
     )
-    long = materialize(long, "terms")
-    frequency = long.groupBy("term").agg(F.count("*").alias("_df"))
-    total = df.agg(F.count("*")).scalar()
-    idf = F.log((F.lit(1) + total) / (F.col("_df") + 1)) + 1
-    found = lookup_rows(long, "term", frequency.withColumn("_n", F.col("_df")), "term", "_df", "_n")
-    raw = found.withColumn("_raw", F.col("tf") * idf)
-    length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(doc)))
-    return raw.select(doc, "term", "tf", (F.col("_raw") / length).alias("tfidf"))
 
 
 def sif_weights(counts: DataFrame, vectors: DataFrame, a: float = 1e-4) -> DataFrame:

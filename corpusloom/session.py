@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -32,7 +34,8 @@ def build_session(app: str = "corpusloom", master: str | None = None, **conf: st
 def scratch_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may go without that setting; it then gets a folder of its own.
+    Only a local-mode session may go without that setting; it then gets a folder of its own, which goes
+    when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -42,6 +45,7 @@ def scratch_dir(spark: SparkSession) -> str:
     app_id = spark.sparkContext.applicationId
     if app_id not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[app_id] = tempfile.mkdtemp(prefix="corpusloom-")
+        atexit.register(shutil.rmtree, _LOCAL_SCRATCH[app_id], ignore_errors=True)
     return _LOCAL_SCRATCH[app_id]
 
 

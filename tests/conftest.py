@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
     from corpusloom.session import build_session
 
     session = build_session(
-        "tests", "local[8]",
+        "tests", os.environ.get("TEST_MASTER", "local[8]"),
         **{
             "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
             "spark.ui.showConsoleProgress": "false",
