@@ -39,7 +39,7 @@ pairs AS (SELECT a.id AS x, b.id AS y, {weight} AS w FROM {source} a JOIN {sourc
 
 BOTH = "SELECT x, y, w FROM pairs UNION ALL SELECT y, x, w FROM pairs"
 CELLS = CODED + sql_pairs(10, "1.0::DOUBLE / (b.p - a.p)") + f""",
-cells AS (SELECT x AS row_id, y AS col_id, sum(w) AS value FROM (
+cells AS (SELECT x AS row_id, y AS col_id, fsum(w) AS value FROM (
   {BOTH} UNION ALL SELECT id, id, 1.0 FROM coded) GROUP BY ALL)"""
 
 
@@ -95,9 +95,9 @@ def cooc_shards(spark, sf):
 
 
 MARGINS = CELLS + """,
-rows_ AS (SELECT row_id, sum(value) AS row_sum FROM cells GROUP BY 1),
-cols_ AS (SELECT col_id, sum(value) AS col_sum FROM cells GROUP BY 1),
-tot AS (SELECT sum(value) AS total FROM cells)"""
+rows_ AS (SELECT row_id, fsum(value) AS row_sum FROM cells GROUP BY 1),
+cols_ AS (SELECT col_id, fsum(value) AS col_sum FROM cells GROUP BY 1),
+tot AS (SELECT fsum(value) AS total FROM cells)"""
 
 
 @catalog.add(with_(MARGINS) + """

@@ -85,9 +85,14 @@ def cooccurrence_glove(rows: DataFrame, window: int = 15) -> DataFrame:
     return _mirror(_weighted_cells(rows, window, numerator, denominator))
 
 
+def exact_sum(column: str) -> Column:
+    """A sum of doubles in twelve decimals, the same for any order of the rows."""
+    return F.sum(F.col(column).cast("decimal(28,12)")).cast("double")
+
+
 def marginals(cells: DataFrame) -> DataFrame:
     """``row_id, row_sum``."""
-    return cells.groupBy("row_id").agg(F.sum("value").alias("row_sum"))
+    return cells.groupBy("row_id").agg(exact_sum("value").alias("row_sum"))
 
 
 def shuffle_pairs(cells: DataFrame, seed: object) -> DataFrame:
@@ -103,8 +108,8 @@ def _with_margins(cells: DataFrame) -> tuple[DataFrame, Column]:
     """
     cells = materialize(cells, "cells")
     rows = marginals(cells)
-    columns = cells.groupBy("col_id").agg(F.sum("value").alias("col_sum"))
-    total = rows.agg(F.sum("row_sum")).scalar()
+    columns = cells.groupBy("col_id").agg(exact_sum("value").alias("col_sum"))
+    total = cells.agg(exact_sum("value")).scalar()
     return cells.join(rows, "row_id").join(columns, "col_id"), total
 
 
