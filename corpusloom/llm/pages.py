@@ -197,11 +197,22 @@ def shared_lines(own: list[int], others: list[list[int]]) -> list[int]:
     return []
 
 
+def sorted_lines(page: str | None) -> tuple[list[str], list[int], list[int]]:
+    """The block lines of a page, and the places of those in an article and of the undecided ones.
+
+    Lines that their place drops are empty in the list, so that a line's place is its index.
+    """
+    lines = block_lines(page)
+    texts = ["" if dropped else text for text, dropped, _ in lines]
+    marked = [i for i, (_, dropped, inside) in enumerate(lines) if inside and not dropped]
+    undecided = [i for i, (_, dropped, inside) in enumerate(lines) if not inside and not dropped]
+    return texts, marked, undecided
+
+
 def main_text(page: str | None, shared: list[int]) -> str:
     """Blocks that are left after named places and shared lines outside articles are deleted."""
-    gone = set(shared)
-    kept = [t for i, (t, dropped, marked) in enumerate(block_lines(page)) if not dropped and (marked or i not in gone)]
-    return "\n\n".join(kept)
+    texts, marked, undecided = sorted_lines(page)
+    return "\n\n".join(texts[i] for i in sorted({*marked, *(set(undecided) - set(shared))}))
 
 
 def path_key(url):
@@ -226,9 +237,9 @@ def _numbered(keys: DataFrame) -> DataFrame:
 
 
 def shared_by_page(pages: DataFrame) -> DataFrame:
-    """``key, shared`` for distinct pages ``key, url, html``: the places of lines shared with a neighbour.
+    """``key, shared`` for every page of ``key, url, html``: the places of lines shared with a neighbour.
 
-    Only hashes of lines move. Pages in order are dealt into chunks of ``CHUNK_ROWS``, each with the
+    Only hashes of lines move; equal keys are one page. Pages in order are dealt into chunks of ``CHUNK_ROWS``, each with the
     nearest pages of the chunks beside it, so a host of any size is spread and no task needs more than
     one chunk.
     """
@@ -244,7 +255,8 @@ def shared_by_page(pages: DataFrame) -> DataFrame:
         return work
 
     hashed = map_batches(source, "key string, host string, path string, lines array<bigint>", setup)
-    placed = _numbered(hashed)
+    # Written, as the bounds of the ranges are drawn from it before it is cut at them.
+    placed = _numbered(materialize(hashed.dropDuplicates(["key"]), "lines"))
     chunk = F.floor(F.col("place") / CHUNK_ROWS)
     low = F.floor((F.col("place") - NEIGHBOURS) / CHUNK_ROWS)
     high = F.floor((F.col("place") + NEIGHBOURS) / CHUNK_ROWS)
@@ -310,14 +322,18 @@ def extract(df: DataFrame, id_column: str = "page_id", url_column: str = "url",
     empty = F.lit("")
     parts = [F.col(c).cast("string") for c in (id_column, url_column, html_column)]
     key = F.md5(F.concat_ws("|", *[F.coalesce(F.length(p).cast("string"), F.lit("-")) for p in parts], *[F.coalesce(p, empty) for p in parts]))
-    rows = df.select(F.col(id_column).alias("id"), F.col(url_column).alias("url"), F.col(html_column).alias("html"), key.alias("key"))
-    marks = shared_by_page(rows.dropDuplicates(["key"]).select("key", "url", "html"))
-    joined = rows.join(marks.dropDuplicates(["key"]), "key", "left").select("id", "url", "html", "shared")
+    rows = df.select(key.alias("key"), F.col(id_column).alias("id"), F.col(url_column).alias("url"), F.col(html_column).alias("html"))
 
     def setup():
-        def work(keys, urls, texts, shared):
-            return [keys, urls, [main_text(t, s or []) for t, s in zip(texts, shared)]]
+        def work(keys, ids, urls, texts):
+            return [keys, ids, urls, *map(list, zip(*map(sorted_lines, texts)))] if keys else [[]] * 6
 
         return work
 
-    return map_batches(joined, f"id {kind}, url string, text string", setup).toDF(id_column, url_column, "text")
+    schema = f"key string, id {kind}, url string, texts array<string>, marked array<int>, undecided array<int>"
+    # Texts move once, to meet their page's marks; what is deleted by place stays behind.
+    joined = map_batches(rows, schema, setup).join(shared_by_page(rows.select("key", "url", "html")), "key", "left")
+    left = F.array_except("undecided", F.coalesce("shared", F.array().cast("array<int>")))
+    kept = F.sort_array(F.array_union("marked", left))
+    text = F.array_join(F.transform(kept, lambda i: F.get("texts", i)), "\n\n")
+    return joined.select(F.col("id").alias(id_column), F.col("url").alias(url_column), text.alias("text"))
