@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.catalog.base import (
     LINE_KEY, SQL_COUNTS, WS, Catalog, counts, documents, joined, sql_ranked, table, token_lines, with_,
 )
+from corpusloom.catalog.words import PIECE_WORDS, piece_vocab, sql_pieces
 from corpusloom.functions.hashing import digest, uniform
 from corpusloom.functions.text import WHITESPACE, split_sentences, whitespace_tokens
 from corpusloom.operators import examples as ex
@@ -403,10 +404,38 @@ def seq_features_joint(spark, sf):
     return whole.select("row", "window", "label", *[joined(c).alias(c) for c in ("input", "target", "seg_id")])
 
 
-@catalog.add(None)
-def span_mask(spark, sf):
-    from corpusloom.catalog.words import piece_vocab
+REACH = [sum(1.0 / k for k in range(1, n + 1)) for n in range(1, streams.MAX_GRAM + 1)]
+LONGER = " + ".join(f"(share >= {r!r}::DOUBLE)::INT" for r in REACH[:-1])
+# Spans of a goal of 12 in contexts of six tokens per word, walked draw by draw.
+SPANS = recursive(SQL_COUNTS + "," + sql_ranked(PIECE_WORDS) + sql_pieces("SELECT token FROM counts")) + f""",
+laid AS (SELECT doc_id, line_no, unnest(string_split(pieces, ' ')) AS piece, pos, generate_subscripts(string_split(pieces, ' '), 1) AS part
+  FROM tokens JOIN cut USING (token)),
+placed AS (SELECT doc_id, line_no, CASE WHEN starts_with(piece, '##') THEN substr(piece, 3) ELSE '▁' || piece END AS piece,
+  row_number() OVER (PARTITION BY doc_id, line_no ORDER BY pos, part) - 1 AS i FROM laid),
+rows_ AS (SELECT doc_id, line_no, list(i ORDER BY i) FILTER (WHERE regexp_full_match(piece, '(?s)(?:[▁<].*|[!"#$%&()*+,\\-./:;?@\\[\\\\\\]^_`{{|}}~])')) AS b,
+  count(*) AS size, least(12, count(*)) AS goal FROM placed GROUP BY ALL),
+walk_spans AS (
+  SELECT doc_id, line_no, coalesce(b, []) AS b, size, goal, 0::BIGINT AS t, 0::BIGINT AS here, 0::BIGINT AS cnt, NULL::BIGINT AS s_begin, NULL::BIGINT AS s_end FROM rows_
+  UNION ALL
+  SELECT doc_id, line_no, b, size, goal, t + 1, e + n * 6 - lft, cnt + e - first_, first_, e FROM (
+    SELECT *, least(close_, first_ + goal - cnt) AS e FROM (
+      SELECT *, b[word + 1] AS first_, b[word + n + 1] AS close_ FROM (
+        SELECT *, len(list_filter(b, lambda x: x < here + lft)) AS word FROM (
+          SELECT *, drawn % (n * 6) AS lft FROM (
+            SELECT *, least(1 + {LONGER}, goal - cnt)::BIGINT AS n FROM (
+              SELECT *, {sql_uniform('3/gram', 'doc_id', 'line_no', 't + 1')} * {REACH[-1]!r}::DOUBLE AS share,
+                {sql_draw('3/left', 'doc_id', 'line_no', 't + 1')} AS drawn
+              FROM walk_spans WHERE cnt < goal AND t < ceil(size / 7.0)))))) WHERE close_ IS NOT NULL)),
+inside AS (SELECT p.doc_id, p.line_no, p.i, bool_or(w.s_begin <= p.i AND p.i < w.s_end) IS TRUE AS hit, max(w.cnt) AS cnt, max(w.goal) AS goal
+  FROM placed p JOIN walk_spans w ON w.doc_id = p.doc_id AND w.line_no = p.line_no GROUP BY ALL),
+filled AS (SELECT *, hit OR row_number() OVER (PARTITION BY doc_id, line_no, hit ORDER BY
+    md5(concat_ws('|', '3/top', CAST(doc_id AS VARCHAR), CAST(line_no AS VARCHAR), CAST(i AS VARCHAR)))) <= goal - cnt AS chosen FROM inside)
+SELECT doc_id, line_no, string_agg(chosen::INT::VARCHAR, ' ' ORDER BY i) AS mask, sum(chosen::INT)::BIGINT AS n FROM filled GROUP BY ALL
+"""
+
 
+@catalog.add(SPANS)
+def span_mask(spark, sf):
     pieces = wordpiece(token_lines(spark, sf), piece_vocab(spark, sf)).filter(F.size("pieces") > 0)
     # Pieces in the marked notation: a word's first piece carries the mark, the others nothing.
     marked = F.transform("pieces", lambda p: F.when(p.startswith("##"), F.substring(p, 3, 1000)).otherwise(F.concat(F.lit("▁"), p)))

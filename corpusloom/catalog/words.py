@@ -8,6 +8,7 @@ from corpusloom.catalog.base import (
     LEAST, WORDS, common_words, LINE_KEY, SQL_COUNTS, SQL_LINES, SQL_TOKENS, SQL_TOKEN_LINES, WS, Catalog, counts, documents,
     joined, lines, sql_ranked, stored_counts, token_docs, token_lines, with_,
 )
+from corpusloom.catalog.texts import CASED, words_sql
 from corpusloom.operators import corpus, tokenize, vocabulary
 from corpusloom.plans.ranking import top_ranked
 from corpusloom.sources import writers
@@ -222,38 +223,60 @@ def piece_vocab(spark, sf):
     return top.union(tails).union(both).distinct()
 
 
-@catalog.add(None)
-def wordpiece(spark, sf):
-    pieces = tokenize.wordpiece(token_lines(spark, sf), piece_vocab(spark, sf))
-    return pieces.select(*LINE_KEY, joined("pieces").alias("pieces"))
-
-
-@catalog.add(with_(SQL_COUNTS, sql_ranked(PIECE_WORDS)).replace("WITH ", "WITH RECURSIVE ", 1) + """,
+def sql_pieces(words: str) -> str:
+    """``cut``: the pieces of every token of ``words``, walked from left to right; needs ``ranked``."""
+    return f""",
+words AS ({words}),
 vocab AS (
   SELECT token AS piece FROM ranked UNION SELECT '##' || right(token, 2) FROM ranked WHERE length(token) > 2
   UNION SELECT ch FROM (SELECT unnest(string_split(token, '')) AS ch FROM ranked)
   UNION SELECT '##' || ch FROM (SELECT unnest(string_split(token, '')) AS ch FROM ranked)),
 cand AS (
   SELECT token, s, CASE WHEN s > 1 THEN '##' ELSE '' END || substr(token, s, k) AS piece, k
-  FROM (SELECT token, unnest(range(1, length(token) + 1)) AS s FROM counts WHERE length(token) <= 200) t, range(1, 60) r(k)
+  FROM (SELECT token, unnest(range(1, length(token) + 1)) AS s FROM words WHERE length(token) <= 200) t, range(1, 60) r(k)
   WHERE s + k - 1 <= length(token)),
 hit AS (SELECT c.token, c.s, max(c.k) AS k FROM cand c JOIN vocab v USING (piece) GROUP BY ALL),
 walk AS (
-  SELECT token, 1 AS s FROM counts WHERE length(token) <= 200
+  SELECT token, 1 AS s FROM words WHERE length(token) <= 200
   UNION ALL
   SELECT w.token, w.s + coalesce(h.k, 1) FROM walk w LEFT JOIN hit h ON h.token = w.token AND h.s = w.s
-  WHERE w.s + coalesce(h.k, 1) <= length(w.token))
-SELECT token, string_agg(CASE WHEN s > 1 THEN '##' ELSE '' END || substr(token, s, k), ' ' ORDER BY s) AS pieces
-FROM walk JOIN hit USING (token, s) GROUP BY token
-UNION ALL SELECT token, '[UNK]' FROM counts WHERE length(token) > 200
-""")
+  WHERE w.s + coalesce(h.k, 1) <= length(w.token)),
+cut AS (
+  SELECT token, string_agg(CASE WHEN s > 1 THEN '##' ELSE '' END || substr(token, s, k), ' ' ORDER BY s) AS pieces
+  FROM walk JOIN hit USING (token, s) GROUP BY token
+  UNION ALL SELECT token, '[UNK]' FROM words WHERE length(token) > 200)"""
+
+
+def recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@catalog.add(recursive(with_(SQL_COUNTS, sql_ranked(PIECE_WORDS)) + sql_pieces("SELECT token FROM counts") + """
+SELECT l.doc_id, l.line_no, coalesce(string_agg(c.pieces, ' ' ORDER BY c.pos), '') AS pieces
+FROM token_lines l LEFT JOIN (SELECT doc_id, line_no, pos, pieces FROM tokens JOIN cut USING (token)) c
+  ON c.doc_id = l.doc_id AND c.line_no = l.line_no GROUP BY ALL
+"""))
+def wordpiece(spark, sf):
+    pieces = tokenize.wordpiece(token_lines(spark, sf), piece_vocab(spark, sf))
+    return pieces.select(*LINE_KEY, joined("pieces").alias("pieces"))
+
+
+@catalog.add(recursive(
+    with_(SQL_COUNTS, sql_ranked(PIECE_WORDS)) + sql_pieces("SELECT token FROM counts") + " SELECT token, pieces FROM cut"
+))
 def wordpiece_words(spark, sf):
     words = counts(spark, sf).select("token", F.array("token").alias("tokens"))
     pieces = tokenize.wordpiece(words, piece_vocab(spark, sf))
     return pieces.filter(F.size("pieces") > 0).select("token", joined("pieces").alias("pieces"))
 
 
-@catalog.add(None)
+@catalog.add(recursive(with_(SQL_COUNTS, sql_ranked(PIECE_WORDS), f"""
+basic AS (SELECT doc_id, {words_sql(CASED)} AS l FROM documents),
+basic_tokens AS (SELECT doc_id, unnest(l) AS token, generate_subscripts(l, 1) AS pos FROM basic)""")
+    + sql_pieces("SELECT DISTINCT token FROM basic_tokens") + """
+SELECT b.doc_id, coalesce(string_agg(c.pieces, ' ' ORDER BY c.pos), '') AS pieces
+FROM basic b LEFT JOIN (SELECT doc_id, pos, pieces FROM basic_tokens JOIN cut USING (token)) c ON c.doc_id = b.doc_id GROUP BY ALL
+"""))
 def full_tokenize(spark, sf):
     pieces = tokenize.full_tokenize(documents(spark, sf), piece_vocab(spark, sf))
     return pieces.select("doc_id", joined("pieces").alias("pieces"))
