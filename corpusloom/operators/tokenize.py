@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 from corpusloom.functions import text as tx
 from corpusloom.functions.arrays import let
 from corpusloom.functions.unicode import strip_accents
-from corpusloom.plans.lookup import lookup_array, lookup_rows, map_elements, small_table
+from corpusloom.plans.lookup import MAX_BROADCAST_ROWS, lookup_array, lookup_rows, map_elements, small_table
 from corpusloom.plans.ranking import with_row_number
+from corpusloom.plans.unnest import unnest
 from corpusloom.session import materialize
 from corpusloom.sources.writers import vocab_with_specials
 
@@ -63,16 +64,18 @@ def greedy_pieces(word: str, vocab: set[str], longest: int) -> list[str]:
 
 
 def wordpiece(
-    df: DataFrame, vocab: DataFrame, column: str = "tokens", out: str = "pieces", token: str = "token"
+    df: DataFrame, vocab: DataFrame, column: str = "tokens", out: str = "pieces", token: str = "token",
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Cut the words of an array column into pieces of the vocabulary.
 
     A piece vocabulary is a fixed-size model; its size is checked before it is shipped. The
-    corpus itself is rewritten in place, without a shuffle.
+    corpus itself is then rewritten in place, without a shuffle. With a larger one the distinct words
+    are cut by joins and looked up; both forms give the same pieces.
     """
-    rows = small_table(vocab.select(token))
+    rows = small_table(vocab.select(token), max_rows)
     if rows is None:
-        raise ValueError("the piece vocabulary is too large to ship to every task")
+        return _wordpiece_joined(df, vocab.select(F.col(token).alias("_piece")), column, out)
     shared = df.sparkSession.sparkContext.broadcast(rows)
 
     def make() -> Callable[[str], list[str]]:
@@ -81,13 +84,45 @@ def wordpiece(
 
         @lru_cache(maxsize=200_000)
         def cut(word: str) -> list[str]:
-            return greedy_pieces(word, pieces, longest)
+            return [] if word is None else greedy_pieces(word, pieces, longest)
 
         return cut
 
     return map_elements(df, column, out, T.StringType(), make, nested=True)
 
 
+def _wordpiece_joined(df: DataFrame, vocab: DataFrame, column: str, out: str) -> DataFrame:
+    """The longest piece at every place of a word by a join, then a walk over the word's places."""
+    numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    counted = unnest(numbered, column, value="_word").groupBy("_word").agg(F.count("*").alias("_n"))
+    words = materialize(counted, "words")
+    short = words.filter(F.length("_word").between(1, MAX_WORD_CHARS)).select("_word")
+    longest = vocab.agg(F.coalesce(F.max(F.length("_piece")), F.lit(0))).scalar()
+    places = short.select("_word", longest.alias("_most"), F.explode(F.sequence(F.lit(1), F.length("_word"))).alias("_s"))
+    most = F.least(F.length("_word") - F.col("_s") + 1, F.greatest(F.col("_most"), F.lit(1)))
+    spans = places.select("_word", "_s", F.explode(F.sequence(F.lit(1), most)).alias("_k"))
+    mark = F.when(F.col("_s") > 1, "##").otherwise("")
+    spans = spans.withColumn("_piece", F.concat(mark, F.substr("_word", F.col("_s"), F.col("_k"))))
+    hits = spans.join(vocab.distinct(), "_piece").groupBy("_word", "_s").agg(F.max(F.struct("_k", "_piece")).alias("_h"))
+    steps = hits.groupBy("_word").agg(F.map_from_entries(F.collect_list(F.struct("_s", "_h"))).alias("_steps"))
+
+    def step(state: Column, at: Column) -> Column:
+        found = F.col("_steps")[at]
+        here = state["at"] == at
+        return (
+            F.when(here & found.isNotNull(), F.struct((at + found["_k"]).alias("at"), F.concat(state["p"], F.array(found["_piece"])).alias("p")))
+            .when(here, F.struct((at + 1).alias("at"), state["p"].alias("p"))).otherwise(state)
+        )
+
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("p"))
+    walked = F.aggregate(F.sequence(F.lit(1), F.length("_word")), start, step)["p"]
+    cut = steps.select("_word", walked.alias("_pieces"))
+    over = words.filter(F.length("_word") > MAX_WORD_CHARS).select("_word", F.array(F.lit(UNKNOWN)).alias("_pieces"))
+    table = materialize(cut.unionByName(over).join(words, "_word"), "pieces")
+    found = lookup_array(numbered, column, out, table, "_word", "_pieces", ["_row"], weight="_n", nested=True)
+    return found.drop("_row")
+
+
 def full_tokenize(
     df: DataFrame, vocab: DataFrame, column: str = "text", out: str = "pieces", lower: bool = False
 ) -> DataFrame:

@@ -18,9 +18,10 @@ from corpusloom.plans.blocks import best_matches
 from corpusloom.plans.lookup import lookup_rows, small_table
 from corpusloom.plans.ranking import average_ranks
 from corpusloom.plans.unnest import unnest
+from corpusloom.session import materialize
 
 MAX_VECTOR_WORDS = 200_000
-MAX_PAIRWISE = 1000
+PAIR_BLOCK = 1000
 TOKENS_AT_ONCE = 100_000
 
 
@@ -276,17 +277,15 @@ def word_similarity_corr(pairs: DataFrame, vectors: DataFrame, unknown: str = "z
 def sampled_pairwise_cosine(vectors: DataFrame, n: int = 30, seed: object = 0, key: str = "key") -> DataFrame:
     """``x, y, score`` for all ordered pairs of a sample, zero vectors left out.
 
-    The sample is the point of the operator: a similarity chart of ``n`` items.
+    The sample is the point of the operator: a similarity chart of ``n`` items. Its rows are dealt into
+    blocks, and each item goes to every block once.
     """
-    if n > MAX_PAIRWISE:
-        raise ValueError(f"a similarity chart holds at most {MAX_PAIRWISE} items")
+    blocks = -(-n // PAIR_BLOCK)
     chosen = sample_rows(vectors, n, seed, key).filter(norm(F.col("vec")) > 0)
-    held = chosen.agg(F.collect_list(F.struct(F.col(key).alias("k"), unit(F.col("vec")).alias("v"))).alias("all"))
-    left = held.select("all", F.explode("all").alias("x"))
-    both = left.select("x", F.explode("all").alias("y"))
-    return both.select(
-        F.col("x.k").alias("x"), F.col("y.k").alias("y"), dot(F.col("x.v"), F.col("y.v")).alias("score")
-    )
+    items = materialize(chosen.select(F.col(key).alias("k"), unit(F.col("vec")).alias("v")), "sample")
+    left = items.select(F.col("k").alias("x"), F.col("v").alias("_x"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_b"))
+    right = items.select(F.col("k").alias("y"), F.col("v").alias("_y"), F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int").alias("_b"))
+    return left.join(right, "_b").select("x", "y", dot(F.col("_x"), F.col("_y")).alias("score"))
 
 
 def nearest_label(train: DataFrame, test: DataFrame) -> DataFrame:

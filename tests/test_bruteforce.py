@@ -278,3 +278,24 @@ def test_encode_wrappers(spark):
         vocabulary.shift_mask_ids(F.col("ids"), 4).alias("s"),
     ).head()
     assert (row["f"], row["r"], row["s"]) == ([1, 5, 6, 0], [0, 6, 5, 1], [6, 7, 0, 0])
+
+
+def test_wordpiece_forms_agree(spark):
+    pieces = ["un", "##aff", "##able", "a", "##c", "ab", "##b", "é", "##漢字"]
+    rows = [(1, ["unaffable", "abc", "zzz", None, "", "é漢字"], "x"), (1, [], "y"), (2, None, "z"), (3, ["a" * 201, "abcb"], "w")]
+    df = spark.createDataFrame(rows, "k bigint, tokens array<string>, pieces_ string")
+    vocab = spark.createDataFrame([(p,) for p in [*pieces, "un"]], "token string")
+    want = [["un", "##aff", "##able", "ab", "##c", "é", "##漢字"], [], [], ["[UNK]", "ab", "##c", "##b"]]
+    for max_rows in (100, 1):
+        got = tokenize.wordpiece(df, vocab, max_rows=max_rows).orderBy("k", "pieces_").collect()
+        assert [r["pieces"] for r in got] == want
+
+
+def test_similarity_chart_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(f"k{i}", v.tolist()) for i, v in enumerate(rng.normal(size=(30, 4)))]
+    df = spark.createDataFrame(rows, "key string, vec array<double>")
+    whole = {(r["x"], r["y"]): r["score"] for r in vectors_module.sampled_pairwise_cosine(df, 20).collect()}
+    monkeypatch.setattr(vectors_module, "PAIR_BLOCK", 6)
+    cut = {(r["x"], r["y"]): r["score"] for r in vectors_module.sampled_pairwise_cosine(df, 20).collect()}
+    assert len(whole) == 400 and whole == cut
