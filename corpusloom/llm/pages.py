@@ -42,14 +42,17 @@ RAW = "script style noscript template iframe object svg math textarea title canv
 DROPPED = frozenset("nav header footer aside form button select dialog menu option label fieldset head search".split())
 CLOSED_BY_BLOCK = frozenset(["p"])
 MARKED = frozenset(["article", "main"])
-# ---- words of class, id and role that name what a block is
-NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promos?|promotions?|banners?|menus?|navs?|navbar|"
-    r"navigation|breadcrumbs?|headers?|masthead|topbar|footers?|sidebars?|aside|widgets?|cookies?|consent|gdpr|notices?|notifications?|"
-    r"alerts?|popups?|modals?|overlays?|newsletter|subscribe|subscription|signup|login|share|sharing|social|comments?|respond|replies|"
-    r"disqus|related|recommended|recommendations|pagination|pager|search|toolbar|skip|complementary|contentinfo|"
-    r"hidden|toc)(?:$|[\s_-])", re.IGNORECASE,
+# ---- words in class, id and role that name what a block is
+NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored sponsors promo promos promotion "
+    "banner banners menu menus nav navbar navigation breadcrumb breadcrumbs header masthead topbar footer sidebar sidebars aside "
+    "widget widgets cookie cookies consent gdpr notice notices notification notifications alert alerts popup popups modal overlay "
+    "newsletter subscribe subscription signup login share sharing social related recommended recommendations pagination pager "
+    "search toolbar skip complementary contentinfo hidden toc".split()
 )
+TALK = frozenset("comment comments respond replies disqus".split())
+NOT_NAMED = frozenset("has no with without is".split())  # has-sidebar tells of a page, it is no sidebar
+OWN_HEADERS = frozenset("entry post article story section content page".split())
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
     rf"<(?P<raw>{RAW.replace(' ', '|')})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)|"
@@ -60,12 +63,22 @@ ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 
 
-def _is_named(attributes: str) -> bool:
+def _named(attributes: str) -> tuple[bool, bool]:
+    """Whether a block's names say that it is no main text, and that it holds reader comments."""
     if not attributes:
-        return False
-    if HIDDEN.search(attributes):
-        return True
-    return any(NAMED.search(a or b or c) for a, b, c in ATTRIBUTE.findall(attributes))
+        return False, False
+    named, talk = bool(HIDDEN.search(attributes)), False
+    for found in ATTRIBUTE.findall(attributes):
+        for name in "".join(found).lower().split():
+            parts = re.split("[_-]+", name)
+            if parts[0] in NOT_NAMED:
+                continue
+            words = set(parts)
+            if parts[0] in OWN_HEADERS:
+                words.discard("header")
+            named = named or not NAMES.isdisjoint(words)
+            talk = talk or not TALK.isdisjoint(words)
+    return named, talk
 
 
 def block_lines(page: str | None) -> list[tuple[str, bool, bool]]:
@@ -79,24 +92,26 @@ def block_lines(page: str | None) -> list[tuple[str, bool, bool]]:
         return []
     lines: list[tuple[str, bool, bool]] = []
     parts: list[str] = []
-    stack: list[tuple[str, int, int]] = []  # name, dropped and marked depth around it
-    dropped = marked = 0
+    # Depths of what drops a line by element, by name and as comments, of articles around it, and of inline
+    # elements that drop their own text out of a line.
+    by_element = by_name = talk = marked = muted = 0
+    stack: list[tuple[str, int, int, int, int, int]] = []
 
     def end_line() -> None:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                lines.append((text, dropped > 0, marked > 0))
+                lines.append((text, by_element + by_name + talk > 0, marked > 0))
 
     def leave(at: int) -> None:
-        nonlocal dropped, marked
-        _, dropped, marked = stack[at]
+        nonlocal by_element, by_name, talk, marked, muted
+        _, by_element, by_name, talk, marked, muted = stack[at]
         del stack[at:]
 
     position = 0
     for found in TOKEN.finditer(page):
-        if found.start() > position:
+        if found.start() > position and not muted:
             parts.append(page[position:found.start()])
         position = found.end()
         name = found.group("name")
@@ -131,17 +146,26 @@ def block_lines(page: str | None) -> list[tuple[str, bool, bool]]:
                     break
                 if stack[at][0] in BLOCKS:
                     break
-        elif name not in DROPPED and not _is_named(attributes):
+        named, comments = _named(attributes)
+        if not block and name not in DROPPED and not named and not comments:
             continue
         if stack and stack[-1][0] == name and name in ("li", "option", "tr", "td", "th", "dt", "dd"):
             leave(len(stack) - 1)
-        stack.append((name, dropped, marked))
+        stack.append((name, by_element, by_name, talk, marked, muted))
+        if not block:
+            muted += 1
+            continue
         # The heading of an article is its own; only headers of the page are dropped.
-        if (name in DROPPED and not (name == "header" and marked)) or (name not in MARKED and name != "body" and name != "html" and _is_named(attributes)):
-            dropped += 1
+        if name in DROPPED and not (name == "header" and marked):
+            by_element += 1
+        talk += comments
         if name in MARKED:
             marked += 1
-    if position < len(page):
+            if not talk:
+                by_name = 0  # a wrapper's name does not decide about the article in it
+        elif name not in ("body", "html"):
+            by_name += named
+    if position < len(page) and not muted:
         parts.append(page[position:])
     end_line()
     return lines

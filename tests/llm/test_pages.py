@@ -38,6 +38,17 @@ def test_places_and_references():
     assert pages.main_text("<p>" * 50_000 + "x" * 100_000, []) == "x" * 100_000
 
 
+def test_names_are_read_word_by_word():
+    def text(body):
+        return pages.main_text(f"<body class='has-sidebar'>{body}</body>", [])
+
+    assert text("<div class='layout sidebar-right'><article><div class='entry-header'><h1>T</h1></div><p>a</p></article></div>") == "T\n\na"
+    assert text("<p>a <span class='ad-label'>Ad</span>b <button>Share</button>c</p><div class='shares'>d</div>") == "a b c\n\nd"
+    assert text("<section id='comments'><article class='comment'><p>nice</p></article></section><main><p>x</p></main>") == "x"
+    assert text("<div class='left-sidebar'>s</div><div class=\"no-banner adapt\">t</div><div id=cookie_notice>u</div>") == "t"
+    assert text("<div hidden>a</div><div style='display: none'>b</div><div data-hidden=no>c</div>") == "c"
+
+
 def site(number, story, marked=False):
     body = f"<div><h1>Story {number}</h1><p>{story}</p></div>"
     body = f"<article>{body}</article>" if marked else body
