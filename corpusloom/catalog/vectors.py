@@ -324,6 +324,54 @@ def classifier_accuracy(spark, sf):
     return scores.withColumn("accuracy", F.round("accuracy", 6))
 
 
+@catalog.add(with_(WORD_VECTORS) + f""",
+weighted AS (SELECT key, list_transform(vec, lambda x: x * w) AS vec FROM (
+  SELECT key, vec, 0.0001::DOUBLE / (freq / (SELECT sum(freq) FROM counts)::DOUBLE + 0.0001::DOUBLE) AS w FROM vectors JOIN counts ON token = key)),
+known AS (SELECT doc_id, vec FROM tokens JOIN labels USING (doc_id) JOIN weighted ON key = token),
+sums AS (SELECT doc_id, d, sum(x) AS x FROM (SELECT doc_id, unnest(vec) AS x, generate_subscripts(vec, 1) AS d FROM known) GROUP BY ALL),
+lists AS (SELECT doc_id, list(x ORDER BY d) AS vec FROM sums GROUP BY doc_id),
+labelled AS (SELECT l.doc_id, l.quality::BIGINT AS label,
+  coalesce(list_transform(vec, lambda x: x / sqrt(list_dot_product(vec, vec))), list_transform(range({DIM}), lambda i: 0::DOUBLE)) AS vec
+  FROM labels l JOIN documents USING (doc_id) LEFT JOIN lists USING (doc_id)),
+best AS ({NEAREST.format(key="train_id", test="(SELECT doc_id AS test_id, vec FROM labelled WHERE doc_id % 5 = 0)", train="(SELECT doc_id AS train_id, vec, label FROM labelled WHERE doc_id % 5 <> 0)")})
+SELECT sum((best.label = l.label)::INT)::BIGINT AS correct, count(*) AS total, round(avg((best.label = l.label)::INT), 6) AS accuracy
+FROM best JOIN labelled l ON l.doc_id = test_id
+""")
+def document_label_accuracy(spark, sf):
+    """Labelled documents as weighted bags of word vectors; every fifth is judged by its nearest neighbour."""
+    weighted = statistics.sif_weights(counts(spark, sf), word_vectors(spark, sf)).select("key", "vec")
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("bigint").alias("label"))
+    rows = token_docs(spark, sf).join(labels, "doc_id")
+    found = materialize(vs.sentence_bow_vector(rows, weighted, ["doc_id"]).select("doc_id", "label", "vec"), "labelled")
+    fifth = F.col("doc_id") % 5 == 0
+    train = found.filter(~fifth).withColumnRenamed("doc_id", "train_id")
+    test = found.filter(fifth).select(F.col("doc_id").alias("test_id"), "vec", F.col("label").alias("truth"))
+    judged = vs.nearest_label(train, test.select("test_id", "vec")).join(test.select("test_id", "truth"), "test_id")
+    return vs.classifier_accuracy(judged).withColumn("accuracy", F.round("accuracy", 6))
+
+
+ASKED = ["the", "of", "and", "the", "no-such-word"]
+
+
+@catalog.add(with_(WORD_VECTORS) + f""",
+vec_units AS (SELECT key, list_transform(vec, lambda x: x / sqrt(list_dot_product(vec, vec))) AS vec FROM vectors),
+asked AS (SELECT unnest({ASKED!r}) AS key),
+sums AS (SELECT d, sum(x) / {len(ASKED)} AS x FROM (
+  SELECT unnest(vec) AS x, generate_subscripts(vec, 1) AS d FROM asked JOIN vec_units USING (key)) GROUP BY d),
+mean AS (SELECT list(x ORDER BY d) AS vec FROM sums),
+query AS (SELECT list_transform(vec, lambda x: x / sqrt(list_dot_product(vec, vec))) AS vec FROM mean)
+SELECT key, round(score, 6) AS score, rn - 1 AS rank FROM (
+  SELECT u.key, round(list_dot_product(u.vec, q.vec), 9) AS score,
+         row_number() OVER (ORDER BY round(list_dot_product(u.vec, q.vec), 9) DESC, u.key) AS rn
+  FROM vec_units u, query q) WHERE rn BETWEEN 2 AND 11
+""")
+def most_similar_sentence(spark, sf):
+    """Words nearest to the mean of a sentence's unit vectors; unknown words count as zero."""
+    vectors = materialize(word_vectors(spark, sf), "word-vectors")
+    best = vs.most_similar(vectors, vs.query_vector(spark, ASKED, vectors))
+    return best.withColumn("score", F.round("score", 6))
+
+
 def square(vec, n, start=0):
     """A vector's entries from ``start`` as an n x n matrix."""
     return F.array(*[F.slice(vec, start + 1 + i * n, n) for i in range(n)])
