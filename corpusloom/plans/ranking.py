@@ -15,6 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from corpusloom.session import materialize
 
 PARTITION = "_range_part"
+HASH_BUCKET = 65_536
 
 
 def top_ranked(counts: DataFrame, k: int, count: str, key: str, out: str = "id") -> DataFrame:
@@ -112,14 +113,19 @@ def with_row_number(df: DataFrame, order: list[Column], out: str = "row_no") ->
 
 
 def with_hash_order(
-    df: DataFrame, digest: Column, out: str = "row_no", within: list[str] | None = None, width: int = 3
+    df: DataFrame, digest: Column, out: str = "row_no", within: list[str] | None = None, width: int | None = None
 ) -> DataFrame:
     """Number rows from 0 in the order of a unique hexadecimal digest, apart per ``within``.
 
     Digests are uniform, so their first ``width`` digits cut the order into 16^width even
-    buckets. Buckets are numbered apart and shifted by the counts of the buckets before them.
+    buckets, by default so many that a bucket holds about ``HASH_BUCKET`` rows. Buckets are numbered
+    apart and shifted by the counts of the buckets before them.
     """
     group = within or []
+    if width is None:
+        rows, width = df.count(), 1
+        while rows >> (4 * width) > HASH_BUCKET:
+            width += 1
     marked = df.withColumn("_digest", digest).withColumn(
         "_bucket", F.substring("_digest", 1, width)
     )

@@ -49,6 +49,9 @@ def write_vocab(vocab: DataFrame, path: str, mode: str = "error") -> None:
     _write_column(ordered, F.col("token"), path, mode)
 
 
+FILE_ROWS = 100_000
+
+
 def write_line_shards(df: DataFrame, path: str, lines_per_file: int, column: str = "text", mode: str = "error") -> None:
     """Text files of at most ``lines_per_file`` lines."""
     df.select(F.col(column).alias("value")).write.mode(mode).option(
@@ -56,14 +59,19 @@ def write_line_shards(df: DataFrame, path: str, lines_per_file: int, column: str
     ).text(path)
 
 
+def _dealt(df: DataFrame, shards: int, digest: Column) -> DataFrame:
+    return with_hash_order(df, digest, "_no").withColumn("shard", (F.col("_no") % shards).cast("bigint"))
+
+
 def deal_examples(df: DataFrame, shards: int, digest: Column) -> DataFrame:
     """Add ``shard``: examples in the order of their digest are dealt to the shards in turn."""
-    numbered = with_hash_order(df, digest, "_no")
-    return numbered.withColumn("shard", (F.col("_no") % shards).cast("bigint")).drop("_no")
+    return _dealt(df, shards, digest).drop("_no")
 
 
 def write_example_shards(df: DataFrame, path: str, shards: int, digest: Column, mode: str = "error") -> None:
-    deal_examples(df, shards, digest).write.mode(mode).partitionBy("shard").parquet(path)
+    """One folder per shard; each task writes files of one shard, of about ``FILE_ROWS`` rows."""
+    part = F.floor(F.col("_no") / (shards * FILE_ROWS))
+    _dealt(df, shards, digest).repartition("shard", part).drop("_no").write.mode(mode).partitionBy("shard").parquet(path)
 
 
 def cooc_shards(cells: DataFrame, shards: int) -> DataFrame:
@@ -118,8 +126,14 @@ def merge_manifests(manifests: DataFrame, num_passes: int | None = None) -> Data
 
 
 def tokenized_cache(df: DataFrame, path: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Build the tokenized corpus once and read it back when it is there already."""
+    """Build the tokenized corpus once and read it back when it is there already.
+
+    It lies in a folder named by the number of rows and a sum of their hashes, so another input is built
+    anew.
+    """
     spark = df.sparkSession
+    rows, total = df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
+    path = os.path.join(path, f"{rows}-{total or 0}")
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))
     files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(hadoop_path):
