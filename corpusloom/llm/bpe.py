@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.batches import map_batches
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-CACHED_PIECES = 400_000
+CACHED_PIECES = 200_000
 CACHED_LENGTH = 48
 NODE_WIDTH = 64
 PLACE_BITS = 40
@@ -42,6 +42,14 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+@lru_cache(maxsize=4)
+def own_cut(path: str) -> Callable[[str], list]:
+    """The library's cut into pieces, loaded by the few tasks that meet a doubtful text."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+
+
 class Pieces(dict):
     """Ids by piece; short pieces are remembered up to a bound, then forgotten all at once."""
 
@@ -63,7 +71,6 @@ class Codec:
 
     def __init__(self, path: str) -> None:
         import regex
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
@@ -90,7 +97,7 @@ class Codec:
         unassigned = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn")
         self.doubtful = frozenset(regex.findall(r"[\p{L}\p{N}]", unassigned))
         self.beyond = re.compile(f"[{min(self.doubtful)}-\U0010ffff]") if self.doubtful else None
-        self.own_cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+        self.path = path
         self.pieces = Pieces(self.piece)
 
     def merge(self, symbols: list[int]) -> list[int]:
@@ -166,7 +173,7 @@ class Codec:
 
     def _plain(self, text: str, out: list[int]) -> None:
         if self.beyond is not None and self.beyond.search(text) and not self.doubtful.isdisjoint(text):
-            pieces = [text[a:b] for _, (a, b) in self.own_cut(text)]
+            pieces = [text[a:b] for _, (a, b) in own_cut(self.path)(text)]
         else:
             pieces = self.pattern.findall(text)
         out += chain.from_iterable(map(self.pieces.__getitem__, pieces))

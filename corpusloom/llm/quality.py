@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.batches import map_batches
+from corpusloom.llm.batches import text_function
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -85,21 +85,16 @@ def document_statistics(
     """
     kept = keep or []
 
-    def setup():
-        def work(keys, texts, *others):
-            rows = [statistics_of(t) for t in texts]
-            return [keys, *[[r[i] for r in rows] for i in range(len(STATISTICS))], *others]
-
-        return work
+    def work(texts):
+        rows = [statistics_of(t) for t in texts]
+        return [[r[i] for r in rows] for i in range(len(STATISTICS))]
 
+    counted = text_function(work, ", ".join(f"{s} bigint" for s in STATISTICS))
     narrow = df.select(
-        F.col(id_column).alias("id"), F.col(text_column).alias("text"),
+        F.col(id_column).alias("id"), counted(F.col(text_column)).alias("s"),
         *[F.col(c).alias(f"k{i}") for i, c in enumerate(kept)],
     )
-    kinds = [f"k{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(kept)]
-    kind = df.schema[id_column].dataType.simpleString()
-    schema = ", ".join([f"id {kind}", *[f"{s} bigint" for s in STATISTICS], *kinds])
-    return map_batches(narrow, schema, setup).toDF(id_column, *STATISTICS, *kept)
+    return narrow.select("id", "s.*", *[f"k{i}" for i in range(len(kept))]).toDF(id_column, *STATISTICS, *kept)
 
 
 def base_failed() -> Column:
