@@ -7,7 +7,7 @@ touched:
 
 * e-mail addresses: letters and digits of the local part stay letters and digits; the domain stays;
 * payment cards (13 to 19 digits, Luhn's check): the first digit stays, the check digit is made anew;
-* telephone numbers with an area code: the ten national digits;
+* telephone numbers with an area code or a country code: the last ten digits;
 * IPv4 addresses: the 32 bits;
 * social security numbers in three groups: the nine digits;
 * dates from 1601 to 2400 as Y-M-D, D.M.Y, M/D/Y or D/M/Y: the day within its cycle of 400 years.
@@ -24,7 +24,10 @@ from corpusloom.functions.arrays import let
 
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 EMAIL = r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
-PHONE = r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+PHONE = (
+    r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+    r"|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])"
+)
 IPV4 = rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])"
 CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9A-Za-z])"
 SOCIAL = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
@@ -37,15 +40,15 @@ ROUNDS = 6
 CYCLE_DAYS, CYCLE_LOW = 146_097, 5_411  # 400 years, and a factor of it
 
 
-def _digest(key: str, kind: str, turn: int, half: Column) -> Column:
-    return F.sha2(F.concat(F.lit(f"{key}|{kind}|{turn}|"), half.cast("string")), 512)
+def _digest(key: str, kind: Column, turn: int, half: Column) -> Column:
+    return F.sha2(F.concat(F.lit(f"{key}|"), kind, F.lit(f"|{turn}|"), half.cast("string")), 512)
 
 
 def _chars(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
 
-def _shift_text(half: Column, other: Column, key: str, kind: str, turn: int) -> Column:
+def _shift_text(half: Column, other: Column, key: str, kind: Column, turn: int) -> Column:
     """Each letter or digit of ``half`` moves on within its own class."""
     def moved(digest: Column) -> Callable[[Column, Column], Column]:
         def one(c: Column, i: Column) -> Column:
@@ -75,7 +78,7 @@ def _rounds(left: Column, right: Column, shift: Callable[[Column, Column, int],
     return let(shift(right, left, turn), lambda new: _rounds(left, new, shift, done, turn + 1))
 
 
-def _permuted_text(text: Column, key: str, kind: str) -> Column:
+def _permuted_text(text: Column, key: str, kind: Column) -> Column:
     half = F.ceil(F.length(text) / 2).cast("int")
     return _rounds(
         F.substr(text, F.lit(1), half), F.substr(text, half + 1, F.length(text)),
@@ -83,7 +86,7 @@ def _permuted_text(text: Column, key: str, kind: str) -> Column:
     )
 
 
-def _permuted_numbers(left: Column, right: Column, sizes: tuple[int, int], key: str, kind: str, done: Callable) -> Column:
+def _permuted_numbers(left: Column, right: Column, sizes: tuple[int, int], key: str, kind: Column, done: Callable) -> Column:
     def shift(a: Column, b: Column, turn: int) -> Column:
         step = F.conv(F.substring(_digest(key, kind, turn, b), 1, 12), 16, 10).cast("bigint")
         return (a + step) % sizes[turn % 2]
@@ -114,36 +117,41 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda total, v: total + v)
 
 
-def _email(value: Column, key: str) -> Column:
-    local = F.substring_index(value, "@", 1)
-    return F.concat(_permuted_text(local, key, "email"), F.lit("@"), F.substring_index(value, "@", -1))
-
-
-def _card(value: Column, key: str) -> Column:
-    def changed(digits: Column) -> Column:
-        inner = F.substr(digits, F.lit(2), F.length(digits) - 2)
-
-        def closed(body: Column) -> Column:
-            check = (10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
-            return let(F.concat(body, check.cast("string")), lambda new: _fill(value, new))
-
-        fresh = F.concat(F.substring(digits, 1, 1), _permuted_text(inner, key, "card"))
-        return F.when(luhn_sum(digits) % 10 == 0, let(fresh, closed)).otherwise(value)
+def _kind(value: Column, digits: Column) -> Column:
+    """What a value is, judged by its form and its check; NULL if it fails its check."""
+    def whole(pattern: str) -> Column:
+        return value.rlike(f"^(?:{pattern})$")
 
-    return let(_digits(value), changed)
+    return (
+        F.when(F.contains(value, F.lit("@")), "email").when(whole(IPV4), "ipv4")
+        .when(whole(CARD), F.when(luhn_sum(digits) % 10 == 0, "card"))
+        .when(whole(SOCIAL), "social").when(whole(PHONE), "phone").otherwise("date")
+    )
 
 
-def _phone(value: Column, key: str) -> Column:
-    def changed(digits: Column) -> Column:
-        cut = F.length(digits) - 10
-        fresh = F.concat(F.substr(digits, F.lit(1), cut), _permuted_text(F.substr(digits, cut + 1, F.lit(10)), key, "phone"))
-        return let(fresh, lambda new: _fill(value, new))
+def _text_kinds(value: Column, digits: Column, kind: Column, key: str) -> Column:
+    """E-mail addresses, cards, telephone and social security numbers: one permutation of the part that
+    changes, put back into the form."""
+    size = F.length(digits)
+    inner = (
+        F.when(kind == "email", F.substring_index(value, "@", 1)).when(kind == "card", F.substr(digits, F.lit(2), size - 2))
+        .when(kind == "phone", F.substr(digits, F.greatest(size - 9, F.lit(1)), F.lit(10))).otherwise(digits)
+    )
 
-    return let(_digits(value), changed)
+    def placed(fresh: Column) -> Column:
+        def with_check(body: Column) -> Column:
+            check = (10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
+            return F.concat(body, check.cast("string"))
 
+        numbers = (
+            F.when(kind == "card", let(F.concat(F.substring(digits, 1, 1), fresh), with_check))
+            .when(kind == "phone", F.concat(F.substr(digits, F.lit(1), F.greatest(size - 10, F.lit(0))), fresh)).otherwise(fresh)
+        )
+        return F.when(kind == "email", F.concat(fresh, F.lit("@"), F.substring_index(value, "@", -1))).otherwise(
+            let(numbers, lambda n: _fill(value, n))
+        )
 
-def _social(value: Column, key: str) -> Column:
-    return let(_permuted_text(_digits(value), key, "social"), lambda new: _fill(value, new))
+    return let(inner, lambda text: let(_permuted_text(text, key, kind), placed))
 
 
 def _ipv4(value: Column, key: str) -> Column:
@@ -154,7 +162,7 @@ def _ipv4(value: Column, key: str) -> Column:
             numbers = [F.floor(high / 256), high % 256, F.floor(low / 256), low % 256]
             return F.concat_ws(".", *[n.cast("string") for n in numbers])
 
-        return _permuted_numbers(octet[0] * 256 + octet[1], octet[2] * 256 + octet[3], (65_536, 65_536), key, "ipv4", written)
+        return _permuted_numbers(octet[0] * 256 + octet[1], octet[2] * 256 + octet[3], (65_536, 65_536), key, F.lit("ipv4"), written)
 
     return let(F.split(value, r"\."), changed)
 
@@ -175,7 +183,7 @@ def _date(value: Column, key: str) -> Column:
                 return F.date_format(F.date_add(start, (high * CYCLE_LOW + low).cast("int")), form)
 
             sizes = (CYCLE_DAYS // CYCLE_LOW, CYCLE_LOW)
-            return _permuted_numbers(F.floor(day / CYCLE_LOW), day % CYCLE_LOW, sizes, key, "date", written)
+            return _permuted_numbers(F.floor(day / CYCLE_LOW), day % CYCLE_LOW, sizes, key, F.lit("date"), written)
 
         return let(F.datediff(F.make_date(y, m, d), start), placed)
 
@@ -195,17 +203,14 @@ def _date(value: Column, key: str) -> Column:
 
 def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of one value found by ``PATTERN``; the value itself if a check fails."""
-    def whole(pattern: str) -> Column:
-        return value.rlike(f"^(?:{pattern})$")
+    def by_kind(digits: Column) -> Column:
+        return let(
+            _kind(value, digits),
+            lambda kind: F.when(kind == "ipv4", _ipv4(value, key)).when(kind == "date", _date(value, key))
+            .when(kind.isNotNull(), _text_kinds(value, digits, kind, key)).otherwise(value),
+        )
 
-    return (
-        F.when(F.contains(value, F.lit("@")), _email(value, key))
-        .when(whole(IPV4), _ipv4(value, key))
-        .when(whole(CARD), _card(value, key))
-        .when(whole(SOCIAL), _social(value, key))
-        .when(whole(PHONE), _phone(value, key))
-        .otherwise(_date(value, key))
-    )
+    return let(_digits(value), by_kind)
 
 
 def replace_private(text: Column, key: str) -> Column:

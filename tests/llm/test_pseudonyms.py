@@ -52,6 +52,14 @@ def test_no_two_values_meet(spark, make):
     assert got != [t for t, _ in renamed(spark, values, "other key")]
 
 
+def test_country_codes(spark):
+    texts = ["call +44 20 7946 0958 now", "+49-30-1234", "+1 663.555.6869", "1+2 30 40"]
+    got = [t for t, _ in renamed(spark, texts)]
+    assert re.fullmatch(r"call \+44 \d\d \d{4} \d{4} now", got[0]) and got[0] != texts[0]
+    assert re.fullmatch(r"\+\d\d-\d\d-\d{4}", got[1]) and got[1] != texts[1]
+    assert re.fullmatch(r"\+1 \d{3}\.\d{3}\.\d{4}", got[2]) and got[3] == texts[3]
+
+
 def test_what_fails_its_check_stays(spark):
     texts = [
         "4465758382889438", "256.1.1.1 and 1.2.3", "2023-02-30 13/13/2020 00.01.2020", "000-12-3456", "v1.2.3.4.5", "9999999999",
