@@ -222,9 +222,6 @@ def truncate_pair(df: DataFrame, max_tokens: int, seed: object, keys: list[str])
     ).drop("_na", "_nb", "_fa", "_fb")
 
 
-BLOCK = 512  # tokens per row of a document that others draw from
-
-
 def next_sentence_pairs(
     docs: DataFrame, max_tokens: int, short_prob: float = 0.1, copies: int = 1, seed: object = 7, key: str = "doc_id"
 ) -> DataFrame:
@@ -232,8 +229,8 @@ def next_sentence_pairs(
 
     ``docs`` has ``ids`` (all tokens of a document) and ``sizes`` (tokens per sentence, none
     empty). A random second part comes from another document: up to ten draws of a document
-    number avoid the chunk's own. The encoded documents and the chunks are written once, being read
-    from both sides of the joins.
+    number avoid the chunk's own. Only such chunks meet that document, by its number, which is drawn
+    evenly, and take their slice of it as the rows are joined. The encoded documents are written once.
     """
     filled = materialize(docs.filter(F.size("sizes") > 0).select(key, "ids", "sizes"), "coded")
     numbers = with_row_number(filled.select(key), [F.col(key)], "doc_no")
@@ -259,15 +256,15 @@ def next_sentence_pairs(
     tries = [pick(n_docs, f"{seed}/document/{i}", *keys) for i in range(10)]
     other = F.coalesce(*[F.when(t != F.col("doc_no"), t) for t in tries], tries[-1])
     random = F.col("is_random") == 1
-    place = [key, "copy", "chunk_no"]
-    cut = materialize(
-        chunks.select(*place, "target", "is_random", "tokens_a", "_next", F.when(random, other).alias("_other")), "chunks"
+    # A chunk that keeps its own second part meets nothing: its number is no document's, and spreads it.
+    cut = chunks.select(
+        key, "copy", "chunk_no", "target", "is_random", "tokens_a", "_next",
+        F.when(random, other).otherwise(-1 - F.col("doc_no")).alias("_other"),
     )
-    # Only the drawn chunks move: first to the sentence sizes of the other document, which fix the slice, then
-    # to the blocks of tokens that hold it. A long document is never copied whole.
-    asked = cut.filter(random).select(*place, "_other", (F.col("target") - F.size("tokens_a")).alias("_wanted"))
-    sizes = numbered.select(F.col("doc_no").alias("_other"), F.col("sizes").alias("_sizes"))
-    met = asked.join(sizes, "_other").withColumn("_begin", pick(F.size("_sizes"), f"{seed}/start", *keys))
+    foreign = numbered.select(F.col("doc_no").alias("_other"), F.col("ids").alias("_ids"), F.col("sizes").alias("_sizes"))
+    met = cut.join(foreign, "_other", "left").withColumn(
+        "_begin", F.when(random, pick(F.size("_sizes"), f"{seed}/start", *keys))
+    ).withColumn("_wanted", F.col("target") - F.size("tokens_a"))
     # At least one sentence, then more until the wanted length is reached.
     taken = F.aggregate(
         F.slice("_sizes", (F.col("_begin") + 1).cast("int"), F.size("_sizes")),
@@ -275,23 +272,9 @@ def next_sentence_pairs(
         lambda acc, x: F.when((acc > 0) & (acc >= F.col("_wanted")), acc).otherwise(acc + x),
     )
     offset = _total(F.slice("_sizes", F.lit(1), F.col("_begin").cast("int")))
-    spans = met.select(*place, "_other", offset.alias("_from"), (offset + taken).alias("_to"))
-    reached = F.sequence(F.floor(F.col("_from") / BLOCK), F.floor((F.col("_to") - 1) / BLOCK))
-    numbers_of = F.sequence(F.lit(0), F.floor((F.size("ids") - 1) / BLOCK).cast("int"))
-    stored = unnest(
-        numbered, F.transform(numbers_of, lambda n: F.slice("ids", n * BLOCK + 1, F.lit(BLOCK))),
-        F.col("doc_no").alias("_other"), value="_ids", pos="_block",
-    )
-    found = unnest(spans, reached, *place, "_other", "_from", "_to", value="_block").join(stored, ["_other", "_block"])
-    low = F.greatest(F.col("_from") - F.col("_block") * BLOCK, F.lit(0))
-    high = F.least(F.col("_to") - F.col("_block") * BLOCK, F.lit(BLOCK))
-    piece = F.slice("_ids", (low + 1).cast("int"), (high - low).cast("int"))
-    drawn = found.groupBy(*place).agg(F.sort_array(F.collect_list(F.struct("_block", piece.alias("_part")))).alias("_parts"))
-    names = [*place, "is_random", "tokens_a"]
-    return cut.filter(~random).select(*names, F.col("_next").alias("tokens_b")).unionByName(
-        cut.filter(random).select(*names).join(drawn, place).select(
-            *names, F.flatten(F.transform("_parts", lambda p: p["_part"])).alias("tokens_b")
-        )
+    drawn = F.slice("_ids", (offset + 1).cast("int"), taken.cast("int"))
+    return met.select(
+        key, "copy", "chunk_no", "is_random", "tokens_a", F.when(random, drawn).otherwise(F.col("_next")).alias("tokens_b")
     )
 
 

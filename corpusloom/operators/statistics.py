@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.arrays import let, scale
+from corpusloom.functions.arrays import scale
 from corpusloom.functions.hashing import digest
 from corpusloom.plans.lookup import lookup_array
 from corpusloom.plans.unnest import unnest
@@ -186,12 +186,24 @@ def tfidf(df: DataFrame, doc: str = "doc_id", column: str = "tokens") -> DataFra
     )
     total = counted.count()
     found = lookup_array(counted, "terms", "_df", frequency, "term", "df", [doc], weight="df")
-    raw = F.zip_with("tf", "_df", lambda t, n: t * (F.log((F.lit(1) + total) / (n + 1)) + 1))
-    weighed = found.withColumn("_raw", raw)
-    length = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda acc, x: acc + x * x))
-    entries = let(length, lambda n: F.transform(F.arrays_zip("terms", "tf", "_raw"), lambda e: e.withField("_raw", e["_raw"] / n)))
-    return unnest(weighed, entries, doc, value="_e").select(
-        doc, F.col("_e.terms").alias("term"), F.col("_e.tf").alias("tf"), F.col("_e._raw").alias("tfidf")
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            times, documents = (batch.column(i).flatten().to_numpy() for i in (2, 3))
+            sizes = np.diff(np.asarray(batch.column(1).offsets))
+            raw = times * (np.log((1 + total) / (documents + 1)) + 1)
+            owners = np.repeat(np.arange(len(sizes)), sizes)
+            lengths = np.sqrt(np.bincount(owners, raw * raw, len(sizes)))
+            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            weights = pa.ListArray.from_arrays(ends, pa.array(raw / lengths[owners]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], weights], names=[doc, "terms", "tf", "tfidf"])
+
+    kind = counted.schema[doc].dataType.simpleString()
+    weighed = found.select(doc, "terms", "tf", "_df").mapInArrow(
+        weigh, f"{doc} {kind}, terms array<string>, tf array<bigint>, tfidf array<double>"
+    )
+    return unnest(weighed, F.arrays_zip("terms", "tf", "tfidf"), doc, value="_e").select(
+        doc, F.col("_e.terms").alias("term"), F.col("_e.tf").alias("tf"), F.col("_e.tfidf").alias("tfidf")
     )
 
 
