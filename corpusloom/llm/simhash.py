@@ -36,11 +36,11 @@ _FRONTIER = 1 << 20
 # ---- fingerprints
 
 
-def fingerprint(text: str | None, width: int = 4) -> int:
-    """The SimHash of ``text`` as a signed 64-bit number; 0 where there is no word."""
+def shingle_hashes(text: str | None, width: int = 4) -> np.ndarray:
+    """A hash for each run of ``width`` words of ``text`` in lower case; one of all words if there are fewer."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -48,7 +48,12 @@ def fingerprint(text: str | None, width: int = 4) -> int:
     last = ends[width - 1:] if len(words) >= width else ends[-1:]
     digest = xxhash.xxh64_intdigest
     cuts = zip(starts[:count].tolist(), last.tolist())
-    hashes = np.fromiter((digest(line[a:b], SEED) for a, b in cuts), np.uint64, count)
+    return np.fromiter((digest(line[a:b], SEED) for a, b in cuts), np.uint64, count)
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """The SimHash of ``hashes`` as a signed 64-bit number; 0 where there are none."""
+    count = len(hashes)
     ones = np.zeros(BITS, np.int64)
     for at in range(0, count, 1 << 16):
         octets = hashes[at:at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -57,6 +62,11 @@ def fingerprint(text: str | None, width: int = 4) -> int:
     return int(packed.view("<i8")[0])
 
 
+def fingerprint(text: str | None, width: int = 4) -> int:
+    """The SimHash of ``text`` as a signed 64-bit number; 0 where there is no word."""
+    return majority_bits(shingle_hashes(text, width))
+
+
 def fingerprints(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 4) -> DataFrame:
     """``id, fp`` for every row. NULL text has no words and gets 0; other columns are ignored."""
     kind = df.schema[id_column].dataType.simpleString()
@@ -195,7 +205,15 @@ def links(distinct: DataFrame, radius: int = 4, shard: int = SHARD) -> DataFrame
 
     ``distinct`` has one column ``fp`` without repeats, and should be a written table.
     """
-    keyed = distinct.select("fp", F.explode(_shard_keys(F.col("fp"), distinct.count(), radius)).alias("shard"))
+    keys = _shard_keys(F.col("fp"), distinct.count(), radius)
+    return shard_links(distinct.select("fp", F.explode(keys).alias("shard")), radius, shard)
+
+
+def shard_links(keyed: DataFrame, radius: int, shard: int = SHARD) -> DataFrame:
+    """``a, b`` as ``links`` gives them, for the links inside the shards of ``keyed``.
+
+    ``keyed`` has the columns ``fp, shard``, without repeats.
+    """
     sizes = keyed.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1")
     dealt = keyed.join(sizes, "shard").withColumn("blocks", F.ceil(F.col("n") / shard).cast("int"))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
