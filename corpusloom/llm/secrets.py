@@ -32,8 +32,9 @@ DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 NUMBER = re.compile(r"[0-9+/_=-]+")
-WORD = r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4})"
-IDENTIFIER = re.compile(rf"{WORD}+(?:[+/_=-]+{WORD}+)*[+/_=-]*")
+# Each word is a whole run of its class and is never given back, so that a misfit is found in linear time.
+WORD = r"(?:[A-Z]*+[a-z]{2,}+|[A-Z]{2,}+(?![a-z])|[0-9]++)"
+IDENTIFIER = re.compile(rf"{WORD}++(?:[+/_=-]++{WORD}++)*+[+/_=-]*+")
 LETTERS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import public_tokenizers
 from samples import ROWS, no_documents, odd_documents
@@ -49,6 +50,14 @@ def test_random_strings_are_told_from_known_forms():
         assert not random(run)
 
 
+def test_long_runs_with_a_misfit_take_no_time():
+    encoding = secrets.vocabulary_at(public_tokenizers.path(secrets.DEFAULT_VOCABULARY))
+    start = time.perf_counter()
+    for run in ["1" * 5000 + "a", "a" * 5000 + "B", "A" * 5000 + "g==", "ab1" * 2000 + "c", "Ab_" * 2000 + "Q", "ab/" * 2000 + "c"]:
+        secrets.find_spans(f"see {run} there", encoding)
+    assert time.perf_counter() - start < 5
+
+
 def test_odd_rows(spark):
     rows = secrets.report(secrets.scan(odd_documents(spark))).collect()
     assert len(rows) == len(ROWS)
