@@ -32,10 +32,10 @@ DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 NUMBER = re.compile(r"[0-9+/_=-]+")
-# Each word is a whole run of its class and is never given back, so that a misfit is found in linear time.
-WORD = r"(?:[A-Z]*+[a-z]{2,}+|[A-Z]{2,}+(?![a-z])|[0-9]++)"
-IDENTIFIER = re.compile(rf"{WORD}++(?:[+/_=-]++{WORD}++)*+[+/_=-]*+")
-LETTERS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
+# Words of camel case; figures only stand before or after the letters of a part.
+PART = re.compile(r"[0-9]*+([A-Za-z]*+)[0-9]*+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+JOINTS = re.compile(r"[+/_=-]+")
 
 
 @lru_cache(maxsize=4)
@@ -48,11 +48,33 @@ def vocabulary_at(path: str):
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def known_form(run: str) -> bool:
-    """Whether ``run`` is a digest, an identifier, a number or a word by its form."""
+def joined_words(run: str, encoding, most: float = MAX_CHARS_PER_TOKEN) -> bool:
+    """Whether ``run`` is words joined by separators or camel case, each of them token-efficient by itself.
+
+    Words of one or two letters say nothing: they pass alone between separators, if others make up
+    more than half of the letters.
+    """
+    long = short = 0
+    for part in JOINTS.split(run):
+        form = PART.fullmatch(part)
+        if not form:
+            return False
+        letters = form.group(1)
+        if len(letters) <= 2:
+            short += len(letters)
+            continue
+        for word in WORD.findall(letters):
+            if len(word) <= most * len(encoding.encode_ordinary(word)):
+                return False
+        long += len(letters)
+    return long > short
+
+
+def known_form(run: str, encoding, most: float = MAX_CHARS_PER_TOKEN) -> bool:
+    """Whether ``run`` is a digest, an identifier or a number by its form."""
     if DIGEST.fullmatch(run) and len(run) in DIGEST_LENGTHS:
         return True
-    return bool(UUID.fullmatch(run) or NUMBER.fullmatch(run) or LETTERS.fullmatch(run) or IDENTIFIER.fullmatch(run))
+    return bool(UUID.fullmatch(run) or NUMBER.fullmatch(run)) or joined_words(run, encoding, most)
 
 
 def find_spans(text: str, encoding, most: float = MAX_CHARS_PER_TOKEN) -> list[tuple[str, int, int]]:
@@ -68,9 +90,9 @@ def find_spans(text: str, encoding, most: float = MAX_CHARS_PER_TOKEN) -> list[t
     for m in RUN.finditer(text):
         start, end = m.span()
         run = m.group()
-        if known_form(run) or any(a <= start and end <= b for _, a, b in base):
+        if len(run) > most * len(encoding.encode_ordinary(run)) or known_form(run, encoding, most):
             continue
-        if len(run) <= most * len(encoding.encode_ordinary(run)):
+        if not any(a <= start and end <= b for _, a, b in base):
             found.append(("random", start, end))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 

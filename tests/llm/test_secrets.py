@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import time
 
@@ -50,6 +51,25 @@ def test_random_strings_are_told_from_known_forms():
         assert not random(run)
 
 
+def test_random_keys_of_any_alphabet_are_found():
+    encoding = secrets.vocabulary_at(public_tokenizers.path(secrets.DEFAULT_VOCABULARY))
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    rng = random.Random(7)
+    for letters in (lower + digits, upper + digits, upper + "234567", lower, upper, lower + upper, lower + upper + digits + "+/"):
+        for size in (20, 24, 32, 40):
+            keys = ["".join(rng.choices(letters, k=size)) for _ in range(200)]
+            missed = [k for k in keys if not any(s[1] <= 4 < s[2] for s in secrets.find_spans(f"see {k} there", encoding))]
+            assert len(missed) <= 10 and (size < 24 or len(missed) <= 2 + (size in secrets.DIGEST_LENGTHS)), (letters, size)
+
+
+def test_joined_words_are_identifiers():
+    encoding = secrets.vocabulary_at(public_tokenizers.path(secrets.DEFAULT_VOCABULARY))
+    for run in ["src/x/y/z/01/02/index-3", "HTMLParserError_2024-01-02_03", "page-1-of-2-in-a-list", "MAX_VALUE_1_2_3_4_5_6"]:
+        assert secrets.joined_words(run, encoding), run
+    for run in ["qxzvk-wpjtq-zzkvx-qpwjd", "a1b2c3d4e5f6g7h8i9j0", "x-y-z-a-b-c-d-e-f-g-h", "k3jq9xword8mwordz2kq"]:
+        assert not secrets.joined_words(run, encoding), run
+
+
 def test_long_runs_with_a_misfit_take_no_time():
     encoding = secrets.vocabulary_at(public_tokenizers.path(secrets.DEFAULT_VOCABULARY))
     start = time.perf_counter()
