@@ -7,10 +7,10 @@ touched:
 
 * e-mail addresses: letters and digits of the local part stay letters and digits; the domain stays;
 * payment cards (13 to 19 digits, Luhn's check): the first digit stays, the check digit is made anew;
-* telephone numbers with an area code or a country code: the last ten digits;
+* telephone numbers with an area code, or with a plus sign and 7 to 15 digits: the last ten digits;
 * IPv4 addresses: the 32 bits;
 * social security numbers in three groups: the nine digits;
-* dates from 1601 to 2400 as Y-M-D, D.M.Y, M/D/Y or D/M/Y: the day within its cycle of 400 years.
+* dates from 1601 to 2400 as Y-M-D, Y/M/D, D.M.Y, M/D/Y or D/M/Y: the day within its cycle of 400 years.
 """
 
 from __future__ import annotations
@@ -24,16 +24,21 @@ from corpusloom.functions.arrays import let
 
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 EMAIL = r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
-PHONE = (
-    r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-    r"|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])"
-)
 IPV4 = rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])"
-CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9A-Za-z])"
+CARD = (
+    r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9A-Za-z])"
+)
 SOCIAL = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 DATE = (
     r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
-    r"|(?<![0-9./])[0-9]{2}([./])[0-9]{2}\1[0-9]{4}(?![0-9]|[./][0-9])"
+    r"|(?<![0-9./])(?:[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2})"
+    r"(?![0-9]|[./][0-9])"
+)
+# After a plus sign: ten digits and more in one run, or 7 to 15 with separators, up to where another value starts.
+PHONE = (
+    r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+    r"|(?<![0-9A-Za-z])\+(?:[0-9]{10,15}(?![0-9])"
+    rf"|[0-9](?:(?:[ .()/-]{{1,2}}(?!{IPV4}|{SOCIAL}|{DATE}))?[0-9]){{6,14}}(?![0-9]))"
 )
 PATTERN = "|".join([EMAIL, IPV4, CARD, SOCIAL, PHONE, DATE])
 ROUNDS = 6
@@ -125,7 +130,7 @@ def _kind(value: Column, digits: Column) -> Column:
     return (
         F.when(F.contains(value, F.lit("@")), "email").when(whole(IPV4), "ipv4")
         .when(whole(CARD), F.when(luhn_sum(digits) % 10 == 0, "card"))
-        .when(whole(SOCIAL), "social").when(whole(PHONE), "phone").otherwise("date")
+        .when(whole(SOCIAL), "social").when(F.startswith(value, F.lit("+")) | whole(PHONE), "phone").otherwise("date")
     )
 
 
@@ -168,37 +173,47 @@ def _ipv4(value: Column, key: str) -> Column:
 
 
 def _date(value: Column, key: str) -> Column:
-    def number(start: int, length: int) -> Column:
-        return F.substring(value, start, length).cast("int")
-
     def valid(y: Column, m: Column, d: Column) -> Column:
         last = F.dayofmonth(F.last_day(F.make_date(y, F.greatest(F.lit(1), F.least(F.lit(12), m)), F.lit(1))))
         return y.between(1601, 2400) & m.between(1, 12) & (d >= 1) & (d <= last)
 
-    def changed(y: Column, m: Column, d: Column, form: str) -> Column:
+    def by_parts(parts: Column) -> Column:
+        written = [F.get(parts, F.lit(i)) for i in range(3)]
+        a, b, c = (w.cast("int") for w in written)
+        mark = F.substr(value, F.length(written[0]) + 1, F.lit(1))
+        order = (
+            F.when(F.length(written[0]) == 4, F.when(valid(a, b, c), "ymd"))
+            .when((mark == "/") & valid(c, a, b), "mdy").when(valid(c, b, a), "dmy")
+        )
+        return let(order, lambda o: F.when(o.isNull(), value).otherwise(changed(o, mark, written, a, b, c)))
+
+    def changed(order: Column, mark: Column, written: list[Column], a: Column, b: Column, c: Column) -> Column:
+        y = F.when(order == "ymd", a).otherwise(c)
+        m = F.when(order == "mdy", a).otherwise(b)
+        d = F.when(order == "ymd", c).when(order == "mdy", b).otherwise(a)
         start = F.make_date(F.floor((y - 1) / 400).cast("int") * 400 + 1, F.lit(1), F.lit(1))
 
-        def placed(day: Column) -> Column:
-            def written(high: Column, low: Column) -> Column:
-                return F.date_format(F.date_add(start, (high * CYCLE_LOW + low).cast("int")), form)
+        def like(part: Column, number: Column) -> Column:
+            """``number`` with a leading zero, unless ``part`` was written in one digit."""
+            digits = number.cast("string")
+            return F.when(F.length(part) == 1, digits).otherwise(F.lpad(digits, 2, "0"))
+
+        def formed(day: Column) -> Column:
+            year, month, number = F.year(day).cast("string"), F.month(day), F.dayofmonth(day)
+            return (
+                F.when(order == "ymd", F.concat(year, mark, like(written[1], month), mark, like(written[2], number)))
+                .when(order == "mdy", F.concat(like(written[0], month), mark, like(written[1], number), mark, year))
+                .otherwise(F.concat(like(written[0], number), mark, like(written[1], month), mark, year))
+            )
 
+        def placed(day: Column) -> Column:
             sizes = (CYCLE_DAYS // CYCLE_LOW, CYCLE_LOW)
-            return _permuted_numbers(F.floor(day / CYCLE_LOW), day % CYCLE_LOW, sizes, key, F.lit("date"), written)
+            fresh = lambda high, low: let(F.date_add(start, (high * CYCLE_LOW + low).cast("int")), formed)
+            return _permuted_numbers(F.floor(day / CYCLE_LOW), day % CYCLE_LOW, sizes, key, F.lit("date"), fresh)
 
         return let(F.datediff(F.make_date(y, m, d), start), placed)
 
-    mark = F.substring(value, 3, 1)
-    iso = (number(1, 4), number(6, 2), number(9, 2))
-    first, second, year = number(1, 2), number(4, 2), number(7, 4)
-    return (
-        F.when(
-            F.substring(value, 5, 1) == "-", F.when(valid(*iso), changed(*iso, "yyyy-MM-dd")).otherwise(value)
-        )
-        .when((mark == ".") & valid(year, second, first), changed(year, second, first, "dd.MM.yyyy"))
-        .when((mark == "/") & valid(year, first, second), changed(year, first, second, "MM/dd/yyyy"))
-        .when((mark == "/") & valid(year, second, first), changed(year, second, first, "dd/MM/yyyy"))
-        .otherwise(value)
-    )
+    return let(F.split(value, "[-./]"), by_parts)
 
 
 def pseudonym(value: Column, key: str) -> Column:

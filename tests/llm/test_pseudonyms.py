@@ -60,6 +60,33 @@ def test_country_codes(spark):
     assert re.fullmatch(r"\+1 \d{3}\.\d{3}\.\d{4}", got[2]) and got[3] == texts[3]
 
 
+def test_other_forms_of_numbers_and_dates(spark):
+    forms = {
+        "+15551234567": r"\+1\d{10}", "+44 7911 123456": r"\+44 \d{4} \d{6}", "+49 151 12345678": r"\+49\d? \d{3} \d{8}",
+        "+49 (0)30/1234567": r"\+\d\d \(\d\)\d\d/\d{7}", "+33 1.23.45.67.89": r"\+3\d \d\.\d\d\.\d\d\.\d\d\.\d\d",
+        "+1234567": r"\+\d{7}", "3782 822463 10005": r"3\d{3} \d{6} \d{5}", "3782-822463-10005": r"3\d{3}-\d{6}-\d{5}",
+        "3/7/2021": r"\d\d?/\d\d?/\d{4}", "2021/03/07": r"\d{4}/\d\d/\d\d", "2021/3/7": r"\d{4}/\d\d?/\d\d?",
+        "3.7.2021": r"\d\d?\.\d\d?\.\d{4}", "25/7/2021": r"\d\d?/\d\d?/\d{4}",
+    }
+    got = renamed(spark, [f"on {v}, then" for v in forms])
+    for (value, form), (text, count) in zip(forms.items(), got):
+        assert count == 1 and value not in text and re.fullmatch(f"on {form}, then", text), (value, text)
+    assert all(luhn(re.sub(r"\D", "", got[i][0])) for i in (6, 7))
+    spelt = [t for t, _ in renamed(spark, ["3/7/2021", "03/07/2021", "2021/03/07", "2021-03-07", "7.3.2021", "+15551234567", "555-123-4567"])]
+    days = {tuple(int(spelt[0].split("/")[i]) for i in (2, 0, 1))}
+    days |= {tuple(map(int, spelt[i].replace("-", "/").split("/"))) for i in (2, 3)}
+    days |= {tuple(int(spelt[1].split("/")[i]) for i in (2, 0, 1)), tuple(int(x) for x in reversed(spelt[4].split(".")))}
+    assert len(days) == 1
+    assert spelt[5][2:] == spelt[6].replace("-", "")
+
+
+def test_a_number_ends_where_another_value_starts(spark):
+    texts = ["+49 30 1234567 2021-03-07", "+15551234567 2021 +5 - 10 - 20 - 300 3782 822463 10006", "/2021/03/07/ 13/32/2021 2021/13/01"]
+    got = [t for t, _ in renamed(spark, texts)]
+    assert re.fullmatch(r"\+4\d \d\d \d{7} \d{4}-\d\d-\d\d", got[0]) and renamed(spark, texts)[0][1] == 2
+    assert re.fullmatch(r"\+1\d{10} 2021 \+5 - 10 - 20 - 300 3782 822463 10006", got[1]) and got[2] == texts[2]
+
+
 def test_what_fails_its_check_stays(spark):
     texts = [
         "4465758382889438", "256.1.1.1 and 1.2.3", "2023-02-30 13/13/2020 00.01.2020", "000-12-3456", "v1.2.3.4.5", "9999999999",
