@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.catalog.base import Catalog, documents, spread, table
-from corpusloom.llm import bpe, languages, mixing, neighbours, pages, pseudonyms, quality, secrets, simhash, warc
+from corpusloom.llm import (
+    bpe, languages, mixing, neighbours, pages, pseudonyms, quality, runs, secrets, simhash, warc,
+)
 
 catalog = Catalog()
 add = catalog.add
@@ -179,6 +181,23 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(bpe.encode_and_decode(documents(spark, sf).select("doc_id", "text")))
 
 
+def tailed_words(docs: DataFrame) -> DataFrame:
+    """``doc_id, words``; in one document of ten, by the CRC of its id, a tail of the words is made periodic."""
+    crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    marked = docs.select("doc_id", runs.words(F.col("text")).alias("w"), crc.alias("h")).withColumn("g", F.expr("h div 10"))
+    begin = F.expr("CAST(g % size(w) AS INT)")
+    placed = marked.withColumn("a", F.when((F.col("h") % 10 == 0) & (F.size("w") > 0), begin))
+    period = F.expr("CAST(1 + (size(w) - a) div (3 + g % 8) AS INT)")
+    placed = placed.withColumn("p", period)
+    repeated = F.expr("transform(w, (x, i) -> if(i < a, x, w[a + (i - a) % p]))")
+    return placed.select("doc_id", F.when(F.col("a").isNull(), F.col("w")).otherwise(repeated).alias("words"))
+
+
+@add()
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return runs.report(runs.find_runs(tailed_words(documents(spark, sf))))
+
+
 def all_queries():
     return dict(catalog.queries)
 
