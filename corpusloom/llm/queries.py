@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog.base import Catalog, documents, spread, table
 from corpusloom.llm import (
-    bpe, languages, mixing, neighbours, pages, pseudonyms, quality, runs, secrets, simhash, warc,
+    bpe, languages, mixing, neighbours, pages, pseudonyms, quality, resample, runs, secrets, simhash, warc,
 )
 
 catalog = Catalog()
@@ -198,6 +198,53 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     return runs.report(runs.find_runs(tailed_words(documents(spark, sf))))
 
 
+# The CRC-32 of each distinct word goes byte by byte through a table of 256 values, made by eight shifts each.
+SQL_RESAMPLE = r"""
+WITH crc_table AS (
+  SELECT list(v ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) AS v
+    FROM range(256) t(i))),
+texts AS (
+  SELECT 'd' AS side, row_number() OVER () AS row_no, doc_id, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark),
+listed AS (
+  SELECT side, row_no, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts),
+tokens AS (SELECT side, row_no, unnest(words) AS word FROM listed),
+spelled AS (
+  SELECT word, list_transform(range(0, len(h) // 2), lambda k: ('0x' || substr(h, 2 * k + 1, 2))::BIGINT) AS bytes
+  FROM (SELECT DISTINCT word, hex(encode(word)) AS h FROM tokens)),
+hashed AS (
+  SELECT word, xor(list_reduce(bytes, lambda c, b: xor(c // 256, tab[(xor(c, b) % 256) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM spelled, crc_table),
+placed AS (SELECT side, row_no, bucket FROM tokens JOIN hashed USING (word)),
+per_bucket AS (
+  SELECT id AS bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t
+  FROM range(10000) r(id) LEFT JOIN placed ON bucket = id GROUP BY id),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t::DOUBLE + 1) * (sum(s) OVER () + 10000)::DOUBLE
+                                 / ((s::DOUBLE + 1) * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM per_bucket),
+weighed AS (
+  SELECT row_no, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row_no),
+scored AS (
+  SELECT doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                    / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM listed LEFT JOIN weighed USING (row_no) WHERE side = 'd'),
+placings AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place,
+         count(*) FILTER (n_features >= 20) OVER () AS n
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM placings
+"""
+
+
+@add(SQL_RESAMPLE)
+def op12_target_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    return resample.resample(documents(spark, sf).select("doc_id", "text"), table(spark, sf, "benchmark"))
+
+
 def all_queries():
     return dict(catalog.queries)
 
