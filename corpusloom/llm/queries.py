@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog.base import Catalog, documents, spread, table
 from corpusloom.llm import (
-    bpe, languages, mixing, neighbours, pages, pseudonyms, quality, resample, runs, secrets, simhash, warc,
+    bpe, languages, mixing, neighbours, packing, pages, pseudonyms, quality, resample, runs, secrets, simhash, warc,
 )
 
 catalog = Catalog()
@@ -245,6 +245,12 @@ def op12_target_resampling(spark: SparkSession, sf: str) -> DataFrame:
     return resample.resample(documents(spark, sf).select("doc_id", "text"), table(spark, sf, "benchmark"))
 
 
+@add()
+def op13_slack_packing(spark: SparkSession, sf: str) -> DataFrame:
+    packed = packing.pack_documents(documents(spark, sf).select("doc_id", "text"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def all_queries():
     return dict(catalog.queries)
 
