@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import let
 
+# A repeated group needs a bound: Java's matcher descends once per repetition.
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-EMAIL = r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+EMAIL = r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}"
 IPV4 = rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])"
 CARD = (
     r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9A-Za-z])"

@@ -109,6 +109,14 @@ def test_long_runs(spark):
     assert [len(t) for t, _ in renamed(spark, texts)] == [len(t) for t in texts]
 
 
+def test_domains_of_many_labels(spark):
+    longest = "x@" + "a." * 126 + "com"
+    texts = ["x@" + "a." * 100_000 + "com", "x@" + "a." * 100_000 + "1", "x@" + "abc." * 100_000, "x@" + "a" * 100_000, longest]
+    got = renamed(spark, texts)
+    assert [len(t) for t, _ in got] == [len(t) for t in texts] and got[4][1] == 1 and got[4][0][1:] == longest[1:]
+    assert [n for _, n in got[:2]] == [0, 0] and got[3] == (texts[3], 0)
+
+
 def test_query_leaves_no_planted_value(spark, sf):
     from corpusloom.llm.queries import all_queries
 
