@@ -38,9 +38,10 @@ BLOCKS = frozenset(
     "table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script style noscript template iframe object svg math textarea title canvas noembed noframes xmp"
+RAW = "script style noscript template iframe object textarea title canvas noembed noframes xmp foreignobject"
 DROPPED = frozenset("nav header footer aside form button select dialog menu option label fieldset head search".split())
 CLOSED_BY_BLOCK = frozenset(["p"])
+FOREIGN = frozenset(["svg", "math"])  # may close themselves and nest; a block in them ends them
 MARKED = frozenset(["article", "main"])
 # ---- words in class, id and role that name what a block is
 NAMES = frozenset(
@@ -139,15 +140,17 @@ def block_lines(page: str | None) -> list[tuple[str, bool, bool]]:
         if name in VOID or attributes.endswith("/"):
             continue
         if block:
-            # A block ends an open paragraph and the inline elements left open in it.
+            # A block ends drawings and formulas, an open paragraph, and the inline elements left open in it.
             for at in range(len(stack) - 1, -1, -1):
-                if stack[at][0] in CLOSED_BY_BLOCK:
+                if stack[at][0] in FOREIGN:
+                    leave(at)
+                elif stack[at][0] in CLOSED_BY_BLOCK:
                     leave(at)
                     break
-                if stack[at][0] in BLOCKS:
+                elif stack[at][0] in BLOCKS:
                     break
         named, comments = _named(attributes)
-        if not block and name not in DROPPED and not named and not comments:
+        if not block and name not in DROPPED and name not in FOREIGN and not named and not comments:
             continue
         if stack and stack[-1][0] == name and name in ("li", "option", "tr", "td", "th", "dt", "dd"):
             leave(len(stack) - 1)

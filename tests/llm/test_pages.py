@@ -38,6 +38,18 @@ def test_places_and_references():
     assert pages.main_text("<p>" * 50_000 + "x" * 100_000, []) == "x" * 100_000
 
 
+def test_drawings_close_themselves_and_nest():
+    def text(body):
+        return pages.main_text(f"<article><p>a</p>{body}<p>b</p></article>", [])
+
+    for drawing in (
+        '<svg viewBox="0 0 1 1"/>', "<math/>", "<svg><path d='M0 0'/><text>x</text></svg>", "<svg><svg>x</svg>y</svg>", "<math><mi>x</mi></math>",
+        "<svg><title>t</title><style>p > a</style><foreignObject><div>x</div></foreignObject></svg>", "<svg><g>never closed",
+    ):
+        assert text(drawing) == "a\n\nb", drawing
+    assert text("<p>c <svg/>d <svg>x</svg>e</p>") == "a\n\nc d e\n\nb"
+
+
 def test_names_are_read_word_by_word():
     def text(body):
         return pages.main_text(f"<body class='has-sidebar'>{body}</body>", [])
