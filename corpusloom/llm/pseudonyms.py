@@ -136,8 +136,8 @@ def _kind(value: Column, digits: Column) -> Column:
 
 
 def _text_kinds(value: Column, digits: Column, kind: Column, key: str) -> Column:
-    """E-mail addresses, cards, telephone and social security numbers: one permutation of the part that
-    changes, put back into the form."""
+    """E-mail addresses, cards and telephone numbers: one permutation of the part that changes, put back into
+    the form."""
     size = F.length(digits)
     inner = (
         F.when(kind == "email", F.substring_index(value, "@", 1)).when(kind == "card", F.substr(digits, F.lit(2), size - 2))
@@ -173,6 +173,22 @@ def _ipv4(value: Column, key: str) -> Column:
     return let(F.split(value, r"\."), changed)
 
 
+def _social(value: Column, key: str) -> Column:
+    """Areas 001 to 899 without 666, groups from 01 and serials from 0001 keep to that."""
+    def changed(parts: Column) -> Column:
+        area, group, serial = (F.get(parts, F.lit(i)).cast("bigint") for i in range(3))
+
+        def written(high: Column, low: Column) -> Column:
+            place = F.floor(high / 99) + 1
+            numbers = [(place + F.when(place > 665, 1).otherwise(0), 3), (high % 99 + 1, 2), (low + 1, 4)]
+            return F.concat_ws("-", *[F.lpad(n.cast("string"), size, "0") for n, size in numbers])
+
+        place = area - 1 - F.when(area > 666, 1).otherwise(0)
+        return _permuted_numbers(place * 99 + group - 1, serial - 1, (898 * 99, 9999), key, F.lit("social"), written)
+
+    return let(F.split(value, "-"), changed)
+
+
 def _date(value: Column, key: str) -> Column:
     def valid(y: Column, m: Column, d: Column) -> Column:
         last = F.dayofmonth(F.last_day(F.make_date(y, F.greatest(F.lit(1), F.least(F.lit(12), m)), F.lit(1))))
@@ -223,6 +239,7 @@ def pseudonym(value: Column, key: str) -> Column:
         return let(
             _kind(value, digits),
             lambda kind: F.when(kind == "ipv4", _ipv4(value, key)).when(kind == "date", _date(value, key))
+            .when(kind == "social", _social(value, key))
             .when(kind.isNotNull(), _text_kinds(value, digits, kind, key)).otherwise(value),
         )
 

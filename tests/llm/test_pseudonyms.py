@@ -109,6 +109,14 @@ def test_long_runs(spark):
     assert [len(t) for t, _ in renamed(spark, texts)] == [len(t) for t in texts]
 
 
+def test_social_security_numbers_stay_valid(spark):
+    areas = [1, 2, 665, 667, 899, *range(3, 660, 7), *range(668, 899, 5)]
+    texts = [f"{a:03d}-{1 + a % 99:02d}-{1 + a * 37 % 9999:04d}" for a in areas] + ["001-01-0001", "899-99-9999"]
+    got = [t for t, _ in renamed(spark, texts)]
+    assert all(re.fullmatch(r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}", t) for t in got) and len(set(got)) == len(set(texts))
+    assert sum(a != b for a, b in zip(texts, got)) > 0.98 * len(texts)
+
+
 def test_domains_of_many_labels(spark):
     longest = "x@" + "a." * 126 + "com"
     texts = ["x@" + "a." * 100_000 + "com", "x@" + "a." * 100_000 + "1", "x@" + "abc." * 100_000, "x@" + "a" * 100_000, longest]
