@@ -10,6 +10,7 @@ from corpusloom.catalog.base import (
 )
 from corpusloom.catalog.texts import CASED, words_sql
 from corpusloom.operators import corpus, tokenize, vocabulary
+from corpusloom.operators.pieces import learn_bpe
 from corpusloom.plans.ranking import top_ranked
 from corpusloom.sources import writers
 
@@ -294,7 +295,12 @@ def merge_pair_counts(spark, sf):
 
 @catalog.add(None)
 def learn_merges(spark, sf):
-    return tokenize.learn_bpe(counts(spark, sf), merges=30, coverage=0.9995)
+    return learn_bpe(stored_counts(spark, sf))
+
+
+@catalog.add(None)
+def trained_wordpiece(spark, sf):
+    return tokenize.pieces_to_wordpiece(learn_bpe(stored_counts(spark, sf)))
 
 
 @catalog.add(

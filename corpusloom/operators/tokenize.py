@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,32 +133,13 @@ def full_tokenize(
 # ---------------------------------------------------------------- learned merges
 
 
-def symbol_words(word_counts: DataFrame, coverage: float = 1.0) -> DataFrame:
-    """``symbols, freq`` per word: its characters between spaces, led by the space mark.
-
-    With ``coverage`` below one, the rarest characters that together make up less than the
-    uncovered share of all characters are taken out of the words.
-    """
-    token = F.col("token")
-    if coverage < 1.0:
-        rare = rare_characters(word_counts, coverage)
-        token = F.translate(token, "".join(rare), "") if rare else token
-    chars = F.split(F.concat(F.lit(SPACE_MARK), token), "")
+def symbol_words(word_counts: DataFrame) -> DataFrame:
+    """``symbols, freq`` per word: its characters between spaces, led by the space mark."""
+    chars = F.split(F.concat(F.lit(SPACE_MARK), "token"), "")
     joined = F.concat(F.lit(" "), F.array_join(chars, " "), F.lit(" "))
     return word_counts.select(joined.alias("symbols"), "freq")
 
 
-def rare_characters(word_counts: DataFrame, coverage: float) -> list[str]:
-    """The rarest characters outside the covered share; at most one row per Unicode character."""
-    uses = word_counts.select(F.explode(F.split("token", "")).alias("char"), "freq")
-    uses = uses.groupBy("char").agg(F.sum("freq").alias("n"))
-    total = uses.agg(F.sum("n")).scalar()
-    before = Window.orderBy(F.col("n").desc(), "char").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = uses.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    rare = ranked.filter(F.col("_before") >= F.lit(coverage) * total)
-    return [row["char"] for row in rare.select("char").collect()]
-
-
 def pair_counts(words: DataFrame) -> DataFrame:
     """``left, right, n``: how often two symbols stand side by side, weighted by word count."""
     symbols = F.split(F.trim(F.col("symbols")), " ")
@@ -173,82 +153,6 @@ def pair_counts(words: DataFrame) -> DataFrame:
     )
 
 
-def independent_merges(
-    ranked: list[tuple[str, str, int]], complete: bool, known: set[str]
-) -> list[tuple[str, str, int]]:
-    """The leading merges that give the same result together as one after the other.
-
-    ``ranked`` holds the commonest pairs in order and is ``complete`` if there are no more. A
-    merge changes only counts of pairs that share a symbol with it, and a pair it creates is at
-    most as frequent as one of those. So the run of pairs without a common symbol is safe where
-    its counts are above that of the first pair left out. A merge that spells a piece in
-    ``known`` adds to existing counts, and so ends the run.
-    """
-    used: set[str] = set()
-    made = set(known)
-    run: list[tuple[str, str, int]] = []
-    bound = 0 if complete else ranked[-1][2]
-    for left, right, n in ranked:
-        if used & {left, right}:
-            bound = n
-            break
-        run.append((left, right, n))
-        if left + right in made:
-            bound = n - 1
-            break
-        used |= {left, right}
-        made.add(left + right)
-    return run[:1] + [merge for merge in run[1:] if merge[2] > bound]
-
-
-def merge_symbols(symbols: Column, pairs: list[tuple[str, str]]) -> Column:
-    """Join the given neighbours, which share no symbol, from left to right."""
-    gaps = []
-    for left, right in pairs:
-        a, b = re.escape(left), re.escape(right)
-        if left == right:
-            # A run of one symbol is paired off from its start.
-            doubled = (left * 2).replace("\\", r"\\").replace("$", r"\$")
-            symbols = F.regexp_replace(symbols, f"(?<= ){a} {b}(?= )", doubled)
-        else:
-            gaps.append(f"(?<= {a}) (?={b} )")
-    return F.regexp_replace(symbols, "|".join(gaps), "") if gaps else symbols
-
-
-def learn_bpe(
-    word_counts: DataFrame, merges: int, coverage: float = 1.0, rewrite_every: int = 8, look_ahead: int = 64
-) -> DataFrame:
-    """``piece, rank``: the pieces made by merging the commonest neighbours ``merges`` times.
-
-    Works on the distinct words. Each round counts pairs on the cluster and brings the top few
-    to the driver; merges that cannot influence each other are taken in one round. The words
-    are written out every few rounds to keep the plan short.
-    """
-    words = materialize(symbol_words(word_counts, coverage), "bpe")
-    spark = word_counts.sparkSession
-    pieces: list[tuple[str, int]] = []
-    rounds = 0
-    while len(pieces) < merges:
-        top = (
-            pair_counts(words)
-            .orderBy(F.col("n").desc(), "left", "right")
-            .limit(look_ahead)
-            .collect()
-        )
-        if not top:
-            break
-        known = {piece for piece, _ in pieces}
-        run = independent_merges([tuple(r) for r in top], len(top) < look_ahead, known)
-        run = run[: merges - len(pieces)]
-        symbols = merge_symbols(F.col("symbols"), [(left, right) for left, right, _ in run])
-        pieces += [(left + right, len(pieces) + i) for i, (left, right, _) in enumerate(run)]
-        words = words.select(symbols.alias("symbols"), "freq")
-        rounds += 1
-        if rounds % rewrite_every == 0:
-            words = materialize(words, "bpe")
-    return spark.createDataFrame(pieces, "piece string, rank bigint")
-
-
 def pieces_to_wordpiece(pieces: DataFrame, piece: str = "piece", rank: str = "rank") -> DataFrame:
     """``token, id``: five specials, then trained pieces in continuation notation.
 

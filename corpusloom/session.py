@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +50,9 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[app_id]
 
 
+_STORED: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
@@ -59,4 +63,16 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(scratch_dir(spark), f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _STORED[stored] = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete the table behind a result of ``materialize`` that no plan reads any more."""
+    path = _STORED.pop(stored, None)
+    if path is None:
+        return
+    spark = stored.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

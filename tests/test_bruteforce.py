@@ -111,39 +111,6 @@ def test_unknown_words_stay_in_the_sample(spark):
     assert vectors_module.word_similarity_corr(pairs, vectors).first()["n_unknown"] == 1
 
 
-def naive_merges(words, merges):
-    split = {w: ["▁", *w] for w in words}
-    made = []
-    for _ in range(merges):
-        pairs = Counter()
-        for w, n in words.items():
-            for a, b in zip(split[w], split[w][1:]):
-                pairs[a, b] += n
-        if not pairs:
-            break
-        (a, b), _ = min(pairs.items(), key=lambda p: (-p[1], p[0]))
-        made.append(a + b)
-        for w, s in split.items():
-            out, i = [], 0
-            while i < len(s):
-                if i + 1 < len(s) and (s[i], s[i + 1]) == (a, b):
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(s[i])
-                    i += 1
-            split[w] = out
-    return made
-
-
-def test_learned_merges(spark):
-    rnd = random.Random(4)
-    words = Counter("".join(rnd.choice("aabc$.") for _ in range(rnd.randint(1, 7))) for _ in range(400))
-    counts = spark.createDataFrame(list(words.items()), "token string, freq bigint")
-    got = [r["piece"] for r in tokenize.learn_bpe(counts, 25).orderBy("rank").collect()]
-    assert got == naive_merges(words, 25)
-
-
 def test_stream_windows(spark):
     rnd = random.Random(5)
     docs = []
