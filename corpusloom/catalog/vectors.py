@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.catalog.base import (
-    LINE_KEY, SQL_TOKENS, WORDS, Catalog, counts, documents, table, token_docs,
+    LINE_KEY, SQL_TOKENS, WORDS, Catalog, common_words, counts, documents, table, token_docs,
     token_lines, with_,
 )
-from corpusloom.catalog.stats import WORD_VECTORS, cells_harmonic, word_vectors
+from corpusloom.catalog.stats import WORD_VECTORS, cells_harmonic, coded_lines, word_vectors
 from corpusloom.functions.arrays import softmax
 from corpusloom.functions.hashing import pick
 from corpusloom.functions.text import whitespace_tokens
-from corpusloom.operators import corpus, metrics, models, statistics, vocabulary
+from corpusloom.operators import corpus, metrics, models, pairs, statistics, vocabulary
 from corpusloom.operators import vectors as vs
 from corpusloom.plans.ranking import top_ranked
 from corpusloom.session import materialize
@@ -31,6 +31,10 @@ def embeddings(spark, sf):
     )
 
 
+def rounded(df, column="vec", digits=4):
+    return df.withColumn(column, F.transform(column, lambda x: F.round(x, digits)))
+
+
 def dims(df, *keep, column="vec", digits=6):
     """Long form of a vector column, rounded."""
     return df.select(*keep, F.posexplode(column).alias("d", "x")).select(
@@ -513,9 +517,7 @@ def weighted_layer_sum_normed(spark, sf):
 
 @catalog.add(None)
 def train_word2vec(spark, sf):
-    vocab = top_ranked(counts(spark, sf), 100_000, "freq", "token")
-    vectors = models.train_word2vec(token_docs(spark, sf), vocab, ["doc_id"])
-    return vectors.select("key", F.size("vec").alias("dim"), F.round(F.get("vec", F.lit(0)), 4).alias("x0"))
+    return rounded(models.train_word2vec(token_docs(spark, sf), common_words(spark, sf), ["doc_id"]))
 
 
 def lsa_words(spark, sf):
@@ -546,11 +548,22 @@ def doc_lsa(spark, sf):
     return dims(models.doc_lsa(statistics.tfidf(token_docs(spark, sf)), terms, terms.count()), "doc_id")
 
 
+def named_pairs(spark, sf, cells, objective):
+    """``side, token, vec`` of the common words from their co-occurrence."""
+    words = materialize(common_words(spark, sf), "words")
+    size = words.count()
+    found, _ = pairs.factorize_pairs(cells, size, size, objective=objective)
+    return rounded(found.join(words, "id").select("side", "token", "vec"))
+
+
 @catalog.add(None)
 def factorize_pairs(spark, sf):
-    rows, columns = models.factorize_pairs(statistics.pmi_targets(cells_harmonic(spark, sf)), 16, 5)
-    both = rows.withColumn("side", F.lit("row")).unionByName(columns.withColumn("side", F.lit("column")))
-    return both.select("side", "id", F.size("features").alias("dim"))
+    return named_pairs(spark, sf, cells_harmonic(spark, sf), pairs.Association())
+
+
+@catalog.add(None)
+def factorize_log_counts(spark, sf):
+    return named_pairs(spark, sf, statistics.cooccurrence_glove(coded_lines(spark, sf)), pairs.LogCount())
 
 
 def topics(spark, sf):

@@ -8,40 +8,45 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, Word2Vec
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.recommendation import ALS
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import let, scale
 from corpusloom.functions.text import char_ngrams
-from corpusloom.operators.statistics import distinct_bow, pmi
+from corpusloom.operators.pairs import BLOCK, SkipGram, factorize_pairs
+from corpusloom.operators.statistics import cooccurrence_linear, distinct_bow, pmi
 from corpusloom.operators.vectors import sum_word_vectors
-from corpusloom.plans.lookup import lookup_array
+from corpusloom.operators.vocabulary import in_vocab
 from corpusloom.plans.unnest import unnest
 from corpusloom.session import materialize
 
 
 def train_word2vec(
-    df: DataFrame, vocab: DataFrame, row_key: list[str], size: int = 100, window: int = 5,
-    min_count: int = 5, iterations: int = 1, seed: int = 1, column: str = "tokens", weight: str | None = None,
+    df: DataFrame, vocab: DataFrame, row_key: list[str], size: int = 100, window: int = 5, epochs: int = 5,
+    negative: float = 5.0, sample: float = 1e-3, seed: int = 1, column: str = "tokens", weight: str | None = None,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """``key, vec``: skip-gram word vectors (hierarchical softmax).
+    """``key, vec``: skip-gram word vectors against ``negative`` drawn words for every seen pair.
 
-    The solver keeps one vector per word on the driver, so the corpus is cut to ``vocab`` (a
-    bounded vocabulary with ``token``) first, and written, as every pass reads it.
+    ``vocab`` has ``id`` from 0, ``token`` and ``freq``; other words are left out before windows are taken. A window's
+    width is drawn evenly from one to ``window``, and a word of share f stays with probability sqrt(``sample`` / f):
+    both enter as expected weights of the pairs, which are added up over the corpus once and then factorized in
+    blocks. No vector comes to the driver.
     """
-    table = vocab.withColumn("_same", F.col("token"))
-    kept = lookup_array(df, column, "_kept", table, "token", "_same", row_key, None, weight)
-    kept = materialize(kept.select("_kept"), "words")
-    parts = max(1, min(kept.sparkSession.sparkContext.defaultParallelism, kept.rdd.getNumPartitions()))
-    model = Word2Vec(
-        vectorSize=size, windowSize=window, minCount=min_count, maxIter=iterations, seed=seed,
-        numPartitions=parts, inputCol="_kept", outputCol="_out",
-    ).fit(kept)
-    return model.getVectors().select(F.col("word").alias("key"), vector_to_array("vector").alias("vec"))
+    vocab = materialize(vocab.select("id", "token", "freq"), "vocab")
+    cells = cooccurrence_linear(in_vocab(df, vocab, row_key, column, "ids", weight).select("ids"), window)
+    facts = vocab.agg(F.count("*").alias("words"), F.sum("freq").alias("total")).first()
+    if sample:
+        stays = F.least(F.lit(1.0), F.sqrt(F.lit(sample * float(facts["total"] or 0)) / F.col("freq")))
+        rows = vocab.select(F.col("id").alias("row_id"), stays.alias("_r"))
+        columns = vocab.select(F.col("id").alias("col_id"), stays.alias("_c"))
+        weighed = F.col("value") * F.col("_r") * F.col("_c")
+        cells = cells.join(rows, "row_id").join(columns, "col_id").select("row_id", "col_id", weighed.alias("value"))
+    found, _ = factorize_pairs(cells, facts["words"], facts["words"], size, epochs, seed=seed, objective=SkipGram(negative), block=block)
+    return found.filter("side = 'row'").join(vocab, "id").select(F.col("token").alias("key"), "vec")
 
 
 SVD_ROUNDS, SVD_EXTRA, SVD_BLOCK = 7, 10, 1024
@@ -219,19 +224,6 @@ def tag_vectors(df: DataFrame, vectors: DataFrame, row_key: list[str], tag: str
     return sums.select("tag", scale(F.col("vec"), 1.0 / F.col("known")).alias("vec"))
 
 
-def factorize_pairs(targets: DataFrame, dim: int = 100, iterations: int = 10, seed: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Row and column vectors (``id, features``) whose products approach the pair targets."""
-    ratings = targets.select(
-        F.col("row_id").cast("int").alias("row_id"), F.col("col_id").cast("int").alias("col_id"),
-        F.col("target").cast("float").alias("target"),
-    )
-    model = ALS(
-        rank=dim, maxIter=iterations, seed=seed, userCol="row_id", itemCol="col_id", ratingCol="target",
-        intermediateStorageLevel="DISK_ONLY", finalStorageLevel="DISK_ONLY",
-    ).fit(ratings)
-    return model.userFactors, model.itemFactors
-
-
 def ngram_vectors(vectors: DataFrame, low: int = 3, high: int = 6) -> DataFrame:
     """``gram, vec``: the mean vector of the words that hold each character n-gram."""
     grams = F.array_distinct(char_ngrams(F.col("key"), low, high))

@@ -53,8 +53,8 @@ def scratch_dir(spark: SparkSession) -> str:
 _STORED: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
-def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` once to the shared scratch folder and read it back.
+def materialize(df: DataFrame, label: str = "stage", partitions: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder, in folders by ``partitions``, and read it back.
 
     Used where a later step must see exactly one evaluation (range bounds, partition numbers) or
     where an iterative job would otherwise grow an endless plan. Being a written table, it
@@ -62,7 +62,7 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(scratch_dir(spark), f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partitions)
     stored = spark.read.schema(df.schema).parquet(path)
     _STORED[stored] = path
     return stored
