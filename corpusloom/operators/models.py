@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,6 +15,7 @@ from corpusloom.functions.arrays import let, scale
 from corpusloom.functions.text import char_ngrams
 from corpusloom.operators.pairs import BLOCK, SkipGram, factorize_pairs
 from corpusloom.operators.statistics import cooccurrence_linear, distinct_bow, pmi
+from corpusloom.operators.svd import truncated_svd
 from corpusloom.operators.vectors import sum_word_vectors
 from corpusloom.operators.vocabulary import in_vocab
 from corpusloom.plans.unnest import unnest
@@ -49,91 +47,6 @@ def train_word2vec(
     return found.filter("side = 'row'").join(vocab, "id").select(F.col("token").alias("key"), "vec")
 
 
-SVD_ROUNDS, SVD_EXTRA, SVD_BLOCK = 7, 10, 1024
-ENTRIES_AT_ONCE = 50_000
-
-
-def _sparse_rows(cells: DataFrame) -> DataFrame:
-    """``row_id, cols, values`` of a sparse matrix; a row is no longer than the width."""
-    entry = F.struct(F.col("col_id").cast("int").alias("c"), F.col("value").cast("double").alias("v"))
-    rows = cells.groupBy("row_id").agg(F.sort_array(F.collect_list(entry)).alias("_e"))
-    return rows.select(
-        F.col("row_id").cast("bigint").alias("row_id"), F.transform("_e", lambda e: e["c"]).alias("cols"),
-        F.transform("_e", lambda e: e["v"]).alias("values"),
-    )
-
-
-def _products(batch: pa.RecordBatch, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Each row of the batch times ``factors``, with the entries: ``products, owners, cols, values``."""
-    cols, values = batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_numpy()
-    sizes = np.diff(np.asarray(batch.column(1).offsets))
-    owners = np.repeat(np.arange(len(sizes)), sizes)
-    products = np.zeros((len(sizes), factors.shape[1]))
-    for at in range(0, len(cols), ENTRIES_AT_ONCE):
-        part = slice(at, at + ENTRIES_AT_ONCE)
-        starts = np.flatnonzero(np.diff(owners[part], prepend=-1))
-        products[owners[part][starts]] += np.add.reduceat(values[part, None] * factors[cols[part]], starts, axis=0)
-    return products, owners, cols, values
-
-
-def _summed(rows: DataFrame, factors: np.ndarray, gram: bool) -> np.ndarray:
-    """A'AF of the written matrix A and ``factors`` F, or (AF)'AF; tasks add up, then blocks do."""
-    shared = rows.sparkSession.sparkContext.broadcast(factors)
-    height, width = (factors.shape[1], factors.shape[1]) if gram else factors.shape
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((height, width))
-        for batch in batches:
-            products, owners, cols, values = _products(batch, shared.value)
-            if gram:
-                total += products.T @ products
-                continue
-            order = np.argsort(cols, kind="stable")
-            for at in range(0, len(order), ENTRIES_AT_ONCE):
-                some = order[at : at + ENTRIES_AT_ONCE]
-                starts = np.flatnonzero(np.diff(cols[some], prepend=-1))
-                total[cols[some][starts]] += np.add.reduceat(values[some, None] * products[owners[some]], starts, axis=0)
-        for block, at in enumerate(range(0, height, SVD_BLOCK)):
-            part = total[at : at + SVD_BLOCK].ravel()
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part.tolist()])], names=["block", "part"])
-
-    parts = rows.mapInArrow(work, "block bigint, part array<double>")
-    sums = parts.groupBy("block").agg(vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("part"))
-    found = {r["block"]: np.array(r["part"]) for r in sums.collect()}
-    shared.unpersist()
-    if not found:
-        return np.zeros((height, width))
-    return np.concatenate([found[b] for b in sorted(found)]).reshape(height, width)
-
-
-def truncated_svd(cells: DataFrame, width: int, k: int = 100, seed: int = 1) -> DataFrame:
-    """``row_id, vec``: left singular vectors times singular values of a sparse matrix.
-
-    Block power iteration: ``k`` and a few more random columns are multiplied by A'A and made orthogonal
-    again, round after round. Only these ``width`` x k numbers, ``width`` being a bounded vocabulary,
-    come to the driver; the rows are written once and stay in the tasks. The sign of a component
-    is free; it is fixed so that its right vector's entry of greatest size is positive.
-    """
-    rows = materialize(_sparse_rows(cells), "matrix")
-    columns = min(width, k + SVD_EXTRA)
-    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, columns)))[0]
-    for _ in range(SVD_ROUNDS):
-        basis = np.linalg.qr(_summed(rows, basis, gram=False))[0]
-    values, turn = np.linalg.eigh(_summed(rows, basis, gram=True))
-    right = basis @ turn[:, np.argsort(-values, kind="stable")[: min(k, width)]]
-    signs = np.sign(right[np.abs(right).argmax(axis=0), np.arange(right.shape[1])])
-    shared = cells.sparkSession.sparkContext.broadcast(right * signs)
-
-    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            vecs = _products(batch, shared.value)[0]
-            ends = np.arange(len(vecs) + 1, dtype=np.int32) * vecs.shape[1]
-            column = pa.ListArray.from_arrays(pa.array(ends), pa.array(vecs.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), column], names=["row_id", "vec"])
-
-    return rows.mapInArrow(project, "row_id bigint, vec array<double>")
-
-
 def word_lsa(cells: DataFrame, vocab: DataFrame, width: int, k: int = 100, use_pmi: bool = False) -> DataFrame:
     """``key, vec``: latent vectors of words from co-occurrence, raw or as association scores."""
     matrix = pmi(cells).withColumnRenamed("pmi", "value") if use_pmi else cells

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import examples as ex
-from corpusloom.operators import metrics, models, streams, tokenize, vectors, vocabulary
+from corpusloom.operators import metrics, models, streams, svd, tokenize, vectors, vocabulary
 from corpusloom.operators import vectors as vectors_module
 from corpusloom.plans import blocks
 from corpusloom.plans.lookup import lookup_array
@@ -210,6 +210,25 @@ def test_svd_gives_scaled_left_vectors(spark):
     assert np.allclose(gram, np.diag(np.diag(gram)), atol=1e-6)
 
 
+@pytest.mark.parametrize("block,fan_in", [(1024, 16), (7, 2)])
+def test_svd_in_blocks_and_a_tree(spark, monkeypatch, block, fan_in):
+    monkeypatch.setattr(svd, "BLOCK", block)
+    monkeypatch.setattr(svd, "FAN_IN", fan_in)
+    rng = np.random.default_rng(9)
+    dense = rng.normal(size=(80, 5)) @ rng.normal(size=(5, 50)) * 3 + rng.normal(size=(80, 50)) * 0.01
+    dense[rng.random(80) < 0.1] = 0
+    dense[:, 11] = 0
+    cells = [(int(i), int(j), float(dense[i, j])) for i, j in zip(*np.nonzero(dense))]
+    df = spark.createDataFrame(cells, "row_id bigint, col_id bigint, value double")
+    rows = {r["row_id"]: r["vec"] for r in models.truncated_svd(df, 50, 5).collect()}
+    left, sigma, right = np.linalg.svd(dense, full_matrices=False)
+    right = right[:5] * np.sign(right[np.arange(5), np.abs(right[:5]).argmax(axis=1)])[:, None]
+    assert np.allclose(np.array([rows[i] for i in sorted(rows)]), (dense @ right.T)[sorted(rows)], atol=1e-5)
+    assert models.truncated_svd(df.filter("false"), 50, 5).count() == 0
+    rank_one = models.truncated_svd(df.filter("col_id = 3"), 50, 5).collect()
+    assert np.allclose([r["vec"][0] for r in rank_one], [dense[r["row_id"], 3] for r in rank_one], atol=1e-6)
+
+
 def test_query_vector_and_ranks(spark):
     table = spark.createDataFrame(
         [("a", [1.0, 0.0]), ("b", [0.0, 2.0]), ("c", [1.0, 1.0]), ("d", [-1.0, 0.0])], "key string, vec array<double>"
