@@ -32,6 +32,8 @@ WANTED_RECALL = 0.98
 DEGREE = 16
 BLOCK_ROWS = 4096
 SEED = 7
+ROUNDING = 1e-12
+PAIRS = 65_536
 
 
 def unit_rows(column: pa.Array, dim: int) -> np.ndarray:
@@ -180,7 +182,7 @@ def usable(df: DataFrame, id_column: str, vector_column: str) -> DataFrame:
 
 
 def _map(df: DataFrame, schema: str, index, dim: int, method: str) -> DataFrame:
-    """``lst`` and the columns of ``df`` (``vkey, vec``) for every list that ``method`` names."""
+    """``lst`` and the columns of ``df`` (``vkey, vec, least``) for every list that ``method`` names."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = index.value
         for batch in batches:
@@ -188,9 +190,41 @@ def _map(df: DataFrame, schema: str, index, dim: int, method: str) -> DataFrame:
                 part = batch.slice(start, 512)
                 row, lists = getattr(book, method)(unit_rows(part.column(1), dim))
                 taken = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), *taken.columns], names=["lst", "vkey", "vec"])
+                yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), *taken.columns], names=["lst", "vkey", "vec", "least"])
 
-    return df.select("vkey", "vec").mapInArrow(run, schema)
+    return df.select("vkey", "vec", "least").mapInArrow(run, schema)
+
+
+def plain_rows(column: pa.Array, dim: int) -> np.ndarray:
+    """The vectors of an Arrow list column as they are; shorter ones are filled with zeros."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    rows = np.zeros((len(sizes), dim))
+    rows[np.arange(dim) < sizes[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return rows
+
+
+def nearest(
+    query_units: np.ndarray, queries: np.ndarray, units: np.ndarray, rows: np.ndarray, least: np.ndarray, keep: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``query, candidate, cosine`` of the ``keep`` first candidates of every query, by cosine and then least id.
+
+    All candidates within rounding of the last place are scored anew, with sums in the order of the
+    components as everywhere else, so that no tie is cut before it is known to be one.
+    """
+    inner = query_units @ units.T
+    some = min(keep, inner.shape[1])
+    floor = np.partition(inner, inner.shape[1] - some, axis=1)[:, inner.shape[1] - some]
+    query, candidate = np.nonzero(inner >= floor[:, None] - ROUNDING)
+    sums = lambda a, b: np.cumsum(a * b, axis=1)[:, -1]  # noqa: E731  one after the other
+    lengths = np.sqrt(sums(queries, queries)), np.sqrt(sums(rows, rows))
+    exact = np.concatenate([
+        sums(queries[query[at:at + PAIRS]], rows[candidate[at:at + PAIRS]]) for at in range(0, len(query), PAIRS)
+    ]) / (lengths[0][query] * lengths[1][candidate])
+    order = np.lexsort((least[candidate], -exact, query))
+    query, candidate, exact = query[order], candidate[order], exact[order]
+    place = np.arange(len(query)) - np.searchsorted(query, query)
+    first = place < keep
+    return query[first], candidate[first], exact[first]
 
 
 def search(
@@ -211,7 +245,8 @@ def search(
         .groupBy("vkey").agg(F.sort_array(F.collect_list("vec_id")).alias("members"))
     )
     distinct = rows.groupBy("vkey").agg(F.first("vec").alias("vec"))
-    classes = materialize(distinct.join(least, "vkey"), "classes")
+    classes = distinct.join(least, "vkey").withColumn("least", F.get("members", F.lit(0)).cast("bigint"))
+    classes = materialize(classes, "classes")
     queries = rows.filter(is_query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), F.col("vkey").alias("qkey"))
     empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     facts = classes.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
@@ -221,7 +256,7 @@ def search(
     sample = classes.select("vec", "vkey").orderBy(F.xxhash64("vkey"), "vkey").limit(SAMPLE).select("vec").toArrow()
     sampled = np.concatenate([unit_rows(c, dim) for c in sample.column(0).chunks if len(c)])
     index = spark.sparkContext.broadcast(build_index(sampled, facts["n"], k))
-    schema = "lst int, vkey string, vec array<double>"
+    schema = "lst int, vkey string, vec array<double>, least bigint"
     postings = materialize(_map(classes, schema, index, dim, "assign"), "postings")
     asked = classes.join(queries.select(F.col("qkey").alias("vkey")).distinct(), "vkey", "left_semi")
     probes = _map(asked, schema, index, dim, "probe")
@@ -229,17 +264,18 @@ def search(
     blocks = postings.groupBy("lst").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
     sides = (
         postings.join(F.broadcast(blocks), "lst")
-        .select("lst", F.pmod(F.xxhash64("vkey"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("side"), "vkey", "vec")
+        .select("lst", F.pmod(F.xxhash64("vkey"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("side"), "vkey", "vec", "least")
     ).unionByName(
         probes.join(F.broadcast(blocks), "lst").select(
-            "lst", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("side"), "vkey", "vec"
+            "lst", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("side"), "vkey", "vec", "least"
         )
     )
     placed = sides.repartition("lst", "block").sortWithinPartitions("lst", "block", "side")
-    keep = 2 * (k + 1)
+    # Classes in order of their score and least id: the first k + 1 hold the k + 1 first ids.
+    keep = k + 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, keys, units = None, [], []
+        cell, keys, held = None, [], []
         for batch in batches:
             lists, block, side = (batch.column(i).to_numpy() for i in range(3))
             change = np.flatnonzero((np.diff(lists) != 0) | (np.diff(block) != 0) | (np.diff(side) != 0)) + 1
@@ -247,33 +283,29 @@ def search(
                 if start == end:
                     continue
                 if cell != (lists[start], block[start]):
-                    cell, keys, units = (lists[start], block[start]), [], []
+                    cell, keys, held = (lists[start], block[start]), [], []
                 part = batch.slice(start, end - start)
-                rows_here = unit_rows(part.column(4), dim)
+                rows = (unit_rows(part.column(4), dim), plain_rows(part.column(4), dim), part.column(5).to_numpy())
                 if side[start] == 0:
                     keys += part.column(3).to_pylist()
-                    units.append(rows_here)
-                elif units:
-                    if len(units) > 1:
-                        units = [np.concatenate(units)]
+                    held.append(rows)
+                elif held:
+                    held = [tuple(np.concatenate(c) for c in zip(*held))] if len(held) > 1 else held
                     names = np.array(keys, object)
                     asking = np.array(part.column(3).to_pylist(), object)
                     for low in range(0, len(asking), 256):
-                        inner = rows_here[low:low + 256] @ units[0].T
-                        some = min(keep, inner.shape[1])
-                        top = np.argpartition(-inner, some - 1, axis=1)[:, :some]
+                        query, candidate, exact = nearest(rows[0][low:low + 256], rows[1][low:low + 256], *held[0], keep)
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array(np.repeat(asking[low:low + 256], some), pa.string()),
-                                pa.array(names[top].ravel(), pa.string()),
-                                pa.array(np.take_along_axis(inner, top, axis=1).ravel(), pa.float64()),
+                                pa.array(asking[low + query], pa.string()), pa.array(names[candidate], pa.string()),
+                                pa.array(exact, pa.float64()), pa.array(held[0][2][candidate], pa.int64()),
                             ],
-                            names=["qkey", "vkey", "near"],
+                            names=["qkey", "vkey", "near", "least"],
                         )
 
-    scored = placed.mapInArrow(score, "qkey string, vkey string, near double")
-    once = scored.groupBy("qkey", "vkey").agg(F.max("near").alias("near"))
-    by_near = Window.partitionBy("qkey").orderBy(F.desc("near"), "vkey")
+    scored = placed.mapInArrow(score, "qkey string, vkey string, near double, least bigint")
+    once = scored.groupBy("qkey", "vkey").agg(F.max("near").alias("near"), F.min("least").alias("least"))
+    by_near = Window.partitionBy("qkey").orderBy(F.desc("near"), "least")
     best = once.withColumn("place", F.row_number().over(by_near)).filter(F.col("place") <= keep).select("qkey", "vkey")
     vectors = classes.select(F.col("vkey").alias("qkey"), F.col("vec").alias("qvec"))
     exact = best.join(classes, "vkey").join(vectors, "qkey").select(

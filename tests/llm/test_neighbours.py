@@ -73,3 +73,33 @@ def test_query_recall(spark):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     assert set(got) == set(want) and all(len(v) == 5 for v in got.values())
     assert np.mean([len(got[q] & {i for i, _ in want[q]}) / 5 for q in want]) >= 0.9
+
+
+def plain(rows, is_query, k=5):
+    """Every pair by the measure itself: sums in the order of the components."""
+    good = {i: np.array(v, np.float64) for i, v in rows}
+    total = lambda a, b: np.cumsum(a * b)[-1]
+    length = {i: np.sqrt(total(v, v)) for i, v in good.items()}
+    out = {}
+    for i in filter(is_query, good):
+        order = sorted((-total(good[i], v) / (length[i] * length[j]), j) for j, v in good.items() if j != i)
+        out[i] = [(j, -s) for s, j in order[:k]]
+    return out
+
+
+def test_a_ray_of_scaled_vectors_is_ranked_by_score_and_id(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=8)
+    rows = [(i, (base * (i + 1)).astype(np.float32).tolist()) for i in range(61)]
+    assert found(frame(spark, rows), lambda c: c % 50 == 0) == plain(rows, lambda i: i % 50 == 0)
+
+
+def test_many_exact_multiples_tie_by_id(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=8).astype(np.float32)
+    scales = [2.0 ** (i % 60 - 30) for i in range(2000)]
+    rows = [(i * 7919 % 2003, (base * np.float32(s)).tolist()) for i, s in enumerate(scales)]
+    rows += [(3000 + i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(300)]
+    got, want = found(frame(spark, rows), lambda c: c % 100 == 0), plain(rows, lambda i: i % 100 == 0)
+    ray = [q for q in want if q < 3000]
+    assert len(ray) > 15 and all(got[q] == want[q] for q in ray)
