@@ -106,7 +106,7 @@ SELECT row_id, col_id, round(pmi, 4) AS pmi FROM (
   FROM cells JOIN rows_ USING (row_id) JOIN cols_ USING (col_id), tot) WHERE pmi >= ln(5.0)
 """)
 def pmi(spark, sf):
-    return st.pmi(cells_harmonic(spark, sf)).withColumn("pmi", F.round("pmi", 4))
+    return st.pmi(cells_harmonic(spark, sf), symmetric=True).withColumn("pmi", F.round("pmi", 4))
 
 
 @catalog.add(with_(MARGINS) + """
@@ -115,7 +115,7 @@ SELECT row_id, col_id, round(ln(value) - ln(row_sum + 1) - ln(col_sum + 1) + ln(
 FROM cells JOIN rows_ USING (row_id) JOIN cols_ USING (col_id), tot
 """)
 def pmi_targets(spark, sf):
-    targets = st.pmi_targets(cells_harmonic(spark, sf))
+    targets = st.pmi_targets(cells_harmonic(spark, sf), symmetric=True)
     return targets.withColumn("target", F.round("target", 4)).withColumn("weight", F.round("weight", 4))
 
 
@@ -129,7 +129,7 @@ FROM best JOIN ranked w ON w.id = row_id JOIN ranked c ON c.id = col_id
 def top_collocates(spark, sf):
     vocab = common_words(spark, sf)
     coded = vocabulary.in_vocab(token_lines(spark, sf), vocab, LINE_KEY).select("ids")
-    scores = st.pmi(st.cooccurrence_harmonic(coded), float("-inf"))
+    scores = st.pmi(st.cooccurrence_harmonic(coded), float("-inf"), symmetric=True)
     best = st.top_collocates(scores.withColumn("pmi", F.round("pmi", 6)), 20)
     words = vocab.select(F.col("id").alias("row_id"), F.col("token").alias("word"))
     others = vocab.select(F.col("id").alias("col_id"), F.col("token").alias("collocate"))

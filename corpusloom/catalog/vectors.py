@@ -520,6 +520,12 @@ def train_word2vec(spark, sf):
     return rounded(models.train_word2vec(token_docs(spark, sf), common_words(spark, sf), ["doc_id"]))
 
 
+@catalog.add(None)
+def train_tag_vectors(spark, sf):
+    docs = token_docs(spark, sf).withColumn("tag", corpus.tag_document(F.col("doc_id")))
+    return rounded(models.train_tag_vectors(docs, common_words(spark, sf), ["doc_id"])[0])
+
+
 def lsa_words(spark, sf):
     """Words counted ten times or more, and their linear co-occurrence."""
     vocab = materialize(top_ranked(counts(spark, sf).filter("freq >= 10"), WORDS, "freq", "token"), "lsa-words")

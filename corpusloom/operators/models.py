@@ -18,6 +18,7 @@ from corpusloom.operators.statistics import cooccurrence_linear, distinct_bow, p
 from corpusloom.operators.svd import truncated_svd
 from corpusloom.operators.vectors import sum_word_vectors
 from corpusloom.operators.vocabulary import in_vocab
+from corpusloom.plans.ranking import with_row_number
 from corpusloom.plans.unnest import unnest
 from corpusloom.session import materialize
 
@@ -25,7 +26,7 @@ from corpusloom.session import materialize
 def train_word2vec(
     df: DataFrame, vocab: DataFrame, row_key: list[str], size: int = 100, window: int = 5, epochs: int = 5,
     negative: float = 5.0, sample: float = 1e-3, seed: int = 1, column: str = "tokens", weight: str | None = None,
-    block: int = BLOCK,
+    block: int = BLOCK, sweeps: int = 1,
 ) -> DataFrame:
     """``key, vec``: skip-gram word vectors against ``negative`` drawn words for every seen pair.
 
@@ -43,7 +44,7 @@ def train_word2vec(
         columns = vocab.select(F.col("id").alias("col_id"), stays.alias("_c"))
         weighed = F.col("value") * F.col("_r") * F.col("_c")
         cells = cells.join(rows, "row_id").join(columns, "col_id").select("row_id", "col_id", weighed.alias("value"))
-    found, _ = factorize_pairs(cells, facts["words"], facts["words"], size, epochs, seed=seed, objective=SkipGram(negative), block=block)
+    found, _ = factorize_pairs(cells, facts["words"], facts["words"], size, epochs, seed=seed, objective=SkipGram(negative), block=block, sweeps=sweeps)
     return found.filter("side = 'row'").join(vocab, "id").select(F.col("token").alias("key"), "vec")
 
 
@@ -137,6 +138,46 @@ def tag_vectors(df: DataFrame, vectors: DataFrame, row_key: list[str], tag: str
     return sums.select("tag", scale(F.col("vec"), 1.0 / F.col("known")).alias("vec"))
 
 
+def _tag_cells(df: DataFrame, vocab: DataFrame, row_key: list[str], tag: str, column: str) -> tuple[DataFrame, DataFrame]:
+    """``tag, id`` numbered from 0, and how often each vocabulary word stands in the documents of each tag."""
+    coded = in_vocab(df.select(*row_key, F.col(tag).alias("tag"), column), vocab, row_key, column, "ids")
+    counted = materialize(
+        unnest(coded, "ids", "tag", value="col_id").groupBy("tag", "col_id").agg(F.count("*").alias("value")), "tag-words"
+    )
+    tags = materialize(with_row_number(counted.select("tag").filter("tag IS NOT NULL").distinct(), [F.col("tag")], "id"), "tags")
+    cells = counted.join(tags, "tag").select(F.col("id").alias("row_id"), "col_id", F.col("value").cast("double"))
+    return tags, cells
+
+
+def train_tag_vectors(
+    df: DataFrame, vocab: DataFrame, row_key: list[str], size: int = 100, epochs: int = 5, negative: float = 5.0,
+    seed: int = 1, tag: str = "tag", column: str = "tokens", block: int = BLOCK, sweeps: int = 2,
+) -> tuple[DataFrame, DataFrame]:
+    """``tag, vec`` of paragraph vectors, and ``id, vec, n`` of the word outputs they were trained with.
+
+    A tag's vector predicts the words of its documents against ``negative`` drawn words for each, whatever their
+    order. Words are counted per tag, partly before the shuffle, so a tag of any size is one row of counts. Tags whose
+    documents hold no word of ``vocab``, and NULL tags, get no vector.
+    """
+    vocab = materialize(vocab.select("id", "token", "freq"), "vocab")
+    tags, cells = _tag_cells(df, vocab, row_key, tag, column)
+    found, _ = factorize_pairs(cells, tags.count(), vocab.count(), size, epochs, seed=seed, objective=SkipGram(negative), block=block, sweeps=sweeps)
+    words = found.filter("side = 'column'").join(vocab, "id").select("id", "vec", F.col("freq").alias("n"))
+    return found.filter("side = 'row'").join(tags, "id").select("tag", "vec"), words
+
+
+def infer_tag_vectors(
+    df: DataFrame, vocab: DataFrame, words: DataFrame, row_key: list[str], size: int = 100, epochs: int = 5,
+    negative: float = 5.0, seed: int = 1, tag: str = "tag", column: str = "tokens", block: int = BLOCK, sweeps: int = 2,
+) -> DataFrame:
+    """``tag, vec`` of new tags by the same steps, the word outputs of ``train_tag_vectors`` staying as they are."""
+    tags, cells = _tag_cells(df, vocab, row_key, tag, column)
+    found, _ = factorize_pairs(
+        cells, tags.count(), words.count(), size, epochs, seed=seed, objective=SkipGram(negative), block=block, sweeps=sweeps, fixed=words
+    )
+    return found.filter("side = 'row'").join(tags, "id").select("tag", "vec")
+
+
 def ngram_vectors(vectors: DataFrame, low: int = 3, high: int = 6) -> DataFrame:
     """``gram, vec``: the mean vector of the words that hold each character n-gram."""
     grams = F.array_distinct(char_ngrams(F.col("key"), low, high))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import scale
 from corpusloom.functions.hashing import digest
-from corpusloom.plans.lookup import lookup_array
+from corpusloom.plans.lookup import MAX_BROADCAST_ROWS, lookup_array
 from corpusloom.plans.unnest import unnest
 from corpusloom.session import materialize
 
@@ -101,21 +101,32 @@ def shuffle_pairs(cells: DataFrame, seed: object) -> DataFrame:
     return cells.withColumn("_draw", order).orderBy("_draw").drop("_draw")
 
 
-def _with_margins(cells: DataFrame) -> tuple[DataFrame, Column]:
-    """Cells with both margins, and the grand total. Margins hold one row per vocabulary id.
+def _with_margins(cells: DataFrame, symmetric: bool) -> tuple[DataFrame, Column]:
+    """Cells with both margins, and the grand total.
 
-    The matrix is written once, or each margin would count the corpus again.
+    The matrix is written once, or each margin would count the corpus again. Margins hold one row per
+    vocabulary id; as long as they are few enough to ship, the cells are not shuffled to meet them. Those of a
+    symmetric matrix are added up once.
     """
     cells = materialize(cells, "cells")
-    rows = marginals(cells)
-    columns = cells.groupBy("col_id").agg(exact_sum("value").alias("col_sum"))
-    total = cells.agg(exact_sum("value")).scalar()
-    return cells.join(rows, "row_id").join(columns, "col_id"), total
 
+    def sums(key: str) -> DataFrame:
+        return materialize(cells.groupBy(key).agg(F.sum(F.col("value").cast("decimal(28,12)")).alias("_sum")), "margins")
 
-def pmi(cells: DataFrame, min_pmi: float = math.log(5)) -> DataFrame:
+    rows = sums("row_id")
+    columns = rows.withColumnRenamed("row_id", "col_id") if symmetric else sums("col_id")
+    total = rows.agg(F.sum("_sum").cast("double")).scalar()
+    out = cells
+    for key, name, side in (("row_id", "row_sum", rows), ("col_id", "col_sum", columns)):
+        margin = side.select(key, F.col("_sum").cast("double").alias(name))
+        small = side.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+        out = out.join(F.broadcast(margin) if small else margin, key)
+    return out, total
+
+
+def pmi(cells: DataFrame, min_pmi: float = math.log(5), symmetric: bool = False) -> DataFrame:
     """``row_id, col_id, pmi``: log of observed over expected share, low values dropped."""
-    margins, total = _with_margins(cells)
+    margins, total = _with_margins(cells, symmetric)
     ratio = F.col("value") * total / (F.col("row_sum") * F.col("col_sum"))
     return margins.select("row_id", "col_id", F.log(ratio).alias("pmi")).filter(
         F.col("pmi") >= min_pmi
@@ -123,14 +134,14 @@ def pmi(cells: DataFrame, min_pmi: float = math.log(5)) -> DataFrame:
 
 
 def pmi_targets(
-    cells: DataFrame, base: float = 0.0, scale_by: float = 1.0, exponent: float = 0.5
+    cells: DataFrame, base: float = 0.0, scale_by: float = 1.0, exponent: float = 0.5, symmetric: bool = False
 ) -> DataFrame:
     """``row_id, col_id, target, weight`` of the pair model, for the cells that are not zero.
 
     The target is ln(count) - ln(row + 1) - ln(column + 1) + ln(total + 1); the weight grows
     with the count. Cells that are zero are the complement and carry no rows.
     """
-    margins, total = _with_margins(cells)
+    margins, total = _with_margins(cells, symmetric)
     target = (
         F.log("value") - F.log1p("row_sum") - F.log1p("col_sum") + F.log(total + 1)
     )
