@@ -254,7 +254,11 @@ def decode_documents(
 def encode_and_decode(
     df: DataFrame, id_column: str = "doc_id", text_column: str = "text", vocabulary: str = DEFAULT_VOCABULARY
 ) -> DataFrame:
-    """``id, ids, n_tokens, decoded``: both directions in one pass over the texts."""
+    """``id, ids, n_tokens, decoded``: both directions in one pass over the texts.
+
+    NULL and empty texts have no ids and decode to an empty text; long ones are encoded whole. An empty table gives an
+    empty table; repeated rows and other columns as in ``encode_documents``.
+    """
     def setup():
         book = codec(public_tokenizers.path(vocabulary))
 

@@ -112,7 +112,8 @@ def predict(
     """``id, lang_pred, score, rejected`` for every row, from the text alone.
 
     ``rejected`` is true where the margin is below ``min_margin`` or nothing could be said (``und``).
-    NULL and empty texts give ``und``. Repeated rows get equal results; other columns are ignored.
+    NULL and empty texts give ``und``; long texts are compressed
+    whole, block by block. An empty table gives an empty table. Repeated rows get equal results; other columns are ignored.
     """
     names, contents = list(dictionaries), tuple(dictionaries.values())
     shipped = df.sparkSession.sparkContext.broadcast(contents)  # DICTIONARY_BYTES per language

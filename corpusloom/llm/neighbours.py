@@ -235,7 +235,8 @@ def search(
     ``is_query`` maps the id column to a condition. The score is the cosine in double precision; ties go
     to the smaller id, and a query's own id is never its neighbour. Rows without an id, and vectors that
     are NULL, zero or hold a NULL, NaN or infinite component take no part; shorter vectors are filled
-    with zeros. Repeated rows count once. With fewer than ``k`` candidates all are returned.
+    with zeros. Repeated rows count once. With fewer than ``k`` candidates all are returned;
+    an empty table gives an empty table.
     """
     spark = df.sparkSession
     rows = materialize(usable(df, id_column, vector_column), "vectors")

@@ -343,7 +343,8 @@ def extract(df: DataFrame, id_column: str = "page_id", url_column: str = "url",
     """``id, url, text`` for every row of ``df``; ``text`` is empty where nothing is left.
 
     NULL html counts as empty; a NULL or odd URL is its own place in the order. Repeated rows are one page
-    to their neighbours and stay rows in the result. Other columns are ignored.
+    to their neighbours and stay rows in the result. Other columns are ignored. Pages of any length are
+    read whole; an empty table gives an empty table.
     """
     kind = df.schema[id_column].dataType.simpleString()
     empty = F.lit("")

@@ -265,6 +265,7 @@ def replace_private(text: Column, key: str) -> Column:
 def pseudonymise(df: DataFrame, key: str, text_column: str = "text") -> DataFrame:
     """``df`` with private values in ``text_column`` replaced; rows, order of columns and all else stay.
 
-    Nothing is shuffled. Repeated rows get equal texts; NULL and empty texts stay as they are.
+    Nothing is shuffled. Repeated rows get equal texts; NULL and empty texts stay as they are. Texts of any
+    length are searched whole; an empty table gives an empty table.
     """
     return df.withColumn(text_column, replace_private(F.col(text_column), key)["text"])

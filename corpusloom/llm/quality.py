@@ -260,7 +260,8 @@ def judge(
     """``id``, ``STATISTICS``, ``base_failed``, ``rule``, ``kept`` and the columns in ``keep`` per row.
 
     ``rule`` is the number of the first rule that rejects the row. NULL and empty texts have no words and
-    fail the base test. Repeated rows are judged apart, with equal results.
+    fail the base test. Repeated rows are judged apart, with equal results. Texts of any length are
+    counted whole; an empty table gives an empty table.
     """
     rows = document_statistics(df, id_column, text_column, keep)
     return (

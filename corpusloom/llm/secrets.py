@@ -103,7 +103,7 @@ def scan(
 ) -> DataFrame:
     """``id, spans`` for every row, the spans of the whole text in the order of ``find_spans``.
 
-    NULL and empty texts have none. Repeated rows are scanned apart; other columns are ignored. ``most``
+    NULL and empty texts have none; texts of any length are scanned whole, an empty table gives an empty table. Repeated rows are scanned apart; other columns are ignored. ``most``
     is the number of characters per token up to which a run counts as random.
     """
     def setup():

@@ -78,7 +78,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     differ), ``no validator`` or ``no earlier response``; only resolved rows get headers and a payload.
     Rows without a record id, URL or time are left out, as nothing can be said about them; so are other
     statuses than 200 and 304. Of responses of one URL and time the greatest id counts. Record ids must be
-    unique; of repeated ids one row counts.
+    unique; of repeated ids one row counts. Payloads of any length move once; an empty table gives an empty table.
     """
     usable = records.filter("record_id IS NOT NULL AND url IS NOT NULL AND time IS NOT NULL AND status IN (200, 304)")
     narrow = materialize(
