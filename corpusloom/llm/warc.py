@@ -70,6 +70,12 @@ def _outcome(response: Column, stored: Column, renewed: Column) -> Column:
     )
 
 
+def _found(record: Column, own: Column | None = None) -> Column:
+    """The key of a record; where there is none, one of ``own`` that meets nothing, so that no task gets all of these."""
+    key = F.concat(F.lit("r"), record.cast("string"))
+    return key if own is None else F.coalesce(key, F.concat(F.lit("n"), own.cast("string")))
+
+
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """One row per revisit: ``record_id, canonical_url, time, response_id, outcome, headers, payload``.
 
@@ -99,14 +105,15 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         "record_id", F.coalesce("near", "carried")["record_id"].alias("response_id")
     )
     revisits = pairs.join(narrow, "record_id")
-    stored = narrow.filter("status = 200").select(F.col("record_id").alias("response_id"), F.col("headers").alias("stored"))
-    judged = revisits.join(stored, "response_id", "left").withColumn(
+    stored = narrow.filter("status = 200").select(_found(F.col("record_id")).alias("_met"), F.col("headers").alias("stored"))
+    met = revisits.withColumn("_met", _found(F.col("response_id"), F.col("record_id")))
+    judged = met.join(stored, "_met", "left").drop("_met").withColumn(
         "outcome", _outcome(F.col("response_id"), F.col("stored"), F.col("headers"))
     )
     good = F.col("outcome") == "resolved"
-    payloads = usable.filter("status = 200").select(F.col("record_id").alias("_from"), "payload").dropDuplicates(["_from"])
-    wanted = F.when(good, F.col("response_id"))
-    return judged.join(payloads, wanted == F.col("_from"), "left").select(
+    payloads = usable.filter("status = 200").select(_found(F.col("record_id")).alias("_from"), "payload").dropDuplicates(["_from"])
+    wanted = judged.withColumn("_from", _found(F.when(good, F.col("response_id")), F.col("record_id")))
+    return wanted.join(payloads, "_from", "left").select(
         "record_id", F.col("key").alias("canonical_url"), "time", "response_id", "outcome",
         F.when(good, merged_headers(F.col("stored"), F.col("headers"))).alias("headers"), "payload",
     )
