@@ -6,17 +6,19 @@ lists of lines, and lines that both pages share are the site's and not the artic
 
 Two things keep this right where the plain rule fails. A line inside a marked article (``article``,
 ``main``) is the author's word that it belongs to the text, so a shared one stays there: articles do
-quote common passages. And a neighbour that shares nearly all lines is a copy of the page, which says
-nothing about the site; the next one is asked instead. Lines whose place names what they are (menus,
+quote common passages. And a neighbour that shares nearly all characters, lines dropped by place left aside, is a copy of the
+page, which says nothing about the site; the nearest page that differs is asked instead, however many copies lie between. Lines whose place names what they are (menus,
 headers, footers, sidebars, notices, adverts, forms, reader comments) go in any case, as a page may
 have no neighbour.
 """
 
 from __future__ import annotations
 
+import heapq
 import html as entities
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +27,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.batches import map_batches
+from corpusloom.plans.ranking import with_prefix
 from corpusloom.session import materialize
 
 NEIGHBOURS = 2
 COPY_SHARE = 0.9
 CHUNK_ROWS = 256
+SALTS = 64
+NOWHERE = 1 << 62
 
 # ---- fixed values: elements of HTML
 BLOCKS = frozenset(
@@ -96,14 +101,18 @@ def block_lines(page: str | None) -> list[tuple[str, bool, bool]]:
     # Depths of what drops a line by element, by name and as comments, of articles around it, and of inline
     # elements that drop their own text out of a line.
     by_element = by_name = talk = marked = muted = 0
+    told = False  # whether an article has had its say
     stack: list[tuple[str, int, int, int, int, int]] = []
 
     def end_line() -> None:
+        nonlocal told
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                lines.append((text, by_element + by_name + talk > 0, marked > 0))
+                dropped = by_element + by_name + talk > 0
+                lines.append((text, dropped, marked > 0))
+                told = told or marked > 0 and not dropped
 
     def leave(at: int) -> None:
         nonlocal by_element, by_name, talk, marked, muted
@@ -164,8 +173,8 @@ def block_lines(page: str | None) -> list[tuple[str, bool, bool]]:
         talk += comments
         if name in MARKED:
             marked += 1
-            if not talk:
-                by_name = 0  # a wrapper's name does not decide about the article in it
+            if not talk and not told:
+                by_name = 0  # a wrapper's name does not decide about the article in it, only about teasers after it
         elif name not in ("body", "html"):
             by_name += named
     if position < len(page) and not muted:
@@ -214,14 +223,39 @@ def common_lines(a: list[int], b: list[int]) -> np.ndarray:
     return shared
 
 
-def shared_lines(own: list[int], others: list[list[int]]) -> list[int]:
-    """Places of ``own`` that the nearest other page shares; near copies are passed over."""
+Page = tuple[list[int], list[int]]  # hashes of the lines, and their characters, 0 for lines that their place drops
+
+
+def copies(own: Page, other: Page, shared: np.ndarray) -> bool:
+    """Whether the lines that two pages share hold ``COPY_SHARE`` of their characters."""
+    common = int(np.asarray(own[1], np.int64)[shared].sum())
+    return common > 0 and 2 * common >= COPY_SHARE * (sum(own[1]) + sum(other[1]))
+
+
+def differ(a: Page, b: Page) -> bool:
+    """Whether ``b`` is no copy of ``a``; lines in any order give a bound that mostly decides."""
+    if a[0] == b[0]:
+        return not any(a[1])
+    left = Counter(b[0])
+    bound = 0
+    for line, size in zip(*a):
+        if left[line] > 0:
+            left[line] -= 1
+            bound += size
+    if 2 * bound < COPY_SHARE * (sum(a[1]) + sum(b[1])):
+        return True
+    return not copies(a, b, common_lines(a[0], b[0]))
+
+
+def shared_lines(own: Page, others: Iterable[Page]) -> list[int] | None:
+    """Places of ``own`` that the first page shares which is no copy of it; None if all are."""
     for other in others:
-        shared = common_lines(own, other)
-        if shared.any() and 2 * int(shared.sum()) >= COPY_SHARE * (len(own) + len(other)):
+        if own[0] == other[0] and any(own[1]):
             continue
-        return np.flatnonzero(shared).tolist()
-    return []
+        shared = common_lines(own[0], other[0])
+        if not copies(own, other, shared):
+            return np.flatnonzero(shared).tolist()
+    return None
 
 
 def sorted_lines(page: str | None) -> tuple[list[str], list[int], list[int]]:
@@ -263,12 +297,115 @@ def _numbered(keys: DataFrame) -> DataFrame:
     return placed.withColumn("place", F.col("shift") + F.col("serial").bitwiseAND(F.lit((1 << 33) - 1))).drop("serial", "part", "shift")
 
 
+Row = tuple  # place, home chunk, key, host, path, lines, sizes
+
+
+def _nearest_first(rows: list[Row], i: int, fresh: list[bool]) -> Iterator[Page]:
+    """Pages of the same host in ``rows``: the direct neighbours by path, then the near ends of the runs of copies beyond."""
+    _, _, _, host, path, _, _ = rows[i]
+
+    def page(j: int) -> Page:
+        return rows[j][5], rows[j][6]
+
+    near = [j for j in range(max(0, i - NEIGHBOURS), min(len(rows), i + NEIGHBOURS + 1)) if j != i and rows[j][3] == host]
+    yield from map(page, sorted(near, key=lambda j: (-_alike(path, rows[j][4]), abs(j - i), j)))
+
+    def before() -> Iterator[int]:
+        for j in range(i - NEIGHBOURS - 1, -1, -1):
+            if rows[j][3] != host:
+                return
+            if fresh[j + 1]:
+                yield j
+
+    def after() -> Iterator[int]:
+        for j in range(i + NEIGHBOURS + 1, len(rows)):
+            if rows[j][3] != host:
+                return
+            if fresh[j]:
+                yield j
+
+    yield from map(page, heapq.merge(before(), after(), key=lambda j: (abs(j - i), j)))
+
+
+def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[Row]]]:
+    """The rows of each chunk of sorted batches; a chunk is held at a time."""
+    number, rows = None, []
+    for batch in batches:
+        for chunk, *row in zip(*[c.to_pylist() for c in batch.columns]):
+            if chunk != number and rows:
+                yield number, rows
+                rows = []
+            number = chunk
+            rows.append(tuple(row))
+    if rows:
+        yield number, rows
+
+
+def _compare_in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, place, fresh, shared, open``: ``fresh`` pages are no copy of the one before, ``open`` ones met only copies."""
+    for number, rows in _by_chunk(batches):
+        fresh = [True] + [a[3] != b[3] or differ(a[5:], b[5:]) for a, b in zip(rows, rows[1:])]
+        out = []
+        for i, (place, home, key, host, _, lines, sizes) in enumerate(rows):
+            if home != number:
+                continue
+            shared = shared_lines((lines, sizes), _nearest_first(rows, i, fresh))
+            beyond = shared is None and host in (rows[0][3], rows[-1][3])
+            out.append((key, place, fresh[i], None if beyond else shared or [], beyond))
+        columns = list(zip(*out)) or [()] * 5
+        kinds = [pa.string(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.bool_()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "place", "fresh", "shared", "open"]
+        )
+
+
+def _compare_beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, shared`` of open pages against the pages from beyond their chunk, which have no key."""
+    for _, rows in _by_chunk(batches):
+        outer = [r for r in rows if r[2] is None]
+        keys, shared = [], []
+        for place, _, key, host, path, lines, sizes in rows:
+            if key is None:
+                continue
+            near = sorted((r for r in outer if r[3] == host), key=lambda r: (-_alike(path, r[4]), abs(r[0] - place)))
+            keys.append(key)
+            shared.append(shared_lines((lines, sizes), [r[5:] for r in near]) or [])
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(shared, pa.list_(pa.int32()))], names=["key", "shared"])
+
+
+def _from_beyond(placed: DataFrame, first: DataFrame) -> DataFrame:
+    """``key, shared`` of the open pages, each compared with the ends of its run of copies outside its chunk.
+
+    A run may hold any number of chunks: running maxima over one row per chunk carry the nearest break to
+    it, and the page at a break that many chunks ask for is dealt out in ``SALTS`` copies.
+    """
+    chunk = F.floor(F.col("place") / CHUNK_ROWS)
+    breaks = first.groupBy(chunk.alias("chunk")).agg(
+        F.max(F.when(F.col("fresh"), F.col("place")).otherwise(-1)).alias("last"),
+        F.max(F.when(F.col("fresh"), -F.col("place")).otherwise(-NOWHERE)).alias("first"),
+        F.max("open").alias("open"),
+    )
+    # Both running maxima leave the chunk itself out; they skip no NULLs, so chunks without a break have numbers too.
+    left = with_prefix(breaks, [F.col("chunk")], {"before": ("max", "last")}).filter("open")
+    right = with_prefix(breaks, [F.col("chunk").desc()], {"after": ("max", "first")}).filter("open")
+    wanted = left.select("chunk", (F.col("before") - 1).alias("place")).union(right.select("chunk", (-F.col("after")).alias("place")))
+    wanted = materialize(wanted.filter("place >= 0").withColumn("salt", F.pmod("chunk", F.lit(SALTS))), "wanted")
+    pages = wanted.select("place", "salt").distinct().join(placed, "place")
+    names = ["chunk", "place", "home", "key", "host", "path", "lines", "sizes"]
+    no_key = pages.withColumns({"key": F.lit(None).cast("string"), "home": F.lit(None).cast("bigint")})
+    outer = wanted.join(no_key, ["place", "salt"]).select(names)
+    opened = first.filter("open").select("place").join(placed, "place").withColumns({"chunk": chunk, "home": chunk})
+    both = opened.select(names).union(outer)
+    return both.repartition("chunk").sortWithinPartitions("chunk", "place").mapInArrow(_compare_beyond, "key string, shared array<int>")
+
+
 def shared_by_page(pages: DataFrame) -> DataFrame:
     """``key, shared`` for every page of ``key, url, html``: the places of lines shared with a neighbour.
 
-    Only hashes of lines move; equal keys are one page. Pages in order are dealt into chunks of ``CHUNK_ROWS``, each with the
+    Only hashes and sizes of lines move; equal keys are one page. Pages in order are dealt into chunks of ``CHUNK_ROWS``, each with the
     nearest pages of the chunks beside it, so a host of any size is spread and no task needs more than
-    one chunk.
+    one chunk. Where a run of copies fills a chunk, its pages meet the pages at the ends of the run; where
+    these are copies too, nothing is shared.
     """
     host, path = path_key(F.col("url"))
     source = pages.select("key", host.alias("host"), path.alias("path"), "html")
@@ -276,57 +413,26 @@ def shared_by_page(pages: DataFrame) -> DataFrame:
     def setup():
         def work(keys, hosts, paths, texts):
             digest = xxhash.xxh64_intdigest
-            lines = [[digest(t) >> 1 for t, _, _ in block_lines(x)] for x in texts]
-            return [keys, hosts, paths, lines]
+            found = [block_lines(x) for x in texts]
+            lines = [[digest(t) >> 1 for t, _, _ in page] for page in found]
+            return [keys, hosts, paths, lines, [[0 if dropped else len(t) for t, dropped, _ in page] for page in found]]
 
         return work
 
-    hashed = map_batches(source, "key string, host string, path string, lines array<bigint>", setup)
+    hashed = map_batches(source, "key string, host string, path string, lines array<bigint>, sizes array<int>", setup)
     # Written, as the bounds of the ranges are drawn from it before it is cut at them.
     placed = _numbered(materialize(hashed.dropDuplicates(["key"]), "lines"))
     chunk = F.floor(F.col("place") / CHUNK_ROWS)
     low = F.floor((F.col("place") - NEIGHBOURS) / CHUNK_ROWS)
     high = F.floor((F.col("place") + NEIGHBOURS) / CHUNK_ROWS)
     dealt = placed.select(
-        F.explode(F.sequence(low, high)).alias("chunk"), "place", (chunk).alias("home"), "key", "host", "path", "lines"
+        F.explode(F.sequence(low, high)).alias("chunk"), "place", chunk.alias("home"), "key", "host", "path", "lines", "sizes"
     )
     sorted_chunks = dealt.repartition("chunk").sortWithinPartitions("chunk", "place")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window: list[tuple] = []  # the last rows of one chunk
-
-        def settle(i: int) -> tuple[str, list[int]] | None:
-            number, _, home, key, host, path, lines = window[i]
-            if number != home:
-                return None
-            near = []
-            for step in range(-NEIGHBOURS, NEIGHBOURS + 1):
-                j = i + step
-                if step and 0 <= j < len(window) and window[j][0] == number and window[j][4] == host:
-                    alike = _alike(path, window[j][5])
-                    near.append((-alike, abs(step), step, window[j][6]))
-            near.sort(key=lambda n: n[:3])
-            return key, shared_lines(lines, [n[3] for n in near])
-
-        def emit(rows: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.int32()))],
-                names=["key", "shared"],
-            )
-
-        done = 0
-        for batch in batches:
-            window += zip(*[c.to_pylist() for c in batch.columns])
-            ready = [settle(i) for i in range(done, len(window) - NEIGHBOURS)]
-            done = max(done, len(window) - NEIGHBOURS)
-            yield emit([r for r in ready if r])
-            cut = max(0, done - NEIGHBOURS)
-            window = window[cut:]
-            done -= cut
-        ready = [settle(i) for i in range(done, len(window))]
-        yield emit([r for r in ready if r])
-
-    return sorted_chunks.mapInArrow(compare, "key string, shared array<int>")
+    schema = "key string, place bigint, fresh boolean, shared array<int>, open boolean"
+    first = materialize(sorted_chunks.mapInArrow(_compare_in_chunks, schema), "compared")
+    settled = first.filter("NOT open").select("key", "shared")
+    return settled if first.filter("open").isEmpty() else settled.union(_from_beyond(placed, first))
 
 
 def _alike(a: str, b: str) -> int:

@@ -106,6 +106,35 @@ def test_chunks_change_nothing(spark, monkeypatch):
     assert sorted(map(tuple, run(spark, rows).collect())) == want
 
 
+def test_menus_are_no_copies_and_teasers_no_articles(spark):
+    menu = "".join(f"<div>Link {i}</div>" for i in range(60))
+    rows = [(i, f"https://e.com/{i}", menu + "".join(f"<p>Line {j} of story {i}, with words of its own and a few more.</p>" for j in range(4))) for i in range(2)]
+    got = {r.page_id: r.text for r in run(spark, rows).collect()}
+    assert all(got[i].startswith(f"Line 0 of story {i}") and got[i].count("\n\n") == 3 for i in range(2))
+    teaser = "<div class='related'><article><p>teaser</p></article></div>"
+    assert pages.main_text(f"<article><p>main</p></article>{teaser}", []) == "main" and pages.main_text(teaser, []) == "teaser"
+    assert pages.main_text("<article><p>a</p></article><article><p>b</p></article>", []) == "a\n\nb"
+
+
+def test_long_runs_of_copies_meet_the_page_that_differs(spark, monkeypatch):
+    story = " ".join(f"word{i}" for i in range(60))
+
+    def copy(i):  # near copies: a counter differs
+        return f"<div>Our site</div><p>{story}</p><p>{i}</p><div>All rights reserved</div>"
+
+    other = "<div>Our site</div><p>" + story[::-1] + "</p><div>All rights reserved</div>"
+    rows = [(i, f"https://a.com/{i:03d}", copy(i)) for i in range(1, 40)] + [(0, "https://a.com/000", other)]
+    rows += [(100 + i, f"https://b.com/{i:03d}", copy(i)) for i in range(40)] + [(140, "https://b.com/999", other)]
+    rows += [(200 + i, f"https://c.com/{i:03d}", copy(7)) for i in range(40)]  # only copies: nothing to learn
+    for size in (256, 7, 3):
+        monkeypatch.setattr(pages, "CHUNK_ROWS", size)
+        got = {r.page_id: r.text for r in run(spark, rows).collect()}
+        want = {i: f"{story}\n\n{i % 100}" for i in [*range(1, 40), *range(100, 140)]}
+        assert {i: got[i] for i in want} == want
+        assert got[0] == got[140] == story[::-1]
+        assert all(got[i].startswith("Our site") for i in range(200, 240))
+
+
 def simple_article(page):
     body = re.search(r"<article>(.*?)(?:</article>|$)", page, re.DOTALL).group(1)
     blocks = re.split(r"</?(?:p|h1|footer)[^>]*>", body)
