@@ -8,6 +8,7 @@ from corpusloom.catalog.base import (
     LEAST, LINE_KEY, SQL_COUNTS, SQL_TOKENS, WORDS, Catalog, common_words, counts, joined, sql_ranked, table,
     token_docs, token_lines, with_,
 )
+from corpusloom.operators import pairwise
 from corpusloom.operators import statistics as st
 from corpusloom.operators import vocabulary
 from corpusloom.plans.ranking import top_ranked
@@ -149,6 +150,35 @@ def tfidf(spark, sf):
     return st.tfidf(token_docs(spark, sf)).withColumn("tfidf", F.round("tfidf", 6))
 
 
+SIMILAR = with_(SQL_TOKENS) + """,
+tf AS (SELECT doc_id, lower(token) AS term, count(*) AS tf FROM tokens GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+raw AS (SELECT doc_id, term, tf, tf * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS r FROM tf JOIN df USING (term)),
+bags AS (SELECT doc_id, list((term, tf) ORDER BY term) AS bag FROM documents LEFT JOIN tf USING (doc_id) GROUP BY doc_id),
+members AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY bag) AS representative FROM bags),
+w AS (SELECT doc_id, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_id)) AS w FROM raw JOIN members USING (doc_id) WHERE doc_id = representative),
+near AS (SELECT a.doc_id AS x, b.doc_id AS y, round(sum(a.w * b.w), 9) AS score
+  FROM w a JOIN w b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY ALL HAVING round(sum(a.w * b.w), 9) >= 0.8)
+"""
+
+
+@catalog.add(SIMILAR + "SELECT x, y, round(score, 6) AS score FROM near")
+def similar_documents(spark, sf):
+    """All pairs of different documents with a TF-IDF cosine of 0.8 and more, between the smallest ids of equal bags of words."""
+    pairs, _ = pairwise.similar_documents(token_docs(spark, sf))
+    return pairs.withColumn("score", F.round("score", 6))
+
+
+@catalog.add(SIMILAR + """,
+ends AS (SELECT x AS d FROM near UNION ALL SELECT y FROM near)
+SELECT doc_id, representative, (SELECT count(*) FROM ends WHERE d = representative) AS n_links FROM members
+""")
+def similar_document_links(spark, sf):
+    """Every document with its class of equal bags and the number of other classes that are similar to it."""
+    pairs, members = pairwise.similar_documents(token_docs(spark, sf))
+    return pairwise.count_links(pairs, members)
+
+
 WORD_VECTORS = SQL_COUNTS + "," + sql_ranked(WORDS) + """,
 vectors AS (SELECT token AS key, embedding::DOUBLE[] AS vec FROM ranked JOIN embeddings ON vec_id = id)"""
 

@@ -184,8 +184,8 @@ def count_terms(df: DataFrame, keep: list[str], column: str) -> DataFrame:
     return df.select(*keep, column).mapInArrow(count, f"{kinds}, terms array<string>, tf array<bigint>")
 
 
-def tfidf(df: DataFrame, doc: str = "doc_id", column: str = "tokens") -> DataFrame:
-    """``doc, term, tf, tfidf`` with idf ln((1 + n) / (1 + df)) + 1 and rows of length one.
+def tfidf_vectors(df: DataFrame, doc: str = "doc_id", column: str = "tokens") -> DataFrame:
+    """``doc, terms, tf, tfidf`` as arrays, with idf ln((1 + n) / (1 + df)) + 1 and rows of length one.
 
     A document stays one row: its terms are counted in place and written, and its weights scaled in
     place. Only the document frequencies are added up over the corpus, and come back by a look-up.
@@ -210,10 +210,14 @@ def tfidf(df: DataFrame, doc: str = "doc_id", column: str = "tokens") -> DataFra
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], weights], names=[doc, "terms", "tf", "tfidf"])
 
     kind = counted.schema[doc].dataType.simpleString()
-    weighed = found.select(doc, "terms", "tf", "_df").mapInArrow(
+    return found.select(doc, "terms", "tf", "_df").mapInArrow(
         weigh, f"{doc} {kind}, terms array<string>, tf array<bigint>, tfidf array<double>"
     )
-    return unnest(weighed, F.arrays_zip("terms", "tf", "tfidf"), doc, value="_e").select(
+
+
+def tfidf(df: DataFrame, doc: str = "doc_id", column: str = "tokens") -> DataFrame:
+    """``doc, term, tf, tfidf``: a row for each entry of ``tfidf_vectors``."""
+    return unnest(tfidf_vectors(df, doc, column), F.arrays_zip("terms", "tf", "tfidf"), doc, value="_e").select(
         doc, F.col("_e.terms").alias("term"), F.col("_e.tf").alias("tf"), F.col("_e.tfidf").alias("tfidf")
     )
 
