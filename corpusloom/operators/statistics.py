@@ -185,7 +185,7 @@ def count_terms(df: DataFrame, keep: list[str], column: str) -> DataFrame:
 
 
 def tfidf_vectors(df: DataFrame, doc: str = "doc_id", column: str = "tokens") -> DataFrame:
-    """``doc, terms, tf, tfidf`` as arrays, with idf ln((1 + n) / (1 + df)) + 1 and rows of length one.
+    """``doc, terms, tf, df, tfidf`` as arrays, with idf ln((1 + n) / (1 + df)) + 1 and rows of length one.
 
     A document stays one row: its terms are counted in place and written, and its weights scaled in
     place. Only the document frequencies are added up over the corpus, and come back by a look-up.
@@ -196,7 +196,8 @@ def tfidf_vectors(df: DataFrame, doc: str = "doc_id", column: str = "tokens") ->
         unnest(counted, "terms", value="term").groupBy("term").agg(F.count("*").alias("df")), "frequencies"
     )
     total = counted.count()
-    found = lookup_array(counted, "terms", "_df", frequency, "term", "df", [doc], weight="df")
+    # Most terms of a corpus occur in one document; they are the ones that the table need not hold.
+    found = lookup_array(counted, "terms", "_df", frequency.filter("df > 1"), "term", "df", [doc], 1, "df")
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,11 +208,11 @@ def tfidf_vectors(df: DataFrame, doc: str = "doc_id", column: str = "tokens") ->
             lengths = np.sqrt(np.bincount(owners, raw * raw, len(sizes)))
             ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             weights = pa.ListArray.from_arrays(ends, pa.array(raw / lengths[owners]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], weights], names=[doc, "terms", "tf", "tfidf"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, weights], names=[doc, "terms", "tf", "df", "tfidf"])
 
     kind = counted.schema[doc].dataType.simpleString()
     return found.select(doc, "terms", "tf", "_df").mapInArrow(
-        weigh, f"{doc} {kind}, terms array<string>, tf array<bigint>, tfidf array<double>"
+        weigh, f"{doc} {kind}, terms array<string>, tf array<bigint>, df array<bigint>, tfidf array<double>"
     )
 
 
