@@ -50,6 +50,7 @@ def write_vocab(vocab: DataFrame, path: str, mode: str = "error") -> None:
 
 
 FILE_ROWS = 100_000
+SHARD_ROWS = 64
 
 
 def write_line_shards(df: DataFrame, path: str, lines_per_file: int, column: str = "text", mode: str = "error") -> None:
@@ -86,10 +87,14 @@ def cooc_shards(cells: DataFrame, shards: int) -> DataFrame:
 
 
 def write_cooc_shards(cells: DataFrame, path: str, shards: int, mode: str = "error") -> None:
-    """One folder per shard, cells sorted by place. ``cells`` must hold each cell once."""
+    """One folder per shard, its cells in files of whole blocks of rows, sorted by place.
+
+    ``cells`` must hold each cell once. Blocks of ``SHARD_ROWS`` rows are dealt to the tasks, so their number grows with
+    the matrix and not with the shards.
+    """
     (
         cooc_shards(cells, shards)
-        .repartition("row_shard", "col_shard")
+        .repartition("row_shard", "col_shard", F.floor(F.col("local_row") / SHARD_ROWS))
         .sortWithinPartitions("row_shard", "col_shard", "local_row", "local_col")
         .write.mode(mode)
         .partitionBy("row_shard", "col_shard")

@@ -1,11 +1,13 @@
 """Small hand-worked cases, most of them Hangul or special tokens the tables do not hold."""
 
 import math
+import random
 
 from pyspark.sql import functions as F
 
 from corpusloom.functions import hangul
 from corpusloom.functions import text as tx
+from corpusloom.functions.hashing import draw_of
 from corpusloom.functions.unicode import decode_utf8, normalize_text, strip_accents
 from corpusloom.operators import examples as ex
 from corpusloom.operators import statistics as st
@@ -145,3 +147,52 @@ def test_char_ids(spark):
     got = one(spark, "é", lambda c: vocabulary.char_ids(c, 6))
     assert got == [259, 0xC3 + 1, 0xA9 + 1, 260, 261, 261]
     assert one(spark, "abcdef", lambda c: vocabulary.char_ids(c, 5)) == [259, 98, 99, 100, 260]
+
+
+def test_cooccurrence_in_parts(spark, monkeypatch):
+    """Parts cut inside rows, gaps, NULLs and ids too wide for one number give the sums of all pairs."""
+    rng = random.Random(3)
+    rows = [[rng.choice([-1, 0, 1, 2, 3, 9]) for _ in range(rng.randrange(40))] for _ in range(30)] + [None, [], [5, None, 5]]
+    monkeypatch.setattr(st, "PAIRS_AT_ONCE", 64)
+    for shift in (0, 1 << 40):
+        ids = [[i + shift if i is not None and i >= 0 else i for i in r] if r is not None else None for r in rows]
+        want = {}
+        for row in ids:
+            for p, a in enumerate(row or []):
+                for d, b in enumerate((row[p:p + 11])):
+                    if a is not None and b is not None and min(a, b) >= 0:
+                        for cell in ((a, b), (b, a)):
+                            want[cell] = want.get(cell, 0) + (1 / d if d else 0.5)
+        found = st.cooccurrence_harmonic(spark.createDataFrame([(i,) for i in ids], "ids array<bigint>"))
+        got = {(r.row_id, r.col_id): r.value for r in found.collect()}
+        assert got.keys() == want.keys() and all(abs(got[c] - want[c]) < 1e-9 for c in got)
+
+
+def test_cooccurrence_is_shuffled_once(spark):
+    cells = st.cooccurrence_harmonic(spark.createDataFrame([([0, 1, 0],)], "ids array<bigint>"))
+    assert cells._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_shuffled_pairs_carry_a_number(spark):
+    cells = spark.range(50).selectExpr("id % 7 AS row_id", "id AS col_id", "1.5D AS value")
+    mixed = st.shuffle_pairs(cells, 5)
+    rows = [(r.row_id, r.col_id) for r in mixed.collect()]
+    assert rows == sorted(rows, key=lambda c: draw_of("5", *c)) and rows != sorted(rows)
+    assert "conv(" in mixed._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cooc_shards_are_dealt_by_blocks(spark, tmp_path):
+    cells = spark.range(3000).selectExpr("id AS row_id", "id * 7 % 11 AS col_id", "1.0D AS value")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_cooc_shards(cells, str(tmp_path / "shards"), 1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = list((tmp_path / "shards").rglob("*.parquet"))
+    assert len(files) > 4
+    blocks = []
+    for file in files:
+        rows = [(r.local_row, r.local_col) for r in spark.read.parquet(str(file)).collect()]
+        assert rows == sorted(rows)
+        blocks += {r // writers.SHARD_ROWS for r, _ in rows}
+    assert len(blocks) == len(set(blocks)) and spark.read.parquet(str(tmp_path / "shards")).count() == 3000
