@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from corpusloom.functions.arrays import add, dot, let, norm, scale, subtract, unit
 from corpusloom.operators.corpus import sample_rows
 from corpusloom.plans.blocks import best_matches
-from corpusloom.plans.lookup import lookup_rows, small_table
+from corpusloom.plans.lookup import map_blocks, small_table
 from corpusloom.plans.ranking import average_ranks
 from corpusloom.plans.unnest import unnest
 from corpusloom.session import materialize
@@ -23,6 +23,7 @@ from corpusloom.session import materialize
 MAX_VECTOR_WORDS = 200_000
 PAIR_BLOCK = 1000
 TOKENS_AT_ONCE = 100_000
+BLOCK_ELEMENTS = 1 << 21
 
 
 def l2_normalize(df: DataFrame, column: str = "vec") -> DataFrame:
@@ -36,65 +37,71 @@ def sum_word_vectors(
     """Add ``vec`` (sum of the known words' vectors), ``known`` and ``total`` (token counts).
 
     ``vectors`` has ``key, vec``. A table of modest size is shipped and rows are summed in
-    place; a larger one is joined, hot words apart, and summed per row.
+    place; of a larger one each block of rows gets the vectors of its distinct words. ``row_key`` and ``weight``
+    describe the rows and the table to the caller only. There, the vectors of a repeated key add up.
     """
     rows = small_table(vectors.select("key", "vec"), max_words)
     if rows is not None and rows.num_rows:
         return _sum_in_place(df, rows, column)
-    long = unnest(df, column, *row_key, value="_token")
-    found = lookup_rows(long, "_token", vectors, "key", "vec", weight).filter(F.col("vec").isNotNull())
-    sums = found.groupBy(*row_key).agg(
-        vector_to_array(Summarizer.sum(array_to_vector("vec"))).alias("_sum"), F.count("*").alias("known")
-    )
-    dim = F.coalesce(vectors.agg(F.max(F.size("vec"))).scalar(), F.lit(0))  # no vector has no width
-    return df.join(sums, row_key, "left").select(
-        *df.columns,
-        F.coalesce("_sum", F.array_repeat(F.lit(0.0), dim)).alias("vec"),
-        F.coalesce("known", F.lit(0)).cast("bigint").alias("known"),
-        F.size(column).cast("bigint").alias("total"),
-    )
+    dim = vectors.agg(F.max(F.size("vec"))).first()[0] or 0  # no vector has no width
+
+    def fill(lists: pa.ListArray, entries: pa.Table) -> list[pa.Array]:
+        keys = entries.column(0).combine_chunks().dictionary_encode()
+        codes, found = np.asarray(keys.indices), _matrix(entries, dim)
+        matrix, times = np.zeros((len(keys.dictionary), dim)), np.bincount(codes, minlength=len(keys.dictionary))
+        np.add.at(matrix, codes, found)
+        return _add_up(lists, {key: i for i, key in enumerate(keys.dictionary.to_pylist())}, matrix, times)
+
+    known = vectors.filter("key IS NOT NULL AND vec IS NOT NULL")
+    return map_blocks(df, column, known, "key", "vec", fill, SUMS, BLOCK_ELEMENTS)
+
+
+SUMS = [
+    T.StructField("vec", T.ArrayType(T.DoubleType())),
+    T.StructField("known", T.LongType()),
+    T.StructField("total", T.LongType()),
+]
+
+
+def _matrix(table: pa.Table, dim: int) -> np.ndarray:
+    """The values of the list column ``vec`` as they lie in the buffer, one row per word."""
+    return table.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, dim)
+
+
+def _add_up(lists: pa.ListArray, places: dict, matrix: np.ndarray, times: np.ndarray) -> list[pa.Array]:
+    """Of every list the sum of its words' rows of ``matrix``, how many vectors these hold, and the number of words."""
+    dim = matrix.shape[1]
+    sizes = lists.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+    words = lists.flatten().dictionary_encode(null_encoding="encode")
+    place = np.array([places.get(w, -1) for w in words.dictionary.to_pylist()], dtype=np.int64)
+    place = place[np.asarray(words.indices)] if len(words) else np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    hit = place >= 0
+    place, owner = place[hit], owner[hit]
+    sums = np.zeros((len(sizes), dim))
+    for at in range(0, len(place), TOKENS_AT_ONCE):
+        rows_of = owner[at : at + TOKENS_AT_ONCE]
+        starts = np.flatnonzero(np.diff(rows_of, prepend=-1))
+        part = np.add.reduceat(matrix[place[at : at + TOKENS_AT_ONCE]], starts, axis=0)
+        sums[rows_of[starts]] += part
+    known = np.bincount(owner, times[place], len(sizes)).astype(np.int64)
+    ends = np.arange(len(sizes) + 1, dtype=np.int32) * dim
+    return [pa.ListArray.from_arrays(pa.array(ends), pa.array(sums.ravel())), pa.array(known), pa.array(sizes)]
 
 
 def _sum_in_place(df: DataFrame, rows: pa.Table, column: str) -> DataFrame:
-    schema = T.StructType(
-        df.schema.fields
-        + [
-            T.StructField("vec", T.ArrayType(T.DoubleType())),
-            T.StructField("known", T.LongType()),
-            T.StructField("total", T.LongType()),
-        ]
-    )
+    schema = T.StructType(df.schema.fields + SUMS)
+    names = schema.names
     shared = df.sparkSession.sparkContext.broadcast(rows)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        places = {key: i for i, key in enumerate(table.column(0).to_pylist())}
-        # The values of the list column as they lie in the buffer, one row per word.
-        matrix = table.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+        places = {key: i for i, key in enumerate(table.column(0).to_pylist()) if key is not None}
+        matrix = _matrix(table, len(table.column(1)[0]))
+        times = np.ones(table.num_rows)
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(column))
-            sizes = np.diff(np.asarray(lists.offsets))
-            words = lists.flatten().dictionary_encode()
-            place = np.array([places.get(w, -1) for w in words.dictionary.to_pylist()], dtype=np.int64)
-            place = place[np.asarray(words.indices)] if len(words) else np.zeros(0, np.int64)
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            hit = place >= 0
-            place, owner = place[hit], owner[hit]
-            sums = np.zeros((len(sizes), matrix.shape[1]))
-            for at in range(0, len(place), TOKENS_AT_ONCE):
-                rows_of = owner[at : at + TOKENS_AT_ONCE]
-                starts = np.flatnonzero(np.diff(rows_of, prepend=-1))
-                part = np.add.reduceat(matrix[place[at : at + TOKENS_AT_ONCE]], starts, axis=0)
-                sums[rows_of[starts]] += part
-            known = np.bincount(owner, minlength=len(sizes)).astype(np.int64)
-            ends = np.arange(len(sizes) + 1, dtype=np.int32) * matrix.shape[1]
-            out = [
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(sums.ravel())),
-                pa.array(known), pa.array(sizes.astype(np.int64)),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                list(batch.columns) + out, names=batch.schema.names + ["vec", "known", "total"]
-            )
+            out = _add_up(batch.column(batch.schema.get_field_index(column)), places, matrix, times)
+            yield pa.RecordBatch.from_arrays(list(batch.columns) + out, names=names)
 
     return df.mapInArrow(add_up, schema)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import examples as ex
 from corpusloom.operators import metrics, models, streams, svd, tokenize, vectors, vocabulary
 from corpusloom.operators import vectors as vectors_module
-from corpusloom.plans import blocks
+from corpusloom.plans import blocks, lookup
 from corpusloom.plans.lookup import lookup_array
 from corpusloom.plans.ranking import average_ranks, top_ranked, with_prefix, with_row_number
 
@@ -285,3 +285,24 @@ def test_similarity_chart_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(vectors_module, "PAIR_BLOCK", 6)
     cut = {(r["x"], r["y"]): r["score"] for r in vectors_module.sampled_pairwise_cosine(df, 20).collect()}
     assert len(whole) == 400 and whole == cut
+
+
+def test_a_block_asks_once(spark):
+    rows = [(i, [f"t{(i * j) % 9}" for j in range(i % 7)] + [None] if i % 5 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, ts array<string>").coalesce(1)
+    asked = lookup._distinct_elements(lookup._in_blocks(df, "ts", 24), "ts", df.schema["ts"].dataType.elementType).collect()
+    assert len(asked) == len(set(asked)) and 9 < len(asked) < df.selectExpr("explode(ts)").count()
+
+
+def test_vectors_move_once_per_block(spark, monkeypatch):
+    """The joined sums equal those in place: rows of equal keys, NULLs, repeated words, words without a vector."""
+    monkeypatch.setattr(vectors, "BLOCK_ELEMENTS", 40)
+    rows = [(i // 3, [f"t{(i * j) % 9}" for j in range(i % 7)] + [None] if i % 5 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, tokens array<string>").repartition(3)
+    table = spark.createDataFrame([(f"t{i}", [i + 0.5, float(-i), 1.0]) for i in range(7)], "key string, vec array<double>")
+    want, got = (
+        sorted(str((r.k, r.vec, r.known, r.total)) for r in vectors.sum_word_vectors(df, table, ["k"], max_words=n).collect()) for n in (100, 2)
+    )
+    assert got == want and len(got) == 60
+    plan = vectors.sum_word_vectors(df, table, ["k"], max_words=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Summarizer" not in plan
