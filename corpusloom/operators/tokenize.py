@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions import text as tx
-from corpusloom.functions.arrays import let
 from corpusloom.functions.unicode import strip_accents
-from corpusloom.plans.lookup import MAX_BROADCAST_ROWS, lookup_array, lookup_rows, map_elements, small_table
+from corpusloom.plans.lookup import MAX_BROADCAST_ROWS, lookup_array, lookup_rows, map_blocks, map_elements, small_table
 from corpusloom.plans.ranking import with_row_number
 from corpusloom.plans.unnest import unnest
 from corpusloom.session import materialize
@@ -20,6 +22,7 @@ from corpusloom.sources.writers import vocab_with_specials
 
 UNKNOWN = "[UNK]"
 MAX_WORD_CHARS = 200
+BYTES_AT_ONCE = 1 << 21
 # Special tokens of a word-piece vocabulary, and pieces the trainer adds itself.
 SPECIALS = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"]
 TRAINER_PIECES = ["▁", "<unk>", "<s>", "</s>"]
@@ -249,7 +252,7 @@ def l_tokenize(
     """Replace every word of an array column by its left part and the rest."""
     cut = best_left_parts(word_counts, materialize(scores, "scores"))
     parts = F.array_remove(F.array("left", "right"), "")
-    table = cut.select("token", "freq", parts.alias("parts"))
+    table = materialize(cut.select("token", "freq", parts.alias("parts")), "parts")
     return lookup_array(
         df, column, out, table, "token", "parts", row_key, default=None, weight="freq", nested=True
     )
@@ -258,63 +261,114 @@ def l_tokenize(
 # ---------------------------------------------------------------- spacing
 
 
-def spacing_units(col: Column) -> Column:
-    """Characters of a line, each with the one space that follows it if there is one."""
-    squeezed = F.array_join(tx.whitespace_tokens(col), " ")
-    return F.regexp_extract_all(squeezed, F.lit("[^ ] ?"), F.lit(0))
+def squeezed(col: Column) -> Column:
+    """The tokens of a line with one space between them."""
+    return F.array_join(tx.whitespace_tokens(col), " ")
 
 
-def spacing_contexts(units: Column) -> Column:
-    """For every character but the last: two characters to the left, two to the right."""
-    def contexts(chars: Column) -> Column:
-        n = F.size(chars)
-        before = F.concat(F.array(F.lit("")), chars)
-        after = F.concat(F.slice(chars, 3, n), F.array(F.lit("")))
-        zipped = F.arrays_zip(
-            F.slice(before, 1, n - 1).alias("a"), F.slice(chars, 1, n - 1).alias("b"),
-            F.slice(chars, 2, n).alias("c"), F.slice(after, 1, n - 1).alias("d"),
-        )
-        built = F.transform(zipped, lambda z: F.concat(z["a"], z["b"], F.lit(" "), z["c"], z["d"]))
-        return F.when(n > 1, built).otherwise(F.array().cast("array<string>"))
+class _Characters:
+    """The characters but spaces of squeezed lines, and the contexts of the boundaries between them.
+
+    A context is the two characters on the left of a boundary, a space and the two on the right, as far as the line goes.
+    """
 
-    return let(F.transform(units, lambda u: F.substring(u, 1, 1)), contexts)
+    def __init__(self, texts: pa.Array) -> None:
+        joined = "\n".join(t or "" for t in texts.to_pylist())  # a squeezed line holds no line end
+        codes = np.frombuffer((joined + "\n").encode("utf-32-le"), np.uint32)
+        at = np.flatnonzero((codes != 32) & (codes != 10))
+        self.known, places = np.unique(codes[at], return_inverse=True)
+        self.places = places + 1  # 0 stands for no character
+        self.owner = (np.cumsum(codes == 10) - (codes == 10))[at]
+        self.spaced = codes[at + 1] == 32
+        # Boundaries go by the character before them.
+        self.inner = np.flatnonzero(np.diff(self.owner) == 0)
+
+    def contexts(self) -> tuple[pa.Array, np.ndarray]:
+        """The distinct contexts, and which of them each boundary has."""
+        i = self.inner
+        edge = np.concatenate([[0, 0], self.places, [0, 0]])
+        owner = np.concatenate([[-1, -1], self.owner, [-1, -1]])
+        mine, wide = self.owner[i], len(self.known) + 1
+        before = np.where(owner[i + 1] == mine, edge[i + 1], 0) * wide + edge[i + 2]
+        after = edge[i + 3] * wide + np.where(owner[i + 4] == mine, edge[i + 4], 0)
+        left, of_left = np.unique(before, return_inverse=True)
+        right, of_right = np.unique(after, return_inverse=True)
+        cells, which = np.unique(of_left * max(len(right), 1) + of_right, return_inverse=True)
+        spelt = np.array(["", *map(chr, self.known.tolist())], object)
+        left, right = left[cells // max(len(right), 1)], right[cells % max(len(right), 1)]
+        names = spelt[left // wide] + spelt[left % wide] + " " + spelt[right // wide] + spelt[right % wide]
+        return pa.array(names.tolist(), pa.string()), which
+
+    def joined(self, space: np.ndarray, count: int) -> pa.Array:
+        """The lines with a space after the characters that ``space`` marks."""
+        sizes = np.bincount(self.owner, 1 + space, count).astype(np.int64)
+        codes = np.full(len(self.places) + int(space.sum()), 32, np.uint32)
+        codes[np.arange(len(self.places)) + np.cumsum(space) - space] = self.known[self.places - 1]
+        text, ends = codes.tobytes().decode("utf-32-le"), np.concatenate([[0], np.cumsum(sizes)]).tolist()
+        return pa.array([text[a:b].strip(" ") for a, b in zip(ends, ends[1:])], pa.string())
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of some million bytes of their last column."""
+    for batch in batches:
+        ends = np.asarray(pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.columns[-1]), 0).cast(pa.int64())))
+        cuts = [0, *(np.flatnonzero(np.diff(ends // BYTES_AT_ONCE)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
 
 
 def train_spacing(df: DataFrame, column: str = "text") -> DataFrame:
     """``context, spaced, total``: how often a space stands in each character context."""
-    units = df.select(spacing_units(F.col(column)).alias("_u"))
-    pairs = F.arrays_zip(
-        spacing_contexts(F.col("_u")).alias("context"),
-        F.transform("_u", lambda u: (F.length(u) > 1).cast("int")).alias("spaced"),
-    )
-    rows = units.select(F.explode(pairs).alias("p")).filter(F.col("p.context").isNotNull())
-    return rows.groupBy(F.col("p.context").alias("context")).agg(
-        F.sum("p.spaced").cast("bigint").alias("spaced"), F.count("*").alias("total")
-    )
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            chars = _Characters(batch.column(0))
+            names, which = chars.contexts()
+            spaced = np.bincount(which, chars.spaced[chars.inner], len(names)).astype(np.int64)
+            total = np.bincount(which, minlength=len(names)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([names, pa.array(spaced), pa.array(total)], names=["context", "spaced", "total"])
+
+    parts = df.select(squeezed(F.col(column))).mapInArrow(count, "context string, spaced bigint, total bigint")
+    return parts.groupBy("context").agg(F.sum("spaced").alias("spaced"), F.sum("total").alias("total"))
 
 
 def apply_spacing(
     df: DataFrame, model: DataFrame, row_key: list[str], column: str = "text", out: str = "corrected",
-    threshold: float = 0.5, min_total: int = 1,
+    threshold: float = 0.5, min_total: int = 1, max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Set or remove spaces where the model has seen the context; other columns carry through.
 
-    A context seen fewer than ``min_total`` times leaves the text as it is. Empty rows go.
+    A context seen fewer than ``min_total`` times leaves the text as it is. Empty rows go. A model of modest size is
+    shipped; of a larger one each block of rows gets the contexts that it holds.
     """
-    decided = model.select(
-        "context", "total",
-        F.when(F.col("total") < min_total, F.lit("keep"))
-        .when(F.col("spaced") / F.col("total") >= threshold, F.lit("space"))
-        .otherwise(F.lit("join"))
-        .alias("decision"),
-    )
-    units = df.withColumn("_u", spacing_units(F.col(column))).filter(F.size("_u") > 0)
-    asked = units.withColumn("_c", spacing_contexts(F.col("_u")))
-    told = lookup_array(asked, "_c", "_d", decided, "context", "decision", row_key, "keep", "total")
-    place = F.zip_with(
-        "_u", "_d",
-        lambda u, d: F.when(d == "space", F.concat(F.substring(u, 1, 1), F.lit(" ")))
-        .when(d == "join", F.substring(u, 1, 1))
-        .otherwise(u),
-    )
-    return told.withColumn(out, F.trim(F.array_join(place, ""))).drop("_u", "_c", "_d")
+    join, keep, space = F.lit(0), F.lit(1), F.lit(2)
+    often = F.when(F.col("total") < min_total, keep).when(F.col("spaced") / F.col("total") >= threshold, space).otherwise(join)
+    least = model.filter("context IS NOT NULL").groupBy("context").agg(F.min(often).alias("decision"))
+    decided = materialize(least, "decisions")
+    full = df.filter(F.col(column).rlike(f"[^{tx.WHITESPACE}]")).withColumn("_t", squeezed(F.col(column)))
+
+    def fill(texts: pa.Array, table: pa.Table) -> list[pa.Array]:
+        chars = _Characters(texts)
+        names, which = chars.contexts()
+        at = pc.index_in(names, value_set=table.column(0).combine_chunks())
+        told = table.column(1).combine_chunks().take(at).fill_null(1).to_numpy()[which]
+        marks, inner = chars.spaced.copy(), chars.inner
+        marks[inner] = np.where(told == 1, marks[inner], told == 2)
+        return [chars.joined(marks, len(texts))]
+
+    fields = [T.StructField(out, T.StringType())]
+    rows = small_table(decided, max_rows)
+    if rows is None:
+        def distinct(texts: pa.Array) -> pa.Array:
+            return _Characters(texts).contexts()[0]
+
+        told = map_blocks(full, "_t", decided, "context", "decision", fill, fields, added=False, size=F.length("_t"), keys=distinct)
+        return told.drop("_t")
+    shared = df.sparkSession.sparkContext.broadcast(rows)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            filled = fill(batch.columns[-1], shared.value)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *filled], names=[*batch.schema.names, out])
+
+    return full.mapInArrow(place, T.StructType(full.schema.fields + fields)).drop("_t")

@@ -1,6 +1,7 @@
 """Distributed operators against plain loops, and the same result for any partitioning."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -306,3 +307,45 @@ def test_vectors_move_once_per_block(spark, monkeypatch):
     assert got == want and len(got) == 60
     plan = vectors.sum_word_vectors(df, table, ["k"], max_words=2)._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "Summarizer" not in plan
+
+
+def test_a_large_table_meets_blocks_of_rows(spark, monkeypatch):
+    """Rows of one key keep their own arrays, nested values too, and no element moves as a row of its own."""
+    monkeypatch.setattr(lookup, "BLOCK_ELEMENTS", 40)
+    rows = [(i // 3, [f"t{(i * j) % 9}" for j in range(i % 7)] + [None] if i % 5 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, ts array<string>").repartition(3)
+    table = spark.createDataFrame([(f"t{i}", [f"a{i}", "b"][: i % 3]) for i in range(8)], "token string, parts array<string>")
+    want, got = (
+        sorted(str((r.k, r.ts, r.out)) for r in lookup_array(df, "ts", "out", table, "token", "parts", ["k"], None, None, True, n).collect())
+        for n in (100, 2)
+    )
+    assert got == want and len(got) == 60
+    plan = lookup_array(df, "ts", "out", table, "token", "parts", ["k"], nested=True, max_rows=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+
+
+def test_spacing_against_a_walk_over_the_characters(spark, monkeypatch):
+    """Both forms of the model, rows of one key, NULLs, blanks, single characters and characters beyond the basic plane."""
+    monkeypatch.setattr(tokenize, "BYTES_AT_ONCE", 64)
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice("abc가나 \t\U0001f600́") for _ in range(rnd.randint(0, 30))) for _ in range(150)] + [None, " ", "a", " a b ", "\n"]
+    df = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "k long, text string").repartition(4)
+    units = [re.findall("[^ ] ?", " ".join((t or "").split())) for t in texts]
+    tally = {}
+    for u in units:
+        for i in range(len(u) - 1):
+            context = (u[i - 1][0] if i else "") + u[i][0] + " " + "".join(x[0] for x in u[i + 1 : i + 3])
+            spaced, total = tally.get(context, (0, 0))
+            tally[context] = spaced + (len(u[i]) > 1), total + 1
+    model = tokenize.train_spacing(df)
+    assert {r.context: (r.spaced, r.total) for r in model.collect()} == tally
+    want = []
+    for i, u in enumerate(units):
+        if u:
+            marks = [tally.get((u[j - 1][0] if j else "") + u[j][0] + " " + "".join(x[0] for x in u[j + 1 : j + 3]), (0, 0)) for j in range(len(u) - 1)]
+            out = [x if total < 3 else x[0] + " " * (spaced / total >= 0.5) for x, (spaced, total) in zip(u, marks)] + [u[-1][0]]
+            want.append((i // 2, texts[i], "".join(out)))
+    for most in (10_000, 2):
+        got = tokenize.apply_spacing(df, model, ["k"], min_total=3, max_rows=most)
+        assert got.columns == ["k", "text", "corrected"]
+        assert sorted((r.k, r.text, r.corrected) for r in got.collect()) == sorted(want)
