@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from corpusloom.functions.arrays import add, dot, let, norm, scale, subtract, unit
 from corpusloom.operators.corpus import sample_rows
 from corpusloom.plans.blocks import best_matches
-from corpusloom.plans.lookup import map_blocks, small_table
+from corpusloom.plans.lookup import in_parts, map_blocks, small_table
 from corpusloom.plans.ranking import average_ranks
 from corpusloom.plans.unnest import unnest
 from corpusloom.session import materialize
@@ -91,7 +91,7 @@ def _add_up(lists: pa.ListArray, places: dict, matrix: np.ndarray, times: np.nda
 
 def _sum_in_place(df: DataFrame, rows: pa.Table, column: str) -> DataFrame:
     schema = T.StructType(df.schema.fields + SUMS)
-    names = schema.names
+    names, at = schema.names, df.columns.index(column)
     shared = df.sparkSession.sparkContext.broadcast(rows)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,8 +99,8 @@ def _sum_in_place(df: DataFrame, rows: pa.Table, column: str) -> DataFrame:
         places = {key: i for i, key in enumerate(table.column(0).to_pylist()) if key is not None}
         matrix = _matrix(table, len(table.column(1)[0]))
         times = np.ones(table.num_rows)
-        for batch in batches:
-            out = _add_up(batch.column(batch.schema.get_field_index(column)), places, matrix, times)
+        for batch in in_parts(batches, at):
+            out = _add_up(batch.column(at), places, matrix, times)
             yield pa.RecordBatch.from_arrays(list(batch.columns) + out, names=names)
 
     return df.mapInArrow(add_up, schema)

@@ -5,9 +5,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.functions import unicode
 from corpusloom.operators import examples as ex
 from corpusloom.operators import metrics, models, streams, svd, tokenize, vectors, vocabulary
 from corpusloom.operators import vectors as vectors_module
@@ -349,3 +352,18 @@ def test_spacing_against_a_walk_over_the_characters(spark, monkeypatch):
         got = tokenize.apply_spacing(df, model, ["k"], min_total=3, max_rows=most)
         assert got.columns == ["k", "text", "corrected"]
         assert sorted((r.k, r.text, r.corrected) for r in got.collect()) == sorted(want)
+
+
+def test_batches_are_worked_on_in_parts(monkeypatch):
+    """A batch bounds rows only: long ones are taken in parts, and nothing is lost or moved between rows."""
+    monkeypatch.setattr(lookup, "ELEMENTS_AT_ONCE", 40)
+    lists = pa.array([list(range(i % 23)) if i % 4 else None for i in range(90)], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(90)), lists], names=["k", "ids"])
+    parts = list(lookup.in_parts(iter([batch, batch.slice(0, 0), batch.slice(7, 3)]), 1))
+    assert pa.Table.from_batches(parts).to_pylist() == batch.to_pylist() + batch.slice(7, 3).to_pylist()
+    assert max(len(p.column(1).flatten()) for p in parts) <= 40 + 23 and len(parts) > 20
+    monkeypatch.setattr(unicode, "BYTES_AT_ONCE", 10)
+    texts = ["abc", None, "é" * 9, "", "z" * 30, "Å"] * 5
+    got = unicode._each(pa.array(texts), lambda t: t.upper() if not t.isascii() else t, pc.string_is_ascii)
+    assert got.to_pylist() == [t if t is None or t.isascii() else t.upper() for t in texts]
+    assert unicode._each(pa.array([], pa.string()), str).to_pylist() == []
