@@ -313,9 +313,9 @@ def test_vectors_move_once_per_block(spark, monkeypatch):
 
 
 def test_a_large_table_meets_blocks_of_rows(spark, monkeypatch):
-    """Rows of one key keep their own arrays, nested values too, and no element moves as a row of its own."""
+    """Rows keep their own arrays, nested values too, and no element moves as a row of its own; rows of one key share theirs."""
     monkeypatch.setattr(lookup, "BLOCK_ELEMENTS", 40)
-    rows = [(i // 3, [f"t{(i * j) % 9}" for j in range(i % 7)] + [None] if i % 5 else None) for i in range(60)]
+    rows = [(i, [f"t{(i * j) % 9}" for j in range(i % 7)] + [None] if i % 5 else None) for i in range(60)]
     df = spark.createDataFrame(rows, "k long, ts array<string>").repartition(3)
     table = spark.createDataFrame([(f"t{i}", [f"a{i}", "b"][: i % 3]) for i in range(8)], "token string, parts array<string>")
     want, got = (
@@ -325,6 +325,10 @@ def test_a_large_table_meets_blocks_of_rows(spark, monkeypatch):
     assert got == want and len(got) == 60
     plan = lookup_array(df, "ts", "out", table, "token", "parts", ["k"], nested=True, max_rows=2)._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan
+    few = spark.createDataFrame([(1, ["a", "b"]), (1, ["b"]), (2, ["a", "c"]), (None, ["a"])], "k long, ts array<string>")
+    ids = spark.createDataFrame([("a", 1), ("b", 2)], "token string, id long")
+    shared = lookup_array(few, "ts", "ids", ids, "token", "id", ["k"], -1, max_rows=1).collect()
+    assert sorted((r.k or 0, r.ids) for r in shared) == [(0, []), (1, [1, 2, 2]), (1, [1, 2, 2]), (2, [1, -1])]
 
 
 def test_spacing_against_a_walk_over_the_characters(spark, monkeypatch):
