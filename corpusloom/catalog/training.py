@@ -9,7 +9,7 @@ from corpusloom.catalog.base import (
 )
 from corpusloom.catalog.words import PIECE_WORDS, piece_vocab, sql_pieces
 from corpusloom.functions.hashing import digest, uniform
-from corpusloom.functions.text import WHITESPACE, split_sentences, whitespace_tokens
+from corpusloom.functions.text import WHITESPACE, sentence_sizes, whitespace_tokens
 from corpusloom.operators import examples as ex
 from corpusloom.operators import streams, vocabulary
 from corpusloom.operators.tokenize import SPECIALS, wordpiece
@@ -50,7 +50,10 @@ def line_docs(spark, sf):
 
 
 def sentence_docs(spark, sf):
-    return coded_docs(spark, sf, split_sentences(F.col("text")))
+    """As ``coded_docs`` of the sentences; a text is cut into tokens once, not sentence by sentence."""
+    docs = documents(spark, sf).select("doc_id", "source", whitespace_tokens(F.col("text")).alias("tokens"))
+    sized = docs.withColumn("sizes", sentence_sizes(F.col("tokens")))
+    return vocabulary.encode_with_unknown(sized, vocab(spark, sf), ["doc_id"], ex.UNK).drop("tokens").filter(F.size("sizes") > 0)
 
 
 CODED = SQL_COUNTS + "," + sql_ranked(WORDS) + """,

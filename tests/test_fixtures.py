@@ -196,3 +196,14 @@ def test_cooc_shards_are_dealt_by_blocks(spark, tmp_path):
         assert rows == sorted(rows)
         blocks += {r // writers.SHARD_ROWS for r, _ in rows}
     assert len(blocks) == len(set(blocks)) and spark.read.parquet(str(tmp_path / "shards")).count() == 3000
+
+
+def test_sentence_sizes(spark):
+    texts = ["A b. C d! e", " x.y z.  ", "...", "a b? c .", "", None, "\n\t", "a\x01b. c", "한글. 둘 셋!? 넷", "a.\n\nb"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    full = F.filter(tx.split_sentences(F.col("t")), lambda p: p.rlike(f"[^{tx.WHITESPACE}]"))
+    by_part = F.transform(full, lambda p: F.size(tx.whitespace_tokens(p)))
+    rows = df.withColumn("tokens", tx.whitespace_tokens(F.col("t"))).select(tx.sentence_sizes(F.col("tokens")).alias("got"), by_part.alias("want"))
+    found = [(r.got, r.want) for r in rows.collect()]
+    assert [got for got, _ in found] == [want for _, want in found]
+    assert found[0][0] == [2, 2, 1] and found[4][0] == found[5][0] == found[6][0] == []
